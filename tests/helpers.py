@@ -1,0 +1,37 @@
+"""Small logs and brute-force answers."""
+
+from datetime import datetime, timedelta, timezone
+
+from clicksieve.record import RECORD_SCHEMA
+
+START = datetime(2012, 10, 2, 15, 53, 0, tzinfo=timezone.utc)
+
+
+def log(spark, rows, start=START):
+    """Records from ``(user, seconds, interested)``; event ids count up."""
+    return spark.createDataFrame(
+        [
+            (user, f"{number:06d}", "0", str(seconds), interested, start + timedelta(seconds=seconds))
+            for number, (user, seconds, interested) in enumerate(rows)
+        ],
+        RECORD_SCHEMA,
+    )
+
+
+def chain(times, ttl):
+    """The greedy chain: first time, then the first one ``ttl`` or more after each kept one."""
+    kept, opens = [], None
+    for time in sorted(times):
+        if opens is None or time >= opens:
+            kept.append(time)
+            opens = time + ttl
+    return kept
+
+
+def seconds(df):
+    """The ``seconds`` texts of a result, as a sorted list of numbers."""
+    return sorted(float(row["time_stamp"]) for row in df.collect())
+
+
+def users_seconds(df):
+    return sorted((row["user_id"], float(row["time_stamp"])) for row in df.collect())
