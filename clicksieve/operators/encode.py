@@ -17,6 +17,6 @@ def wire_lines(df, columns=None, tail=WIRE_TAIL):
     return json_lines(df, columns).select(F.concat("value", F.lit(rest)).alias("value"))
 
 
-def record_lines(df):
-    """Each record's text fields as one delimited line."""
-    return df.select(delimited(*RECORD_FIELDS).alias("value"))
+def record_lines(df, keep=()):
+    """Each record's text fields as one delimited line; columns named in ``keep`` come along."""
+    return df.select(delimited(*RECORD_FIELDS).alias("value"), *keep)

@@ -1,0 +1,182 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicksieve.operators import (
+    clicks,
+    connect_by_key,
+    first_per_key_ttl,
+    negatives_across_windows,
+    negatives_in_window,
+    negatives_two_stream,
+    negatives_within,
+    shows,
+)
+from clicksieve.sources import as_log, events_log, events_parquet
+from helpers import chain, log, seconds, users_seconds
+
+CASES = [
+    ("no click", [0], [], [0], [0]),
+    ("click at the end", [0], [30], [0], []),
+    ("click after the end", [0], [31], [0], [0]),
+    ("click before the show", [10], [5], [10], [10]),
+    ("click with the show", [10], [10], [10], []),
+    ("repeated show", [0, 29], [], [0], [0]),
+    ("show again after the ttl", [0, 30], [], [0, 30], [0, 30]),
+    ("thinning hides the click", [0], [-5, 3], [0], [0]),
+]
+
+
+@pytest.mark.parametrize("name, shown, clicked, kept, negative", CASES, ids=[c[0] for c in CASES])
+def test_two_stream_cases(spark, name, shown, clicked, kept, negative):
+    df = log(spark, [("a", t, "0") for t in shown] + [("a", t, "1") for t in clicked])
+    assert seconds(first_per_key_ttl(shows(df))) == kept
+    assert seconds(negatives_two_stream(df)) == negative
+    if name == "thinning hides the click":
+        assert seconds(negatives_two_stream(df, dedup_clicks=False)) == []
+
+
+@pytest.fixture(scope="module")
+def rows():
+    random.seed(3)
+    return [
+        ("hot" if n % 3 == 0 else f"u{random.randrange(20)}", random.randrange(-3_000, 9_000), random.choice("00012"))
+        for n in range(1_200)
+    ]
+
+
+def brute_window(rows, width):
+    clicked = {(u, t // width) for u, t, k in rows if k == "1"}
+    return sorted((u, float(t)) for u, t, k in rows if k == "0" and (u, t // width) not in clicked)
+
+
+def brute_within(shown, clicked, ttl):
+    return sorted((u, float(t)) for u, t in shown if not any(v == u and t <= c <= t + ttl for v, c in clicked))
+
+
+def of_kind(rows, kind):
+    return [(u, t) for u, t, k in rows if k == kind]
+
+
+def thinned(pairs, ttl):
+    users = {}
+    for user, time in pairs:
+        users.setdefault(user, []).append(time)
+    return [(user, t) for user, times in users.items() for t in chain(times, ttl)]
+
+
+@pytest.mark.parametrize("width", [10, 60, 300])
+@pytest.mark.parametrize("distinct", [False, True])
+def test_window_against_brute_force(spark, rows, width, distinct):
+    # The log starts at a multiple of each width.
+    from datetime import datetime, timezone
+
+    df = log(spark, rows, datetime(2012, 10, 2, tzinfo=timezone.utc))
+    source = df.union(df) if distinct else df
+    out = negatives_in_window(source, width=f"{width} seconds", distinct=distinct)
+    assert users_seconds(out) == brute_window(rows, width)
+    assert {r.label for r in out.collect()} == {0}
+
+
+@pytest.mark.parametrize("ttl", [1, 30, 77, 600])
+def test_interval_against_brute_force(spark, rows, ttl):
+    df = log(spark, rows)
+    out = negatives_within(shows(df), clicks(df), ttl=f"{ttl} seconds")
+    assert users_seconds(out) == brute_within(of_kind(rows, "0"), of_kind(rows, "1"), ttl)
+
+
+@pytest.mark.parametrize("rows_per_task", [10_000, 20])
+def test_two_stream_against_brute_force(spark, rows, rows_per_task):
+    out = negatives_two_stream(log(spark, rows), ttl="90 seconds", rows_per_task=rows_per_task)
+    expected = brute_within(thinned(of_kind(rows, "0"), 90), thinned(of_kind(rows, "1"), 90), 90)
+    assert users_seconds(out) == expected
+
+
+@pytest.mark.parametrize("rows_per_task", [10_000, 20])
+def test_across_windows_against_brute_force(spark, rows, rows_per_task):
+    from datetime import datetime, timezone
+
+    df = log(spark, rows, datetime(2012, 10, 2, tzinfo=timezone.utc))
+    out = negatives_across_windows(df, width="60 seconds", ttl="90 seconds", rows_per_task=rows_per_task)
+    unclicked = [(u, int(t)) for u, t in brute_window(rows, 60)]
+    expected = brute_within(thinned(unclicked, 90), thinned(of_kind(rows, "1"), 90), 90)
+    assert users_seconds(out) == expected
+
+
+def test_row_order_does_not_matter(spark, rows):
+    df = log(spark, rows)
+    shuffled = df.orderBy(F.rand(5)).repartition(5)
+    assert users_seconds(negatives_two_stream(df)) == users_seconds(negatives_two_stream(shuffled))
+
+
+def exact_log(spark, folder):
+    """The events with their times to the microsecond."""
+    events = events_parquet(spark, folder)
+    times = events.select(
+        F.col("event_id").cast("string").alias("event_id"), F.col("ts").cast("timestamp").alias("at")
+    )
+    return as_log(events).join(times, "event_id")
+
+
+WIDTHS = [("10 seconds", 1982, 1982), ("1 hour", 1947, 1936), ("6 hours", 1755, 1747), ("1 day", 1235, 1281)]
+
+
+@pytest.mark.parametrize("width, in_window, within", WIDTHS)
+def test_known_counts(spark, data, width, in_window, within):
+    df = exact_log(spark, data("0.01"))
+    assert negatives_in_window(df, width=width, ts="at").count() == in_window
+    assert negatives_within(shows(df), clicks(df), ttl=width, ts="at").count() == within
+
+
+@pytest.mark.parametrize("ttl, negatives, ids", [("6 hours", 1581, 8021014), ("24 hours", 965, 4935564)])
+def test_known_two_stream_counts(spark, data, ttl, negatives, ids):
+    out = negatives_two_stream(exact_log(spark, data("0.01")), ttl=ttl, ts="at")
+    row = out.agg(F.count("*").alias("n"), F.sum(F.col("event_id").cast("long")).alias("s")).first()
+    assert (row.n, row.s) == (negatives, ids)
+
+
+def test_connect_by_key(spark):
+    df = log(spark, [("a", 0, "0"), ("a", 1, "1"), ("b", 2, "1")])
+    both = connect_by_key(shows(df), clicks(df), names=("show", "click"))
+    counts = both.groupBy("user_id", "side").count().collect()
+    assert sorted(tuple(r) for r in counts) == [("a", "click", 1), ("a", "show", 1), ("b", "click", 1)]
+
+
+@pytest.fixture
+def small_partitions(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_events(spark, data):
+    """The events with a third of all rows given to one user and one instant."""
+    df = events_log(spark, data("0.01"))
+    hot = F.pmod(F.col("event_id").cast("long"), F.lit(3)) == 0
+    return df.withColumn("user_id", F.when(hot, "hot").otherwise(F.col("user_id"))).withColumn(
+        "timeStamp_flag", F.when(hot, F.timestamp_seconds(F.lit(1_704_100_000))).otherwise(F.col("timeStamp_flag"))
+    )
+
+
+def test_a_hot_key_is_split_in_both_anti_joins(spark, data, small_partitions):
+    df = hot_events(spark, data).repartition(16).cache()
+    window = negatives_in_window(df, width="1 day")
+    within = negatives_within(shows(df), clicks(df), ttl="6 hours")
+    for out in (window, within):
+        assert "skew=true" in final_plan(out)
