@@ -148,8 +148,9 @@ def small_partitions(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {name: spark.conf.get(name, None) for name in settings}
