@@ -1,18 +1,16 @@
 """String maps."""
 
-from pyspark.sql import functions as F
-
 from clicksieve.record import MAP_FUNCTION
 
 
 def map_value(column, key):
     """A map's value, NULL when the key is missing."""
-    return F.try_element_at(column, F.lit(key))
+    return column[key]
 
 
 def register_map_function(spark, name=MAP_FUNCTION):
     """Offer the map lookup to SQL as ``name(map, key)``; Catalyst inlines its body."""
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(m MAP<STRING, STRING>, k STRING) "
-        "RETURNS STRING RETURN try_element_at(m, k)"
+        "RETURNS STRING RETURN m[k]"
     )

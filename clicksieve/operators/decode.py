@@ -23,13 +23,13 @@ def decode(lines, value="value", source_tz="UTC"):
     One pass over the lines; :func:`good_records` and :func:`quarantine` select from it.
     """
     line = F.col(value)
-    parsed = F.from_json(
-        F.when(has_fields(line), first_field(line)), _SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT}
-    )
-    rows = lines.select(line.alias("value"), has_fields(line).alias("_whole"), parsed.alias("_json"))
-    rows = rows.select("value", "_whole", "_json", readable_time(F.col("_json.time_stamp"), source_tz).alias("_time"))
+    texts = lines.select(line.alias("value"), F.when(has_fields(line), first_field(line)).alias("_text"))
+    parsed = F.from_json("_text", _SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
+    # Generated, the parsed row stays one value: later filters and columns do not parse again.
+    rows = texts.select("value", "_text", F.explode(F.array(parsed)).alias("_json"))
+    rows = rows.select("value", "_text", "_json", readable_time(F.col("_json.time_stamp"), source_tz).alias("_time"))
     reason = (
-        F.when(~F.coalesce("_whole", F.lit(False)), BAD_FIELDS)
+        F.when(F.col("_text").isNull(), BAD_FIELDS)
         .when(F.col("_json").isNull() | F.col(f"_json.{_CORRUPT}").isNotNull(), BAD_JSON)
         .when(F.col("_time").isNull(), BAD_TIME)
     )

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from clicksieve.functions import bucket_start, duration_micros, window_start
 from clicksieve.operators.distinct import WINDOW_START
-from clicksieve.operators.records import clicks, shows, with_label
-from clicksieve.operators.skew import ROWS_PER_TASK, splittable
+from clicksieve.operators.records import clicks, null_fill, shows, with_label
+from clicksieve.operators.skew import ROWS_PER_TASK, heavy_keys, splittable
 from clicksieve.operators.ttl import first_per_key_ttl
 from clicksieve.record import CLICK, EVENT_TIME, LABEL_WINDOW, SHOW, TTL
 
@@ -23,12 +23,15 @@ def labelled_rows(df):
 def negatives_in_window(df, key="user_id", width=LABEL_WINDOW, ts=EVENT_TIME, distinct=False):
     """Shows whose key has no click in the same tumbling window, labelled and with the window's start.
 
-    ``distinct`` first folds equal rows. The flag it aggregates keeps the
-    filters on shows and clicks above that fold, so that both read one
-    shuffle of one decoded input.
+    ``distinct`` first folds equal rows and fills NULL keys. Shows and clicks
+    then read one shuffle of one decoded input: the flag is aggregated and the
+    join keys are never NULL, so that no filter of either sinks below the fold.
     """
     rows = labelled_rows(df).withColumn(WINDOW_START, window_start(F.col(ts), width))
     if distinct:
+        rows = null_fill(rows, [key]).withColumn(
+            WINDOW_START, F.coalesce(WINDOW_START, F.timestamp_seconds(F.lit(0)))
+        )
         folded = rows.groupBy(*rows.columns).agg(F.max(F.col("interested") == CLICK).alias(CLICKED))
         shown = folded.where(~F.col(CLICKED)).drop(CLICKED)
         clicked = folded.where(CLICKED)
@@ -112,6 +115,8 @@ def negatives_across_windows(
 ):
     """Clicked shows removed within a window, the rest thinned across windows, then clicked ones removed again."""
     unclicked = negatives_in_window(df, key, width, ts, distinct=True).select(*df.columns)
-    thinned = first_per_key_ttl(unclicked, key, ttl, ts, tie, rows_per_task=rows_per_task)
-    first_clicks = first_per_key_ttl(clicks(df), key, ttl, ts, tie, rows_per_task=rows_per_task)
+    # Counted before the removal, which can only make a key's rows fewer.
+    heavy = heavy_keys(labelled_rows(df), [key], rows_per_task)
+    thinned = first_per_key_ttl(unclicked, key, ttl, ts, tie, heavy)
+    first_clicks = first_per_key_ttl(clicks(df), key, ttl, ts, tie, heavy)
     return negatives_within(thinned, first_clicks, key, ttl, ts)

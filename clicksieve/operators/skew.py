@@ -11,7 +11,7 @@ keys apart.
 from pyspark.sql import functions as F
 
 SHARD = "_shard"
-SHARDS = 1024
+SHARDS = 1024  # a power of two
 ROWS_PER_TASK = 2_000_000
 
 
@@ -22,7 +22,7 @@ def splittable(left, right, keys):
     so the join shuffles it once more, and that plain shuffle is what the
     skew rule looks for. The right side is the aggregated, small one.
     """
-    shard = F.pmod(F.xxhash64(*keys), F.lit(SHARDS))
+    shard = F.xxhash64(*keys).bitwiseAND(F.lit(SHARDS - 1))
     return left.withColumn(SHARD, shard), right.withColumn(SHARD, shard), [*keys, SHARD]
 
 

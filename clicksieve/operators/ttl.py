@@ -51,31 +51,21 @@ def first_per_key_ttl(
         heavy = heavy_keys(df, keys, rows_per_task)
     # Bounded: see heavy_keys.
     heavy = F.broadcast(heavy.select(*keys))
-    ordinary = df.join(heavy, keys, "left_anti").select(*df.columns)
-    large = df.join(heavy, keys, "left_semi").select(*df.columns)
-    return _walk(ordinary, keys, micros, ts, tie).unionByName(_walk_segments(large, keys, micros, ts, tie))
-
-
-def _walk(df, keys, micros, ts, tie):
-    ordered = df.repartition(*keys).sortWithinPartitions(*keys, ts, tie)
-    return ordered.mapInArrow(_keep_first(keys, ts, micros), df.schema)
+    whole = df.join(heavy, keys, "left_anti").select(*df.columns, F.lit(None).cast("long").alias(SEGMENT))
+    cut = _firsts_of_instants(df.join(heavy, keys, "left_semi"), df.columns, keys, micros, ts, tie)
+    # An entry time joins its segment as a first row that carries nothing else.
+    rows = whole.unionByName(cut).withColumn(OPEN_FROM, F.lit(None).cast("long"))
+    rows = rows.unionByName(_entry_times(cut, keys, micros, ts), allowMissingColumns=True)
+    runs = [*keys, SEGMENT]
+    ordered = rows.repartition(*runs).sortWithinPartitions(*runs, ts, tie)
+    return ordered.mapInArrow(_keep_first(runs, ts, micros), rows.schema).select(*df.columns)
 
 
-def _walk_segments(df, keys, micros, ts, tie):
-    others = [c for c in df.columns if c not in (*keys, ts)]
-    firsts = (
-        df.groupBy(*keys, ts)
-        .agg(F.min_by(F.struct(*others), F.col(tie)).alias("_row"))
-        .select(*keys, ts, "_row.*")
-        .withColumn(SEGMENT, _segment(ts, micros))
-    )
-    entries = _entry_times(firsts, keys, micros, ts)
-    # An entry time joins its segment as a first row that carries nothing else.
-    marked = firsts.withColumn(OPEN_FROM, F.lit(None).cast("long")).unionByName(entries, allowMissingColumns=True)
-    segment_keys = [*keys, SEGMENT]
-    ordered = marked.repartition(*segment_keys).sortWithinPartitions(*segment_keys, ts, tie)
-    walked = ordered.mapInArrow(_keep_first(segment_keys, ts, micros, OPEN_FROM), marked.schema)
-    return walked.select(*df.columns)
+def _firsts_of_instants(df, columns, keys, micros, ts, tie):
+    """The first row of each key and instant, with the segment it falls in."""
+    others = [c for c in columns if c not in (*keys, ts)]
+    firsts = df.groupBy(*keys, ts).agg(F.min_by(F.struct(*others), F.col(tie)).alias("_row"))
+    return firsts.select(*keys, ts, "_row.*").select(*columns, _segment(ts, micros).alias(SEGMENT))
 
 
 def _segment(ts, micros):
@@ -100,28 +90,37 @@ def _starts_run(batch, keys, previous):
     starts = np.zeros(batch.num_rows, dtype=bool)
     for key in keys:
         values = batch.column(key)
-        starts[1:] |= pc.not_equal(values.slice(1), values.slice(0, len(values) - 1)).to_numpy(zero_copy_only=False)
-        starts[0] |= previous is None or previous.column(key)[0].as_py() != values[0].as_py()
+        if previous is None or previous.column(key)[0].as_py() != values[0].as_py():
+            starts[0] = True
+        if values.null_count == len(values):
+            continue
+        changed = pc.not_equal(values.slice(1), values.slice(0, len(values) - 1))
+        # NULL next to a value compares as NULL: a change, unless both are NULL.
+        nulls = pc.is_null(values).to_numpy(zero_copy_only=False)
+        changed = pc.fill_null(changed, True).to_numpy(zero_copy_only=False)
+        starts[1:] |= changed & ~(nulls[1:] & nulls[:-1])
     return starts
 
 
-def _keep_first(keys, ts, micros, entry=None):
+def _keep_first(runs, ts, micros):
     def keep(batches):
         previous, open_from = None, ALWAYS
         for batch in batches:
             if not batch.num_rows:
                 continue
-            starts = _starts_run(batch, keys, previous).tolist()
+            starts = _starts_run(batch, runs, previous).tolist()
             times = pc.fill_null(batch.column(ts).cast(pa.int64()), 0).to_numpy().tolist()
-            entries = batch.column(entry).to_pylist() if entry else [None] * len(times)
             kept = []
-            for row, (start, time, opens) in enumerate(zip(starts, times, entries)):
-                if opens is not None:
-                    open_from = opens
-                    continue
-                if start and entry is None:
+            if batch.column(OPEN_FROM).null_count == batch.num_rows:
+                entries = None
+            else:
+                entries = batch.column(OPEN_FROM).to_pylist()
+            for row, (start, time) in enumerate(zip(starts, times)):
+                if start:
                     open_from = ALWAYS
-                if time >= open_from:
+                if entries is not None and entries[row] is not None:
+                    open_from = entries[row]
+                elif time >= open_from:
                     kept.append(row)
                     open_from = time + micros
             previous = batch.slice(batch.num_rows - 1)
