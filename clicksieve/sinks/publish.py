@@ -8,7 +8,8 @@ from clicksieve.record import PARTITION_COLUMN
 def closed_days(df, watermark, column=PARTITION_COLUMN, tz="UTC"):
     """The distinct days of ``df`` that end at or before ``watermark`` (a UTC timestamp column or text)."""
     end = F.to_utc_timestamp(F.date_add(F.to_date(column, "yyyyMMdd"), 1).cast("timestamp"), tz)
-    return df.select(column).distinct().where(end <= F.lit(watermark).cast("timestamp"))
+    # Reading a folder may have made the day a number.
+    return df.select(F.col(column).cast("string")).distinct().where(end <= F.lit(watermark).cast("timestamp"))
 
 
 def publish_closed_days(spark, table, written, watermark, column=PARTITION_COLUMN, tz="UTC"):
