@@ -85,7 +85,7 @@ def _entry_times(firsts, keys, micros, ts):
     return ordered.mapInArrow(_chain_steps(keys), T.StructType([*key_fields, open_from]))
 
 
-def _starts_run(batch, keys, previous):
+def starts_run(batch, keys, previous):
     """Which rows of a sorted batch begin a new key, given the batch before."""
     starts = np.zeros(batch.num_rows, dtype=bool)
     for key in keys:
@@ -108,7 +108,7 @@ def _keep_first(runs, ts, micros):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            starts = _starts_run(batch, runs, previous).tolist()
+            starts = starts_run(batch, runs, previous).tolist()
             times = pc.fill_null(batch.column(ts).cast(pa.int64()), 0).to_numpy().tolist()
             kept = []
             if batch.column(OPEN_FROM).null_count == batch.num_rows:
@@ -151,8 +151,8 @@ def _chain_steps(keys):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key_starts = _starts_run(batch, keys, previous)
-            segment_starts = key_starts | _starts_run(batch, [SEGMENT], previous)
+            key_starts = starts_run(batch, keys, previous)
+            segment_starts = key_starts | starts_run(batch, [SEGMENT], previous)
             rows, entries = [], []
             for row, (key_start, segment_start, up_to, open_from) in enumerate(
                 zip(
