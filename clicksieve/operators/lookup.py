@@ -28,12 +28,20 @@ def feature_columns(features, fields=FEATURE_FIELDS, version=None):
 def lookup_features(df, features, fields=FEATURE_FIELDS, key="user_id", column=MAP_COLUMN, version=None):
     """Every row with a map of its key's features, NULL for those it lacks.
 
+    ``features`` is a long ``(key, field, value)`` table, or the saved result
+    of :func:`feature_columns`: one row per ``key``, a column per field. The
+    latter spares large or repeated lookups, such as those of a stream, from
+    gathering the features each time.
+
     Spark broadcasts the features where their measured size allows and
     shuffles both sides otherwise.
     """
     columns = df.columns
-    wide = feature_columns(features, fields, version).withColumnRenamed("key", key)
-    named = wide.select(key, *[F.col(field).alias(f"_f_{field}") for field in fields])
+    is_long = {"field", "value"} <= set(features.columns)
+    wide = feature_columns(features, fields, version) if is_long else features
+    present = set(wide.columns)
+    picked = [F.col(f) if f in present else F.lit(None).cast("string") for f in fields]
+    named = wide.select(F.col("key").alias(key), *[c.alias(f"_f_{f}") for c, f in zip(picked, fields)])
     left, right, on = splittable(df, named, [key])
     joined = left.join(right, on, "left")
     pairs = [part for field in fields for part in (F.lit(field), F.col(f"_f_{field}"))]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 SHARD = "_shard"
 SHARDS = 1024  # a power of two
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 1_000_000
 
 
 def splittable(left, right, keys):
@@ -30,6 +30,6 @@ def heavy_keys(df, keys, rows_per_task=ROWS_PER_TASK):
     """Keys with more rows than one task should take in order.
 
     At most ``rows / rows_per_task`` of them exist, so the result is small
-    enough to broadcast: 300 000 keys for 600 billion rows.
+    enough to broadcast: 600 000 keys at worst for 600 billion rows.
     """
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows_per_task).select(*keys)

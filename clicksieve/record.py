@@ -16,7 +16,7 @@ DAY_PATTERN = "yyyyMMdd"
 HOUR_BUCKET_PATTERN = "yyyy-MM-dd--HH"
 FEATURE_FIELDS = ["field1", "field2", "field3", "field4", "field5", "field6", "field7", "field8"]
 MAP_COLUMN = "mymap"
-STRUCT_COLUMN = "hasdk"
+STRUCT_COLUMN = "record"
 MAP_FUNCTION = "getValFromMap"
 DEDUP_WINDOW = "10 seconds"
 LABEL_WINDOW = "10 seconds"

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from clicksieve.functions import day
 from clicksieve.record import EVENT_TIME, PARTITION_COLUMN, RECORD_FIELDS
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def _quoted(names):
     return ", ".join(f"`{name}`" for name in names)
@@ -53,13 +55,16 @@ def evolve_and_append(
     evolve_columns(spark, table, df.columns)
     if batch_column:
         df = df.withColumn(batch_column, F.lit(str(batch_id)))
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     if rebalance:
         df = df.hint("rebalance", partition)
     view = f"append_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
+    mode = spark.conf.get(OVERWRITE_MODE)
     try:
+        # Only the partitions of this batch are replaced.
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
         verb = "INSERT OVERWRITE" if batch_column else "INSERT INTO"
         spark.sql(f"{verb} {table} BY NAME SELECT {_quoted(df.columns)} FROM {view}")
     finally:
+        spark.conf.set(OVERWRITE_MODE, mode)
         spark.catalog.dropTempView(view)

@@ -5,6 +5,7 @@ from clicksieve.functions import register_map_function
 from clicksieve.operators import (
     distinct_in_window,
     expand_struct,
+    feature_columns,
     flatten,
     lookup_features,
     map_partitions,
@@ -46,6 +47,15 @@ def test_all_configured_fields(spark):
     assert [row[f] for f in FEATURE_FIELDS] == ["10", "20", None, None, None, None, None, None]
 
 
+def test_saved_features(spark):
+    df = log(spark, [("myhash", 0, "0"), ("nobody", 1, "0")])
+    saved = feature_columns(features(spark), ["field1", "field2"])
+    wanted = ["field2", "field8"]
+    assert sorted(map(str, lookup_features(df, saved, wanted).collect())) == sorted(
+        map(str, lookup_features(df, features(spark), wanted).collect())
+    )
+
+
 def test_repeated_fields_keep_one_value(spark):
     df = log(spark, [("myhash", 0, "0")])
     assert lookup_features(df, features(spark, FEATURES + [("myhash", "field1", "9")]), ["field1"]).first().mymap == {"field1": "9"}

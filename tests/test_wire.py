@@ -28,7 +28,7 @@ SHOWN, CLICKED = "2012-10-02 15:53:05.754000+00:00", "2012-10-02 16:53:3{}.75400
 
 
 def wire(**fields):
-    return json.dumps(fields) + "\u0001sdsajl\u0001sdafhlsdh"
+    return json.dumps(fields) + "\u0001x\u0001y"
 
 
 def record(user, time, interested):
