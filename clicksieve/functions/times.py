@@ -62,5 +62,10 @@ def bucket_start(ts, width):
 
 
 def window_start(ts, width):
-    """Start of the tumbling event-time window that holds ``ts``."""
-    return F.window(ts, width)["start"]
+    """Start of the tumbling event-time window that holds ``ts``.
+
+    Rows without a time are in no window, so the start is never NULL. It is
+    declared so: a later join then adds no filter for it, which would keep
+    two uses of one aggregate from sharing its shuffle.
+    """
+    return F.coalesce(F.window(ts, width)["start"], F.timestamp_seconds(F.lit(0)))

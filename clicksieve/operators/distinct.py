@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from clicksieve.functions import window_start
+from clicksieve.operators.records import null_fill
 from clicksieve.operators.skew import splittable
 from clicksieve.record import DEDUP_WINDOW, EVENT_TIME
 
@@ -26,9 +27,10 @@ def window_arrays(df, key="user_id", width=DEDUP_WINDOW, ts=EVENT_TIME, rows_per
     """The distinct rows of each ``(window, key)`` as arrays of about ``rows_per_array`` at most.
 
     A group larger than that is dealt out to several arrays, numbered
-    ``part``; together they hold every row once.
+    ``part``; together they hold every row once. NULL keys are filled, so
+    that rows and group sizes share the shuffle of the distinct rows.
     """
-    rows = distinct_in_window(df, width, ts)
+    rows = distinct_in_window(null_fill(df, [key]), width, ts)
     group = [WINDOW_START, key]
     sizes = rows.groupBy(*group).agg(
         F.ceil(F.count("*") / F.lit(rows_per_array)).cast("int").alias("_parts")

@@ -31,9 +31,7 @@ def negatives_in_window(df, key="user_id", width=LABEL_WINDOW, ts=EVENT_TIME, di
     """
     rows = labelled_rows(df).withColumn(WINDOW_START, window_start(F.col(ts), width))
     if distinct:
-        rows = null_fill(rows, [key]).withColumn(
-            WINDOW_START, F.coalesce(WINDOW_START, F.timestamp_seconds(F.lit(0)))
-        )
+        rows = null_fill(rows, [key])
         folded = rows.groupBy(*rows.columns).agg(F.max(F.col("interested") == CLICK).alias(CLICKED))
         shown = folded.where(~F.col(CLICKED)).drop(CLICKED)
         clicked = folded.where(CLICKED)
