@@ -85,14 +85,16 @@ class FirstPerTtl(InTimeOrder):
         self.opens = handle.getValueState("opens", "open_from BIGINT")
 
     def walk(self, rows, passed):
-        open_from = self.opens.get()[0] if self.opens.exists() else None
+        stored = self.opens.get()
+        open_from = stored[0] if stored else None
         kept = []
         for row in rows:
             if open_from is None or row[self.at] >= open_from:
                 kept.append(row)
                 open_from = row[self.at] + self.ttl
         if open_from is None or open_from <= passed:
-            self.opens.clear()
+            if stored:
+                self.opens.clear()
             return kept, []
         self.opens.update((open_from,))
         return kept, [open_from]
@@ -116,9 +118,11 @@ class UnclickedShows(InTimeOrder):
         return row[self.at], row[self.kind] == CLICK, row[self.tie]
 
     def walk(self, rows, passed):
-        show_from, click_from = self.opens.get() if self.opens.exists() else (None, None)
-        pending = [tuple(row) for row in self.pending.get()]
-        negatives = []
+        stored = self.opens.get()
+        show_from, click_from = stored or (None, None)
+        # A show is pending only while it still hides others. Each call to the state is a round trip.
+        held = [tuple(row) for row in self.pending.get()] if show_from is not None else []
+        pending, negatives = list(held), []
 
         def release(before):
             negatives.extend(row for row in pending if row[self.at] + self.ttl < before)
@@ -137,11 +141,12 @@ class UnclickedShows(InTimeOrder):
         release(passed + 1)
 
         show_from, click_from = [t if t is not None and t > passed else None for t in (show_from, click_from)]
-        if show_from is None and click_from is None:
-            self.opens.clear()
-        else:
+        if show_from is not None or click_from is not None:
             self.opens.update((show_from, click_from))
-        self.pending.put(pending) if pending else self.pending.clear()
+        elif stored:
+            self.opens.clear()
+        if pending != held:
+            self.pending.put(pending) if pending else self.pending.clear()
         ends = [row[self.at] + self.ttl for row in pending]
         return negatives, ends + [t for t in (show_from, click_from) if t is not None]
 
