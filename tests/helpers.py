@@ -28,10 +28,5 @@ def chain(times, ttl):
     return kept
 
 
-def seconds(df):
-    """The ``seconds`` texts of a result, as a sorted list of numbers."""
-    return sorted(float(row["time_stamp"]) for row in df.collect())
-
-
 def users_seconds(df):
     return sorted((row["user_id"], float(row["time_stamp"])) for row in df.collect())

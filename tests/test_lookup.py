@@ -73,6 +73,7 @@ def test_map_is_not_built_for_columns(spark):
 
 def test_a_hot_key_is_split_in_the_lookup(spark, data):
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",

@@ -14,7 +14,7 @@ from clicksieve.operators import (
     shows,
 )
 from clicksieve.sources import as_log, events_log, events_parquet
-from helpers import chain, log, seconds, users_seconds
+from helpers import chain, log, users_seconds
 
 CASES = [
     ("no click", [0], [], [0], [0]),
@@ -28,13 +28,20 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("name, shown, clicked, kept, negative", CASES, ids=[c[0] for c in CASES])
-def test_two_stream_cases(spark, name, shown, clicked, kept, negative):
-    df = log(spark, [("a", t, "0") for t in shown] + [("a", t, "1") for t in clicked])
-    assert seconds(first_per_key_ttl(shows(df))) == kept
-    assert seconds(negatives_two_stream(df)) == negative
-    if name == "thinning hides the click":
-        assert seconds(negatives_two_stream(df, dedup_clicks=False)) == []
+def test_two_stream_cases(spark):
+    df = log(
+        spark,
+        [(name, t, "0") for name, shown, *_ in CASES for t in shown]
+        + [(name, t, "1") for name, _, clicked, *_ in CASES for t in clicked],
+    )
+    kept = sorted((name, float(t)) for name, _, _, kept, _ in CASES for t in kept)
+    negative = sorted((name, float(t)) for name, *_, negative in CASES for t in negative)
+    hidden = ("thinning hides the click", 0.0)
+    assert users_seconds(first_per_key_ttl(shows(df))) == kept
+    for rows_per_task in (1_000, 0):
+        assert users_seconds(negatives_two_stream(df, rows_per_task=rows_per_task)) == negative
+        every = negatives_two_stream(df, dedup_clicks=False, rows_per_task=rows_per_task)
+        assert users_seconds(every) == [n for n in negative if n != hidden]
 
 
 @pytest.fixture(scope="module")
@@ -146,6 +153,7 @@ def test_connect_by_key(spark):
 @pytest.fixture
 def small_partitions(spark):
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",

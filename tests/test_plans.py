@@ -1,0 +1,50 @@
+"""The plans are the ones meant: pruned scans, shared shuffles, equality joins."""
+
+import re
+
+import pytest
+
+from clicksieve.plans.catalogue import QUERIES
+
+BATCH = [name for name in QUERIES if not name.startswith("stream")]
+
+
+def run(spark, data, name):
+    """The final plan of a query that has run, as text."""
+    df = QUERIES[name](spark, data("0.001"))
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+LABELLING = [n for n in BATCH if n.startswith(("negatives", "multi", "labelled_samples", "lookup", "first"))]
+
+
+@pytest.mark.parametrize("name", [n for n in LABELLING if not n.endswith("table")])
+def test_no_pairs(spark, data, name):
+    plan = run(spark, data, name)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("name", ["negatives_window_1d", "negatives_interval_6h", "negatives_two_stream"])
+def test_scans_are_pruned_and_filtered(spark, data, name):
+    plan = run(spark, data, name)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert schemas and all("props" not in s and "value" not in s for s in schemas)
+    assert plan.count("PushedFilters: [In(event_type, [click,view])]") == len(schemas)
+
+
+def test_clicks_read_only_what_the_join_needs(spark, data):
+    plan = run(spark, data, "negatives_interval_6h")
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["labelled_samples", "negatives_window_distinct_1d"])
+def test_shows_and_clicks_share_the_fold(spark, data, name):
+    assert "ReusedExchange" in run(spark, data, name)
+
+
+def test_one_shuffle_for_two_streams_of_ordinary_keys(spark, data):
+    df = QUERIES["negatives_two_stream"](spark, data("0.001"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "REPARTITION_BY_COL" in plan and "Join" not in plan
