@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 
 from clicksieve.operators import (
     clicks,
+    decode,
     distinct_in_window,
     first_per_key_ttl,
     negatives_in_window,
     negatives_two_stream,
     negatives_within,
+    quarantine,
     shows,
 )
-from clicksieve.record import EVENT_TIME, RECORD_SCHEMA
+from clicksieve.record import RECORD_SCHEMA
+from clicksieve.sources import stream_lines
 from clicksieve.streaming import (
     distinct_stream,
     end_record,
@@ -81,6 +84,20 @@ def test_window_negatives(spark, tmp_path, batch, files, width):
     assert expected.count() > 20
 
 
+def test_window_negatives_of_raw_rows(spark, tmp_path, batch):
+    source = stream_of(spark, tmp_path, batch.union(batch), 2)
+    out = replay(negatives_in_window_stream(source, width="1 minute", distinct=False, salts=1), "raw", 2)
+    expected = negatives_in_window(batch.union(batch), width="1 minute")
+    assert sorted(out.select(*expected.columns).collect()) == sorted(expected.collect())
+
+
+def test_quarantine_of_a_stream(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([("short",), ("{bad\u0001x\u0001y",)], "value string").write.text(path)
+    out = replay(quarantine(decode(stream_lines(spark, path))), "quarantine", 2)
+    assert sorted((r.value, r.reason) for r in out.collect()) == [("short", "fields"), ("{bad\u0001x\u0001y", "json")]
+
+
 @pytest.mark.parametrize("files", [1, 4])
 @pytest.mark.parametrize("ttl", ["5 seconds", "30 seconds"])
 def test_interval_negatives(spark, tmp_path, batch, files, ttl):
