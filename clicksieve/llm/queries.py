@@ -1,6 +1,6 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
-from clicksieve.llm import secret_scan
+from clicksieve.llm import secret_scan, substring_dedup
 from clicksieve.llm.common import table
 
 
@@ -8,8 +8,15 @@ def op8_secrets(spark, sf_dir):
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op8_secrets": op8_secrets,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE = {}
+ORACLE = {
+    "op10_substring_dedup": substring_dedup.ORACLE,
+}
