@@ -1,9 +1,13 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
-from clicksieve.llm import secret_scan, substring_dedup
+from clicksieve.llm import quality, secret_scan, substring_dedup
 from clicksieve.llm.common import table
 
 
+def op1_quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark, sf_dir):
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -13,10 +17,12 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op8_secrets": op8_secrets,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
+    "op1_quality_rules": quality.oracle(),
     "op10_substring_dedup": substring_dedup.ORACLE,
 }
