@@ -1,6 +1,6 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
-from clicksieve.llm import quality, secret_scan, substring_dedup
+from clicksieve.llm import mixing, quality, secret_scan, substring_dedup
 from clicksieve.llm.common import table
 
 
@@ -8,6 +8,11 @@ def op1_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark, sf_dir):
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op8_secrets(spark, sf_dir):
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -18,6 +23,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
     "op10_substring_dedup": op10_substring_dedup,
 }
