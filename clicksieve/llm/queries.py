@@ -1,13 +1,27 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
-from clicksieve.llm import mixing, quality, secret_scan, substring_dedup
+from clicksieve.llm import mixing, packed_ids, quality, secret_scan, substring_dedup
 from clicksieve.llm.common import table
 
+# Vocabulary files are read where they are installed, by the driver alone.
+WORD_VOCABULARY = "word_bpe_49k.json"
+END_ID = 1
+
+
+def vocabulary(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def op1_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op2_packed_ids(spark, sf_dir):
+    return packed_ids.packed_round_trip(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID)
+
+
 def op7_mixing(spark, sf_dir):
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -23,6 +37,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_packed_ids": op2_packed_ids,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
     "op10_substring_dedup": op10_substring_dedup,
