@@ -1,10 +1,11 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
-from clicksieve.llm import mixing, packed_ids, quality, secret_scan, substring_dedup
+from clicksieve.llm import byte_bpe, mixing, packed_ids, quality, secret_scan, substring_dedup
 from clicksieve.llm.common import table
 
 # Vocabulary files are read where they are installed, by the driver alone.
 WORD_VOCABULARY = "word_bpe_49k.json"
+BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 END_ID = 1
 
 
@@ -14,6 +15,12 @@ def vocabulary(name):
     return public_tokenizers.path(name)
 
 
+def split_pattern():
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def op1_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -22,6 +29,10 @@ def op2_packed_ids(spark, sf_dir):
     return packed_ids.packed_round_trip(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY), END_ID)
 
 
+def op6_byte_bpe(spark, sf_dir):
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), split_pattern())
+
+
 def op7_mixing(spark, sf_dir):
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -38,6 +49,7 @@ def op10_substring_dedup(spark, sf_dir):
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packed_ids": op2_packed_ids,
+    "op6_byte_bpe": op6_byte_bpe,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
     "op10_substring_dedup": op10_substring_dedup,
