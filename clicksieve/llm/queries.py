@@ -1,6 +1,8 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
-from clicksieve.llm import byte_bpe, mixing, packed_ids, quality, secret_scan, substring_dedup
+from pyspark.sql import functions as F
+
+from clicksieve.llm import byte_bpe, mixing, packed_ids, quality, secret_scan, substring_dedup, vantage_trees
 from clicksieve.llm.common import table
 
 # Vocabulary files are read where they are installed, by the driver alone.
@@ -42,6 +44,11 @@ def op8_secrets(spark, sf_dir):
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op9_vantage_trees(spark, sf_dir):
+    # Factor one: the whole of the exact answer, which SQL can check.
+    return vantage_trees.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, factor=1.0)
+
+
 def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -52,10 +59,12 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
+    "op9_vantage_trees": op9_vantage_trees,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE = {
+    "op9_vantage_trees": vantage_trees.ORACLE,
     "op1_quality_rules": quality.oracle(),
     "op10_substring_dedup": substring_dedup.ORACLE,
 }
