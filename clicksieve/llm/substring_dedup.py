@@ -3,8 +3,10 @@
 Seeds are winnowed anchors: of any ``window`` consecutive words, the run of
 ``ANCHOR`` words with the least hash. Equal windows have the same anchor at the
 same place, so only anchors that two documents share can be part of a repeat.
-Each shared anchor is extended both ways, to every window around it, and the
-windows that an earlier document has too are merged to maximal repeats.
+Each shared anchor is extended both ways as far as it is the anchor of the
+windows around it. Equal extensions are repeats as a whole; where extensions of
+one anchor differ, their windows are compared one by one. All windows that an
+earlier document has too are merged to maximal repeats.
 """
 
 import hashlib
@@ -14,10 +16,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from clicksieve.llm.common import saved, words_of
-from clicksieve.llm.hashing import mixed, sequence_hashes, word_hashes
+from clicksieve.llm.hashing import sequence_hashes, span_hashes, word_hashes
 
 WINDOW = 50
-ANCHOR = 16
+ANCHOR = 8
 
 
 def anchor_places(words, window, anchor):
@@ -55,20 +57,44 @@ def seeds(window, anchor):
     return run
 
 
+def extensions(words, window, anchor):
+    """Of each anchor in turn: its hash, the hash of all its windows' words, and its first and last window."""
+    places, grams = anchor_places(words, window, anchor)
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    last = np.append(first[1:], len(places)) - 1
+    return grams[places[first]].view(np.int64), span_hashes(words, first, last + window).view(np.int64), first, last
+
+
 def extended(window, anchor):
-    """Rows of ``doc_id, key, text, shared``: every window around a shared anchor, by two hashes."""
+    """Rows of ``doc_id, key, text, shared``: the extension of each shared anchor."""
 
     def run(frames):
         for frame in frames:
             parts = []
             for doc_id, key, text, shared in frame[["doc_id", "key", "text", "shared"]].itertuples(index=False):
+                anchors, runs, first, last = extensions(word_hashes(text), window, anchor)
+                at = np.isin(anchors, np.asarray(shared, dtype=np.int64))
+                if at.any():
+                    columns = {"anchor": anchors[at], "run": runs[at], "doc_id": doc_id, "key": key}
+                    parts.append(pd.DataFrame({**columns, "first": first[at], "last": last[at]}))
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
+
+    return run
+
+
+def windows_of(window, anchor):
+    """Rows of ``doc_id, key, text, ranges``: every window that starts in one of the ranges."""
+
+    def run(frames):
+        for frame in frames:
+            parts = []
+            for doc_id, key, text, ranges in frame[["doc_id", "key", "text", "ranges"]].itertuples(index=False):
                 words = word_hashes(text)
                 places, grams = anchor_places(words, window, anchor)
-                at = np.flatnonzero(np.isin(grams[places].view(np.int64), np.asarray(shared, dtype=np.int64)))
-                if len(at):
-                    first = sequence_hashes(words, window)[at].view(np.int64)
-                    again = sequence_hashes(mixed(words), window)[at].astype(np.uint32).view(np.int32)
-                    parts.append(pd.DataFrame({"window": first, "again": again, "doc_id": doc_id, "key": key, "place": at.astype(np.int32)}))
+                at = np.unique(np.concatenate([np.arange(r["first"], r["last"] + 1) for r in ranges]))
+                columns = {"anchor": grams[places[at]].view(np.int64), "run": sequence_hashes(words, window)[at].view(np.int64)}
+                parts.append(pd.DataFrame({**columns, "doc_id": doc_id, "key": key, "first": at, "last": at}))
             if parts:
                 yield pd.concat(parts, ignore_index=True)
 
@@ -76,17 +102,17 @@ def extended(window, anchor):
 
 
 def cut(window, columns):
-    """Rows of ``doc_id, text, places``: the text without the words that the windows at ``places`` cover."""
+    """Rows of ``doc_id, text, ranges``: the text without the words that the windows in ``ranges`` cover."""
 
     def run(frames):
         for frame in frames:
             rows = []
-            for text, places in zip(frame["text"], frame["places"]):
+            for text, ranges in zip(frame["text"], frame["ranges"]):
                 words = words_of(text)
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
-                places = np.unique(np.asarray(places, dtype=np.int64))
-                edge[places] += 1
-                edge[places + window] -= 1
+                for r in ranges:
+                    edge[r["first"]] += 1
+                    edge[r["last"] + window] -= 1
                 covered = np.cumsum(edge)[:-1] > 0
                 kept = [w for w, gone in zip(words, covered) if not gone]
                 turns = np.flatnonzero(np.diff(np.concatenate([[0], covered.view(np.int8), [0]])))
@@ -97,36 +123,54 @@ def cut(window, columns):
     return run
 
 
-def find_repeats(docs, window=WINDOW, anchor=ANCHOR):
-    """``(documents as they are, documents with repeats)``.
+def earliest(rows, name):
+    """``anchor, run, least``: the first document with each run, written so that a join with it can be split."""
+    return saved(rows.groupBy("anchor", "run").agg(F.min("doc_id").alias("least")), name)
+
+
+def ranges_of(rows):
+    return rows.groupBy("doc_id", "key").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
-    The first has ``doc_id, key, n_words, kept_sha256`` of all rows; the second
-    ``doc_id, key, text, places`` of rows with a window that starts in a
-    document with a smaller doc_id too; ``places`` are those windows' first words.
+
+def find_repeats(docs, window=WINDOW, anchor=ANCHOR):
+    """``(all documents, documents with repeats)``.
+
+    The first has ``doc_id, key, n_words, kept_sha256, copy`` of all rows;
+    ``copy`` marks those whose words are, one for one, those of a document with
+    a smaller doc_id. The second has ``doc_id, key, text, ranges`` of the other
+    rows with windows that start in such a document too: ``ranges`` are those
+    windows, by their first words. Copies stand behind their first document
+    and are not searched themselves.
     """
     docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    plain = saved(
-        docs.mapInPandas(
-            seeds(window, anchor), f"doc_id {kind}, key long, n_words long, kept_sha256 string, anchors array<long>"
-        ),
-        "substring-seeds",
-    )
+    fields = f"doc_id {kind}, key long, n_words long, kept_sha256 string, anchors array<long>"
+    plain = saved(docs.mapInPandas(seeds(window, anchor), fields), "substring-seeds")
     # A row without an id is neither smaller nor greater than another.
-    anchors = plain.where("doc_id IS NOT NULL").select("doc_id", "key", F.explode("anchors").alias("anchor"))
+    longer = plain.where(f"doc_id IS NOT NULL AND n_words >= {window}")
+    least = saved(longer.groupBy("kept_sha256").agg(F.min("doc_id").alias("least")), "substring-copies")
+    plain = plain.join(least, "kept_sha256", "left").withColumn(
+        "copy", F.coalesce((F.col("n_words") >= window) & (F.col("least") < F.col("doc_id")), F.lit(False))
+    )
+    plain = saved(plain.drop("least"), "substring-marked")
+    anchors = plain.where("doc_id IS NOT NULL AND NOT copy").select("doc_id", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     shared = saved(shared.where("least < most").select("anchor"), "substring-shared")
-    hits = anchors.join(shared, "anchor").groupBy("doc_id", "key").agg(F.collect_list("anchor").alias("shared"))
-    keyed = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("key", key_column(F.col("text")))
-    texts = saved(keyed.join(hits, ["doc_id", "key"]), "substring-texts")
-    fields = f"window long, again int, doc_id {kind}, key long, place int"
-    windows = saved(texts.mapInPandas(extended(window, anchor), fields), "substring-windows")
-    first = windows.groupBy("window", "again").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    # Written first, so that both inputs of the join are plain and a window that very many documents have can be split.
-    first = saved(first.where("least < most").select("window", "again", "least"), "substring-first")
-    repeated = windows.join(first, ["window", "again"]).where("least < doc_id")
-    places = repeated.groupBy("doc_id", "key").agg(F.collect_list("place").alias("places"))
-    return plain.drop("anchors"), texts.drop("shared").join(places, ["doc_id", "key"])
+    hits = anchors.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
+    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").join(hits, "doc_id")
+    texts = saved(texts.withColumn("key", key_column(F.col("text"))), "substring-texts")
+    fields = f"anchor long, run long, doc_id {kind}, key long, first int, last int"
+    runs = saved(texts.mapInPandas(extended(window, anchor), fields), "substring-runs")
+    whole = earliest(runs, "substring-first-runs")
+    # An anchor with one extension only has no other windows to compare.
+    several = saved(whole.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "substring-several")
+    placed = runs.join(whole, ["anchor", "run"])
+    open_ = placed.where("doc_id = least").drop("least").join(several, "anchor")
+    parts = texts.drop("shared").join(ranges_of(open_), ["doc_id", "key"])
+    parts = saved(parts.mapInPandas(windows_of(window, anchor), fields), "substring-windows")
+    single = parts.join(earliest(parts, "substring-first-windows"), ["anchor", "run"])
+    repeated = placed.where("least < doc_id").unionByName(single.where("least < doc_id"))
+    return plain.drop("anchors"), texts.drop("shared").join(ranges_of(repeated), ["doc_id", "key"])
 
 
 def key_column(text):
@@ -148,22 +192,34 @@ def remove_repeats(docs, window=WINDOW, anchor=ANCHOR):
     an empty one.
     """
     plain, changed = find_repeats(docs, window, anchor)
+    changed = saved(changed, "substring-changed")
     kind = plain.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     fields = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
-    cuts = changed.select("doc_id", "text", "places").mapInPandas(cut(window, columns), fields)
+    cuts = changed.select("doc_id", "text", "ranges").mapInPandas(cut(window, columns), fields)
     touched = changed.select("doc_id", "key").distinct()
     untouched = plain.join(touched, ["doc_id", "key"], "left_anti")
-    return untouched.select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256").unionByName(cuts)
+    untouched = untouched.select(
+        "doc_id",
+        "n_words",
+        F.when(F.col("copy"), F.col("n_words")).otherwise(0).alias("n_removed"),
+        F.when(F.col("copy"), digest_of([])).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
+    )
+    return untouched.unionByName(cuts)
 
 
 def without_repeats(docs, window=WINDOW, anchor=ANCHOR):
-    """The changed documents: ``doc_id``, the text that is left, and the maximal repeats as word offsets (start, end, ...)."""
-    _, changed = find_repeats(docs, window, anchor)
+    """The documents that lose words: ``doc_id``, the text that is left, and the maximal repeats as word offsets.
+
+    Offsets are start, end, start, end, ... Of copies of a whole document nothing is left.
+    """
+    plain, changed = find_repeats(docs, window, anchor)
     kind = changed.schema["doc_id"].dataType.simpleString()
     columns = ["doc_id", "kept_text", "repeats"]
     fields = f"doc_id {kind}, kept_text string, repeats array<long>"
-    return changed.select("doc_id", "text", "places").mapInPandas(cut(window, columns), fields)
+    whole = F.array(F.lit(0).cast("long"), F.col("n_words")).alias("repeats")
+    copies = plain.where("copy").select("doc_id", F.lit("").alias("kept_text"), whole)
+    return changed.select("doc_id", "text", "ranges").mapInPandas(cut(window, columns), fields).unionByName(copies)
 
 
 ORACLE = r"""
