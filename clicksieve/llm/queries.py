@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clicksieve.llm import byte_bpe, language_id, mixing, packed_ids, quality, secret_scan, substring_dedup, vantage_trees
+from clicksieve.llm import byte_bpe, language_id, mixing, packed_ids, personal_data, quality, secret_scan, substring_dedup, vantage_trees
 from clicksieve.llm.common import table
 
 # Vocabulary files are read where they are installed, by the driver alone.
@@ -35,6 +35,10 @@ def op3_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_personal_data(spark, sf_dir):
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(BYTE_VOCABULARY), split_pattern())
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packed_ids": op2_packed_ids,
     "op3_language_id": op3_language_id,
+    "op5_personal_data": op5_personal_data,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_mixing": op7_mixing,
     "op8_secrets": op8_secrets,
