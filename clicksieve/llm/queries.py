@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from clicksieve.llm import byte_bpe, language_id, mixing, packed_ids, personal_data, quality, secret_scan, substring_dedup, vantage_trees
+from clicksieve.llm import byte_bpe, language_id, mixing, packed_ids, personal_data, quality, secret_scan, shingle_join, substring_dedup, vantage_trees
 from clicksieve.llm.common import table
 
 # Vocabulary files are read where they are installed, by the driver alone.
@@ -35,6 +35,10 @@ def op3_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_shingle_join(spark, sf_dir):
+    return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_personal_data(spark, sf_dir):
     return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packed_ids": op2_packed_ids,
     "op3_language_id": op3_language_id,
+    "op4_shingle_join": op4_shingle_join,
     "op5_personal_data": op5_personal_data,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_mixing": op7_mixing,
@@ -74,6 +79,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_shingle_join": shingle_join.ORACLE,
     "op9_vantage_trees": vantage_trees.ORACLE,
     "op1_quality_rules": quality.oracle(),
     "op10_substring_dedup": substring_dedup.ORACLE,
