@@ -94,9 +94,9 @@ def _with_copies(rows, frame, most):
 
 
 def choose_copies(sized, plan, most=MOST_COPIES):
-    """``sized`` (``pattern, size, draw``) with ``copies``, so that each pattern's copies come near its words in ``plan``.
+    """A function that adds ``copies`` to rows with ``pattern`` and ``draw``; they bring ``sized`` near the words in ``plan``.
 
-    ``plan`` maps patterns to ``(words, words wanted)``. All documents get the
+    ``sized`` has ``pattern, size, draw``; ``plan`` maps patterns to ``(words, words wanted)``. All documents get the
     whole copies; one copy more goes to those whose draw is below a boundary,
     found by two rounds of slices. What is then missing is filled by up to
     ``FILL_ROUNDS`` single documents, each the one that comes nearest.
@@ -136,9 +136,14 @@ def choose_copies(sized, plan, most=MOST_COPIES):
             state[tuple(row["pattern"])]["gap"] -= row["size"]
             filled[tuple(row["pattern"])].append(row["draw"])
     extra = [(list(p), 1, d, 0, 0) for p, draws in filled.items() for d in draws]
-    extra = _plan_frame(spark, extra).select("pattern", F.col("first").alias("draw"), F.col("whole").alias("more"))
-    full = _with_copies(_sliced(sized), frame(), most).join(extra, ["pattern", "draw"], "left")
-    return full.withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
+
+    def add(rows):
+        more = _plan_frame(spark, extra).select("pattern", F.col("first").alias("draw"), F.col("whole").alias("more"))
+        full = _with_copies(_sliced(rows), frame(), most).join(more, ["pattern", "draw"], "left")
+        copies = (F.col("copies") + F.coalesce("more", F.lit(0))).cast("int").alias("copies")
+        return full.select(*[full[c] for c in rows.columns], copies)
+
+    return add
 
 
 def sized_documents(docs, sources="source", seed=SEED):
@@ -155,22 +160,13 @@ def sized_documents(docs, sources="source", seed=SEED):
     )
 
 
-def mix(docs, sources="source", weights=WEIGHTS, share=SHARE, most=MOST_COPIES, seed=SEED):
-    """One row per document: ``doc_id, pattern, draw, size, source_size, target, copies, taken``.
-
-    ``source_size`` and ``target`` are of the document's first source. Null
-    texts have size 0 and are taken with whole copies only. A null source is a
-    source of its own, last in order. Rows equal in id and text share their
-    draw, and so their copies. Reruns agree. An empty table gives an empty one.
-    Other columns are not read.
-    """
-    spark = docs.sparkSession
-    sized = sized_documents(docs.select("doc_id", "text", sources), sources, seed)
-    sized = saved(sized.select("doc_id", "pattern", "size", "draw"), "mixing-sizes")
+def plan_mix(sized, weights=WEIGHTS, share=SHARE, most=MOST_COPIES):
+    """``(sizes, goals, add)``: the words of each source, the words wanted of it, and what adds ``copies`` to rows."""
     found = sized.groupBy("pattern").agg(F.sum("size").alias("words")).limit(MOST_PATTERNS + 1).collect()
     if len(found) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} patterns of sources")
-    patterns = {tuple(r["pattern"]): r["words"] for r in sorted(found, key=lambda r: [(s is None, s or "") for s in r["pattern"]])}
+    found = sorted(found, key=lambda r: [(s is None, s or "") for s in r["pattern"]])
+    patterns = {tuple(r["pattern"]): r["words"] for r in found}
     sizes = {}
     for pattern, words in patterns.items():
         for source in pattern:
@@ -178,28 +174,47 @@ def mix(docs, sources="source", weights=WEIGHTS, share=SHARE, most=MOST_COPIES,
     # Words that several sources share count once in the mix.
     wanted = targets(sizes, weights, share * sum(patterns.values()) / max(1, sum(sizes.values())), most)
     flows = route(patterns, wanted, most)
-    chosen = choose_copies(sized, {p: (words, flows[p]) for p, words in patterns.items()}, most)
-    goals = T.StructType(
+    add = choose_copies(sized, {p: (words, flows[p]) for p, words in patterns.items()}, most)
+    return {p: sizes[p[0]] for p in patterns}, {p: wanted[p[0]] for p in patterns}, add
+
+
+def mix(docs, sources="source", weights=WEIGHTS, share=SHARE, most=MOST_COPIES, seed=SEED):
+    """One row per document: ``doc_id, pattern, size, source_size, target, copies, taken``.
+
+    ``source_size`` and ``target`` are of the document's first source. Null
+    texts have size 0 and are taken with whole copies only. A null source is a
+    source of its own, last in order. Rows equal in id and text share their
+    draw, and so their copies. Reruns agree. An empty table gives an empty one.
+    Other columns are not read.
+    """
+    sized = sized_documents(docs.select("doc_id", "text", sources), sources, seed)
+    sized = saved(sized.select("doc_id", "pattern", "size", "draw"), "mixing-sizes")
+    sizes, goals, add = plan_mix(sized, weights, share, most)
+    schema = T.StructType(
         [
             T.StructField("pattern", T.ArrayType(T.StringType())),
             T.StructField("source_size", T.LongType()),
             T.StructField("target", T.DoubleType()),
         ]
     )
-    goals = spark.createDataFrame([(list(p), sizes[p[0]], float(wanted[p[0]])) for p in patterns], goals)
-    out = chosen.join(F.broadcast(goals), "pattern")
+    goals = docs.sparkSession.createDataFrame([(list(p), sizes[p], float(goals[p])) for p in sizes], schema)
+    out = add(sized).join(F.broadcast(goals), "pattern")
     return out.select(
-        "doc_id", "pattern", "draw", "size", "source_size", "target",
-        F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).alias("taken"),
-    )
-
-
-def mixed_documents(docs, sources="source", seed=SEED, **options):
-    """The mix itself: the rows of ``docs``, each as many times as it is taken, with its columns alone."""
-    size, pattern, draw, copies = (unused(name, docs.columns) for name in ("size", "pattern", "draw", "copies"))
-    taken = mix(docs, sources, seed=seed, **options).where("copies > 0")
-    taken = taken.select(F.col("doc_id").alias("taken_id"), F.col("draw").alias(draw), F.col("copies").alias(copies)).distinct()
-    keyed = docs.withColumn(draw, F.xxhash64(F.lit(seed), docs["doc_id"], docs["text"]))
-    joined = keyed.join(taken, (keyed["doc_id"].eqNullSafe(taken["taken_id"])) & (keyed[draw] == taken[draw]))
-    repeated = joined.withColumn(size, F.explode(F.sequence(F.lit(1), F.col(copies))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+        "doc_id", "pattern", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+def mixed_documents(docs, sources="source", weights=WEIGHTS, share=SHARE, most=MOST_COPIES, seed=SEED):
+    """The mix itself: the rows of ``docs``, each as many times as it is taken, with its columns alone.
+
+    What is taken is told by a row's own source and draw, so no text is shuffled.
+    """
+    names = {name: unused(f"mix_{name}", docs.columns) for name in docs.columns}
+    plain = docs.select(*[docs[c].alias(n) for c, n in names.items()])
+    keyed = sized_documents(plain.withColumns({c: F.col(names[c]) for c in ("doc_id", "text", sources)}), sources, seed)
+    keep = [*names.values(), "pattern", "draw"]
+    sized = saved(keyed.select("pattern", "size", "draw"), "mixing-sizes")
+    _, _, add = plan_mix(sized, weights, share, most)
+    taken = add(keyed.select(*keep)).where("copies > 0")
+    taken = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -1,27 +1,11 @@
 """The operators as queries over the given tables, and SQL to check them with."""
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from clicksieve.llm import byte_bpe, language_id, mixing, packed_ids, personal_data, quality, secret_scan, shingle_join, substring_dedup, vantage_trees
 from clicksieve.llm.common import table
-
-# Vocabulary files are read where they are installed, by the driver alone.
-WORD_VOCABULARY = "word_bpe_49k.json"
-BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
-END_ID = 1
-
-
-def vocabulary(name):
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def split_pattern():
-    import public_tokenizers
-
-    return public_tokenizers.PATTERN
-
+from clicksieve.llm.vocabularies import BYTE_VOCABULARY, END_ID, WORD_VOCABULARY, split_pattern, vocabulary
 
 def op1_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -76,6 +60,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_vantage_trees": op9_vantage_trees,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
@@ -84,3 +69,6 @@ ORACLE = {
     "op1_quality_rules": quality.oracle(),
     "op10_substring_dedup": substring_dedup.ORACLE,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
