@@ -133,7 +133,7 @@ def usable(vectors, name="embedding"):
 def nearest(vectors, is_query, k=5, factor=1.0, name="embedding"):
     """The ``k`` nearest rows of each query: ``query_id, rank, vec_id, score``, ties to the smaller ``vec_id``.
 
-    ``is_query`` is a condition on ``vec_id``. A query's own id is no candidate.
+    ``is_query`` is a condition on ``vec_id``, as a column or in SQL. A query's own id is no candidate.
     Rows with a null id, and vectors that are null, empty or zero or hold nulls
     or numbers that are not finite, take no part; vectors of different lengths
     are not compared. Repeated rows are candidates each; a repeated query is
@@ -144,6 +144,7 @@ def nearest(vectors, is_query, k=5, factor=1.0, name="embedding"):
     and one block, whatever their number is.
     """
     spark = vectors.sparkSession
+    is_query = F.expr(is_query) if isinstance(is_query, str) else is_query
     rows = usable(vectors, name)
     n_rows, n_queries = rows.agg(F.count("*"), F.count(F.when(is_query, 1))).first()
     per_shard = min(MOST_ROWS, max(LEAST_ROWS, n_rows // (2 * shards(spark))))

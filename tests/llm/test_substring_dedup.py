@@ -1,0 +1,54 @@
+import hashlib
+import random
+
+from cases import awkward_rows, clashing, documents, empty, rows_of, words
+
+from clicksieve.llm import substring_dedup
+
+
+def plain(rows, window):
+    """By brute force over all windows."""
+    least = {}
+    for doc_id, text, *_ in rows:
+        own = words(text)
+        for i in range(len(own) - window + 1):
+            key = tuple(own[i : i + window])
+            if doc_id is not None:
+                least[key] = min(doc_id, least.get(key, doc_id))
+    out = []
+    for doc_id, text, *_ in rows:
+        own = words(text)
+        gone = {i + j for i in range(len(own) - window + 1) if doc_id is not None and least[tuple(own[i : i + window])] < doc_id for j in range(window)}
+        kept = " ".join(w for i, w in enumerate(own) if i not in gone)
+        out.append((doc_id, len(own), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(tuple(map(repr, r)) for r in out)
+
+
+def test_awkward_rows(spark):
+    found = rows_of(substring_dedup.remove_repeats(documents(spark)))
+    assert found == plain(awkward_rows(), substring_dedup.WINDOW)
+    assert found == rows_of(substring_dedup.remove_repeats(clashing(spark)))
+    assert substring_dedup.remove_repeats(empty(spark)).count() == 0
+
+
+def test_small_windows_against_brute_force(spark):
+    draw = random.Random(6)
+    for words_known in (2, 6, 40):
+        rows = []
+        for doc_id in range(60):
+            own = [f"w{draw.randrange(words_known)}" for _ in range(draw.randint(0, 40))]
+            if rows and draw.random() < 0.5:
+                other = words(rows[draw.randrange(len(rows))][1])
+                at = draw.randint(0, len(other))
+                own += other[at : at + draw.randint(0, 25)]
+            rows.append((doc_id, " ".join(own), None, None, 0))
+        draw.shuffle(rows)
+        found = substring_dedup.remove_repeats(documents(spark, rows), window=12, anchor=4)
+        assert rows_of(found) == plain(rows, 12)
+
+
+def test_texts_and_offsets(spark):
+    shared = " ".join(f"s{i}" for i in range(60))
+    rows = [(1, "a b " + shared, None, None, 0), (2, "c " + shared + " d", None, None, 0), (3, shared, None, None, 0), (4, shared, None, None, 0)]
+    found = {r["doc_id"]: (r["kept_text"], r["repeats"]) for r in substring_dedup.without_repeats(documents(spark, rows)).collect()}
+    assert found == {2: ("c d", [1, 61]), 3: ("", [0, 60]), 4: ("", [0, 60])}

@@ -1,0 +1,74 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clicksieve.llm import vantage_trees
+from clicksieve.llm.common import table
+
+FIELDS = "vec_id long, embedding array<float>"
+QUERY = "vec_id % 50 = 0"
+
+
+def plain(rows, k=5):
+    good = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows if i is not None and v is not None and len(v) and None not in v]
+    good = [(i, v) for i, v in good if np.isfinite(v).all() and (v * v > 0).any()]
+    out = set()
+    for q, x in {i: v for i, v in good if i % 50 == 0}.items():
+        near = sorted((-float(vantage_trees.cosines(x[None], v[None])[0]), i) for i, v in good if i != q and len(v) == len(x))
+        out |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(near[:k])}
+    return out
+
+
+def test_exact_with_factor_one(spark, data):
+    docs = table(spark, data("0.001"), "embeddings")
+    expected = plain([(r["vec_id"], r["embedding"]) for r in docs.collect()])
+    assert {tuple(r) for r in vantage_trees.nearest(docs, QUERY).collect()} == expected
+
+
+def test_recall_with_relaxed_pruning(spark, data):
+    docs = table(spark, data("0.1"), "embeddings")
+    exact = {(r["query_id"], r["vec_id"]) for r in vantage_trees.nearest(docs, QUERY).collect()}
+    for factor, least in ((0.9, 0.98), (0.6, 0.9)):
+        found = {(r["query_id"], r["vec_id"]) for r in vantage_trees.nearest(docs, QUERY, factor=factor).collect()}
+        assert len(found & exact) >= least * len(exact)
+
+
+def test_pruning_leaves_out_most_of_a_clustered_shard():
+    draw = np.random.default_rng(1)
+    centres = draw.normal(size=(50, 16))
+    units = np.concatenate([c + 0.02 * draw.normal(size=(200, 16)) for c in centres])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    seen = []
+    offer = vantage_trees.Tree._offer
+
+    class Counting(vantage_trees.Tree):
+        def _offer(self, queries, active, rows, best):
+            seen.append(len(active) * len(rows))
+            return offer(self, queries, active, rows, best)
+
+    far, rows = Counting(units).search(units[:40], 5)
+    assert sum(seen) < 0.2 * 40 * len(units)
+    expected = np.sort(vantage_trees.distances(units[:40], units), axis=1)[:, :5]
+    assert np.allclose(far, expected, atol=1e-6)
+
+
+def test_awkward_rows(spark):
+    same = [1.0, 2.0, 3.0]
+    rows = [(i, same) for i in range(40)] + [(50, same), (100, None), (150, [0.0, 0.0, 0.0]), (200, [1.0, None, 2.0])]
+    rows += [(250, [float("nan"), 1.0, 1.0]), (300, [float("inf"), 1.0, 1.0]), (350, []), (400, [1.0, 2.0]), (450, [2.0, 4.1]), (None, same), (3, same)]
+    df = spark.createDataFrame(rows, FIELDS).withColumns({"score": F.lit("?"), "rank": F.lit("?"), "shard": F.lit("?")})
+    found = {tuple(r) for r in vantage_trees.nearest(df, QUERY).collect()}
+    assert {(q, r, v) for q, r, v, _ in found} == {
+        (0, 1, 1), (0, 2, 2), (0, 3, 3), (0, 4, 3), (0, 5, 4), (50, 1, 0), (50, 2, 1), (50, 3, 2), (50, 4, 3), (50, 5, 3), (400, 1, 450), (450, 1, 400),
+    }
+    assert vantage_trees.nearest(spark.createDataFrame([], FIELDS), QUERY).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [1, 7])
+def test_blocks_of_queries_change_nothing(spark, data, monkeypatch, blocks):
+    docs = table(spark, data("0.001"), "embeddings")
+    whole = {tuple(r) for r in vantage_trees.nearest(docs, QUERY).collect()}
+    monkeypatch.setattr(vantage_trees, "QUERIES_AT_ONCE", blocks)
+    monkeypatch.setattr(vantage_trees, "LEAST_ROWS", 60)
+    monkeypatch.setattr(vantage_trees, "MOST_ROWS", 60)
+    assert {tuple(r) for r in vantage_trees.nearest(docs, QUERY).collect()} == whole
