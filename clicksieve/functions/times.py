@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from clicksieve.record import DAY_PATTERN
 
-# Fixed value: what counts as a readable time at the start of the text.
-TIME_PREFIX = r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})"
+# What counts as a readable time at the start of the text: year, month, day, hour, minute, second.
+PLAIN_TIME = r"^(\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})(?!\d)"
+TIME_PREFIX = r"^[ \t]*(\d{4})-[ \t]*(\d{1,4})-[ \t]*(\d{1,4}) [ \t]*(\d{1,6}):[ \t]*(\d{1,6}):[ \t]*(\d{1,6})"
 
 _UNITS = {
     "microsecond": timedelta(microseconds=1),
@@ -33,10 +34,19 @@ def readable_time(text, source_tz="UTC"):
     """The time a text starts with, to the second; NULL if it starts with none.
 
     The fraction and any offset after the seconds are ignored, the rest is
-    wall-clock time in ``source_tz``. Expects a UTC session.
+    wall-clock time in ``source_tz``. Parts out of range roll over: month 13 is
+    the next January, 30 February is in March, 24:00 is the next day. Blanks
+    before a part do not matter. Expects a UTC session.
     """
-    # regexp_extract gives '' without a match, and try_cast turns that into NULL.
-    parsed = F.regexp_extract(text, TIME_PREFIX, 1).try_cast("timestamp")
+    # regexp_extract gives '' without a match, and try_cast turns that into NULL. Nearly all times are in range.
+    plain = F.regexp_extract(text, PLAIN_TIME, 1).try_cast("timestamp")
+    year, month, day_, hour, minute, second = [
+        F.regexp_extract(text, TIME_PREFIX, part).try_cast("int") for part in range(1, 7)
+    ]
+    # The month is counted from the start of the year, so that the day of the month is kept for what follows.
+    midnight = F.date_add(F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1), day_ - 1)
+    seconds = F.unix_seconds(midnight.cast("timestamp")) + (hour * 60 + minute).cast("long") * 60 + second
+    parsed = F.coalesce(plain, F.timestamp_seconds(seconds))
     return parsed if source_tz == "UTC" else F.to_utc_timestamp(parsed, source_tz)
 
 

@@ -20,7 +20,6 @@ from clicksieve.operators.records import (
     flatten,
     null_fill,
     record_from_row,
-    reorder,
     shows,
     with_label,
     without_label,
@@ -50,7 +49,6 @@ __all__ = [
     "quarantine_counts",
     "record_from_row",
     "record_lines",
-    "reorder",
     "shows",
     "window_arrays",
     "wire_lines",

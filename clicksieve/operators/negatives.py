@@ -25,13 +25,12 @@ def labelled_rows(df):
 def negatives_in_window(df, key="user_id", width=LABEL_WINDOW, ts=EVENT_TIME, distinct=False):
     """Shows whose key has no click in the same tumbling window, labelled and with the window's start.
 
-    ``distinct`` first folds equal rows and fills NULL keys. Shows and clicks
-    then read one shuffle of one decoded input: the flag is aggregated and the
+    NULL keys are filled, and are one key. ``distinct`` first folds equal rows.
+    Shows and clicks then read one shuffle of one decoded input: the flag is aggregated and the
     join keys are never NULL, so that no filter of either sinks below the fold.
     """
-    rows = labelled_rows(df).withColumn(WINDOW_START, window_start(F.col(ts), width))
+    rows = null_fill(labelled_rows(df).withColumn(WINDOW_START, window_start(F.col(ts), width)), [key])
     if distinct:
-        rows = null_fill(rows, [key])
         folded = rows.groupBy(*rows.columns).agg(F.max(F.col("interested") == CLICK).alias(CLICKED))
         shown = folded.where(~F.col(CLICKED)).drop(CLICKED)
         clicked = folded.where(CLICKED)
@@ -72,8 +71,12 @@ def has_click_within(micros, ttl):
 
 
 def negatives_within(shown, clicked, key="user_id", ttl=TTL, ts=EVENT_TIME):
-    """Shows with no click of their key from the show's time to ``ttl`` later, both included."""
+    """Shows with no click of their key from the show's time to ``ttl`` later, both included.
+
+    NULL keys are filled, and are one key.
+    """
     columns = shown.columns
+    shown, clicked = null_fill(shown, [key]), null_fill(clicked, [key])
     reach = click_reach(clicked, key, ttl, ts)
     left, right, on = splittable(shown.withColumn(BUCKET, bucket_start(F.col(ts), ttl)), reach, [key, BUCKET])
     right = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], LAST_CLICK, FIRST_CLICK)
@@ -101,23 +104,23 @@ def negatives_two_stream(
     """Shows and clicks each thinned to the first per key and ``ttl``, then :func:`negatives_within`.
 
     Thinning hides clicks too, so a show may stay negative although a later,
-    hidden click followed it; ``dedup_clicks=False`` counts every click.
+    hidden click followed it; ``dedup_clicks=False`` counts every click. NULL
+    keys are filled, and are one key; rows without a time are left out.
 
     Ordinary keys take one shuffle and one pass over sorted partitions that
     does both steps. Keys with more rows than one task should walk take the
     two steps one after the other, each of which spreads a key over tasks.
     """
     columns = df.columns
-    rows = labelled_rows(df)
+    rows = null_fill(labelled_rows(df), [key]).where(F.col(ts).isNotNull())
     if heavy is None:
         heavy = heavy_keys(rows, [key], rows_per_task)
-    # Bounded: see heavy_keys.
-    heavy = heavy.select(key)
-    ordinary = rows.join(F.broadcast(heavy), key, "left_anti").select(*columns)
+    heavy = null_fill(heavy.select(key), [key])
+    ordinary = rows.join(heavy, key, "left_anti").select(*columns)
     ordered = ordinary.repartition(key).sortWithinPartitions(key, ts, "interested", tie)
     walked = with_label(ordered.mapInArrow(_unclicked_shows(key, ts, duration_micros(ttl), dedup_clicks), df.schema))
 
-    large = rows.join(F.broadcast(heavy), key, "left_semi").select(*columns)
+    large = rows.join(heavy, key, "left_semi").select(*columns)
     kinds = heavy.select(key, F.explode(F.array(F.lit(SHOW), F.lit(CLICK))).alias("interested"))
     thinned = first_per_key_ttl(large if dedup_clicks else shows(large), [key, "interested"], ttl, ts, tie, kinds)
     spread = negatives_within(shows(thinned), clicks(thinned if dedup_clicks else large), key, ttl, ts)
@@ -170,6 +173,7 @@ def negatives_across_windows(
     df, key="user_id", width=LABEL_WINDOW, ttl=TTL, ts=EVENT_TIME, tie="event_id", rows_per_task=ROWS_PER_TASK
 ):
     """Clicked shows removed within a window, the rest thinned across windows, then clicked ones removed again."""
+    df = null_fill(df, [key])
     unclicked = negatives_in_window(df, key, width, ts, distinct=True).select(*df.columns)
     # Counted before the removal, which can only make a key's rows fewer.
     heavy = heavy_keys(labelled_rows(df), [key], rows_per_task)

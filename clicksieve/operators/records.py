@@ -42,7 +42,3 @@ def record_from_row(df, source_tz="UTC"):
     """The first five columns, whatever their names, as records; the time is parsed again."""
     columns = [F.col(f"`{name}`").cast("string").alias(field) for field, name in zip(RECORD_FIELDS, df.columns)]
     return null_fill(df.select(*columns)).withColumn(EVENT_TIME, lenient_timestamp(F.col("time_stamp"), source_tz))
-
-
-def reorder(df, columns):
-    return df.select(*columns)

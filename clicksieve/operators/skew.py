@@ -29,7 +29,16 @@ def splittable(left, right, keys):
 def heavy_keys(df, keys, rows_per_task=ROWS_PER_TASK):
     """Keys with more rows than one task should take in order.
 
-    At most ``rows / rows_per_task`` of them exist, so the result is small
-    enough to broadcast: 600 000 keys at worst for 600 billion rows.
+    At most ``rows / rows_per_task`` of them exist. Whether they are broadcast
+    is left to their measured size.
     """
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows_per_task).select(*keys)
+
+
+def same_keys(df, other, keys, how):
+    """A semi or anti join on ``keys`` in which NULL equals NULL; columns as in ``df``."""
+    other = other.select(*[F.col(k).alias(f"_o_{k}") for k in keys])
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    return df.join(other, condition, how).select(*df.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clicksieve.functions import bucket_start, duration_micros
-from clicksieve.operators.skew import ROWS_PER_TASK, heavy_keys
+from clicksieve.operators.skew import ROWS_PER_TASK, heavy_keys, same_keys
 from clicksieve.record import EVENT_TIME, TTL
 
 SEGMENT = "_segment"
@@ -40,31 +40,39 @@ def first_per_key_ttl(
 ):
     """The first row per key, and again the first row ``ttl`` or more after each kept one.
 
-    Among rows of the same instant the smallest ``tie`` comes first. Keys and
-    times must not be NULL. ``heavy`` names the keys to be cut into segments
-    where the caller knows them; by default they are counted, which reads the
-    key columns once more.
+    Among rows of the same instant the smallest ``tie`` comes first, and of
+    equal ties the row that is smallest in all its columns. NULL keys are one
+    key. Rows without a time have no place in the order and are left out.
+    ``heavy`` names the keys to be cut into segments where the caller knows
+    them; by default they are counted, which reads the key columns once more.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     micros = duration_micros(ttl)
+    df = df.where(F.col(ts).isNotNull())
     if heavy is None:
         heavy = heavy_keys(df, keys, rows_per_task)
-    # Bounded: see heavy_keys.
-    heavy = F.broadcast(heavy.select(*keys))
-    whole = df.join(heavy, keys, "left_anti").select(*df.columns, F.lit(None).cast("long").alias(SEGMENT))
-    cut = _firsts_of_instants(df.join(heavy, keys, "left_semi"), df.columns, keys, micros, ts, tie)
+    order = _tie_order(df, keys, ts, tie)
+    whole = same_keys(df, heavy, keys, "left_anti").withColumn(SEGMENT, F.lit(None).cast("long"))
+    cut = _firsts_of_instants(same_keys(df, heavy, keys, "left_semi"), df.columns, keys, micros, ts, order)
     # An entry time joins its segment as a first row that carries nothing else.
     rows = whole.unionByName(cut).withColumn(OPEN_FROM, F.lit(None).cast("long"))
     rows = rows.unionByName(_entry_times(cut, keys, micros, ts), allowMissingColumns=True)
     runs = [*keys, SEGMENT]
-    ordered = rows.repartition(*runs).sortWithinPartitions(*runs, ts, tie)
+    ordered = rows.repartition(*runs).sortWithinPartitions(*runs, ts, *order)
     return ordered.mapInArrow(_keep_first(runs, ts, micros), rows.schema).select(*df.columns)
 
 
-def _firsts_of_instants(df, columns, keys, micros, ts, tie):
+def _tie_order(df, keys, ts, tie):
+    """The columns that order rows of one key and instant: the tie, then all others that have an order."""
+    others = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return [tie, *[c for c in others if c not in (*keys, ts, tie)]]
+
+
+def _firsts_of_instants(df, columns, keys, micros, ts, order):
     """The first row of each key and instant, with the segment it falls in."""
     others = [c for c in columns if c not in (*keys, ts)]
-    firsts = df.groupBy(*keys, ts).agg(F.min_by(F.struct(*others), F.col(tie)).alias("_row"))
+    # A struct is never NULL, even where all its fields are, so no row is lost.
+    firsts = df.groupBy(*keys, ts).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
     return firsts.select(*keys, ts, "_row.*").select(*columns, _segment(ts, micros).alias(SEGMENT))
 
 

@@ -1,9 +1,7 @@
 """Every operator as a query over the given tables."""
 
-import json
 import os
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from clicksieve.functions import day, day_of_millis, lenient_timestamp, register_map_function
@@ -18,7 +16,6 @@ from clicksieve.operators import (
     good_records,
     json_lines,
     lookup_features,
-    map_partitions,
     map_to_columns,
     negatives_across_windows,
     negatives_in_window,
@@ -40,12 +37,13 @@ from clicksieve.sinks import (
     bucketed,
     create_sample_table,
     evolve_and_append,
+    folder_days,
     hour_bucketed,
     publish_closed_days,
     write_orc_buckets,
     write_text_buckets,
 )
-from clicksieve.sources import customer_features, events_log, events_parquet, register_view, stream_lines
+from clicksieve.sources import customer_features, events_log, read_lines, register_view, stream_lines
 from clicksieve.streaming import (
     distinct_stream,
     end_record,
@@ -54,14 +52,18 @@ from clicksieve.streaming import (
     negatives_two_stream_stream,
     negatives_within_stream,
     replay,
+    stream_to_table,
     stream_to_text_buckets,
 )
+from clicksieve.streaming.jobs import LOAD_COLUMN
+from clicksieve.streaming.times import END_USER
 
 FEATURES = ["segment", "nation", "in_credit", "field8"]
 RECORD = [*RECORD_FIELDS, EVENT_TIME]
 ONE_DAY = "20240115"
 CLOSED_BEFORE = "2024-01-20 12:00:00"
-STATE_PARTITIONS = 8
+DENSER = 2000  # times of the dense log are so many times nearer to one another
+SLICES = 5  # micro-batches of a replayed log, at least
 
 
 def comparable(df):
@@ -121,6 +123,10 @@ def parse_time_lenient(spark, sf):
         "plain": second,
         "minutes only": F.substring(text, 1, 16),
         "prefixed": F.concat(F.lit("at "), text),
+        "blank": F.concat(F.lit("  "), text),
+        "month 13": F.concat(F.substring(text, 1, 5), F.lit("13"), F.substring(second, 8, 100)),
+        "hour 24": F.concat(F.substring(text, 1, 11), F.lit("24:00:00")),
+        "30 February": F.concat(F.substring(text, 1, 5), F.lit("02-30 10:00:00")),
         "empty": F.lit(""),
         "missing": F.lit(None).cast("string"),
     }
@@ -155,14 +161,19 @@ def record_text(spark, sf):
     return record_lines(events_log(spark, sf))
 
 
-def partition_clients(spark, sf):
-    """One decoder per partition, used for all its batches."""
+def decode_files(spark, sf):
+    """The log written as text files and read from them."""
+    path = fresh_path(spark, "lines")
+    wire_lines(events_log(spark, sf), RECORD_FIELDS).write.text(path)
+    return good_records(decode(read_lines(spark, path)))
 
-    def read(decoder, batch):
-        return pd.DataFrame({"event_id": batch["event_id"], "k": [decoder.decode(text)["k"] for text in batch["props"]]})
 
-    events = events_parquet(spark, sf).select("event_id", "props")
-    return map_partitions(events, json.JSONDecoder, read, "event_id bigint, k bigint")
+def dense_log(spark, sf):
+    """Shows and clicks with times so near that windows of seconds hold several of one user."""
+    log = events_log(spark, sf, labelled_only=True)
+    start = F.unix_seconds(F.lit("2024-01-01").cast("timestamp"))
+    seconds = F.floor((F.unix_seconds(EVENT_TIME) - start) / DENSER) + start
+    return log.withColumn(EVENT_TIME, F.timestamp_seconds(seconds))
 
 
 # Distinct rows and first rows
@@ -193,8 +204,27 @@ def first_per_user(ttl):
 
 
 def first_per_user_segmented(spark, sf):
-    """As first_per_user_6h, by way of the time segments meant for users with very many rows."""
-    return first_per_key_ttl(clicks(events_log(spark, sf, labelled_only=True)), ttl="6 hours", rows_per_task=20)
+    """As first_per_user_ttl, with all but the rarest users by way of the time segments meant for very many rows."""
+    rows = clicks(events_log(spark, sf, labelled_only=True))
+    heavy = rows.groupBy("user_id").agg(F.count("*").alias("n")).where("n > 1")
+    return first_per_key_ttl(rows, ttl="6 hours", heavy=heavy)
+
+
+def first_per_user_dense(spark, sf):
+    return first_per_key_ttl(clicks(dense_log(spark, sf)), ttl="30 seconds")
+
+
+def window_negatives_dense(spark, sf):
+    return negatives_in_window(dense_log(spark, sf), width="10 seconds")
+
+
+def interval_negatives_dense(spark, sf):
+    log = dense_log(spark, sf)
+    return negatives_within(shows(log), clicks(log), ttl="30 seconds")
+
+
+def two_stream_negatives_dense(spark, sf):
+    return negatives_two_stream(dense_log(spark, sf), ttl="30 seconds")
 
 
 def connected_counts(spark, sf):
@@ -241,6 +271,14 @@ def looked_up(spark, sf):
     return map_to_columns(enriched.select("event_id", "user_id", MAP_COLUMN), FEATURES)
 
 
+def looked_up_with_misses(spark, sf):
+    """Users of errors have no features, and stay."""
+    log = events_log(spark, sf)
+    unknown = F.when(F.col("interested") == "error", F.concat(F.lit("unknown "), "user_id")).otherwise(F.col("user_id"))
+    enriched = lookup_features(log.withColumn("user_id", unknown), customer_features(spark, sf), FEATURES)
+    return map_to_columns(enriched.select("event_id", "user_id", MAP_COLUMN), FEATURES)
+
+
 def features_of_users(spark, sf):
     """Features of every customer, event or not, as a map and back."""
     customers = spark.read.parquet(os.path.join(sf, "customer.parquet"))
@@ -310,7 +348,7 @@ def published_days(spark, sf):
     path = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()["data_type"]
     rows = bucketed(events_log(spark, sf)).drop(EVENT_TIME)
     rows.hint("rebalance", PARTITION_COLUMN).write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
-    publish_closed_days(spark, table, spark.read.parquet(path), CLOSED_BEFORE)
+    publish_closed_days(spark, table, folder_days(spark, path), CLOSED_BEFORE)
     return spark.table(table)
 
 
@@ -353,62 +391,82 @@ def labelled_to_table(spark, sf):
 # Streams
 
 
-def streamed(spark, log):
-    """A log as a stream of files that ends with the record after which every window has closed."""
+def arrivals_of(spark, log, write, end):
+    """What brings a log in: slices in the order of time, and the record after which every window has closed.
+
+    The slices are bounds of time, so that each is written by a job that
+    spreads over all tasks.
+    """
+    micros = F.unix_micros(EVENT_TIME)
+    first, last = log.agg(F.min(micros), F.max(micros)).first()
+    part = F.floor((micros - first) * SLICES / (last - first + 1))
+
+    def bring(number):
+        return lambda: write(log.where(part == number))
+
+    return [*[bring(number) for number in range(SLICES)], lambda: write(end)]
+
+
+def replayed(spark, log, name, operator):
+    """A log through a stream operator, in slices; without what the end record itself makes."""
     path = fresh_path(spark, "stream")
-    log.unionByName(end_record(spark)).write.parquet(path)
-    return spark.readStream.schema(log.schema).parquet(path)
+    log.limit(0).write.parquet(path)
+    source = spark.readStream.schema(log.schema).parquet(path)
+    arrivals = arrivals_of(spark, log, lambda rows: rows.write.mode("append").parquet(path), end_record(spark))
+    return replay(operator(source), name, arrivals).where(F.col("user_id") != END_USER)
 
 
 def stream_distinct(spark, sf):
-    source = streamed(spark, twice(events_log(spark, sf)))
-    return replay(distinct_stream(source), "distinct", STATE_PARTITIONS)
+    return replayed(spark, twice(events_log(spark, sf)), "distinct", distinct_stream)
 
 
 def stream_negatives_window(spark, sf):
-    source = streamed(spark, events_log(spark, sf))
-    return replay(negatives_in_window_stream(source, width="1 day"), "window", STATE_PARTITIONS)
+    return replayed(spark, events_log(spark, sf), "window", lambda s: negatives_in_window_stream(s, width="1 day"))
 
 
 def stream_negatives_interval(spark, sf):
-    source = streamed(spark, events_log(spark, sf))
-    return replay(negatives_within_stream(source, ttl="6 hours"), "interval", STATE_PARTITIONS)
+    return replayed(spark, events_log(spark, sf), "interval", lambda s: negatives_within_stream(s, ttl="6 hours"))
 
 
 def stream_first_per_user(spark, sf):
-    source = streamed(spark, clicks(events_log(spark, sf, labelled_only=True)))
-    # The end record is a user of its own.
-    first = first_per_key_ttl_stream(source, ttl="6 hours").where(F.col("interested") != "")
-    return replay(first, "first", STATE_PARTITIONS)
+    log = clicks(events_log(spark, sf, labelled_only=True))
+    return replayed(spark, log, "first", lambda s: first_per_key_ttl_stream(s, ttl="6 hours"))
 
 
 def stream_two_stream(spark, sf):
-    source = streamed(spark, events_log(spark, sf))
-    return replay(negatives_two_stream_stream(source, ttl="6 hours"), "two", STATE_PARTITIONS)
+    return replayed(spark, events_log(spark, sf), "two", lambda s: negatives_two_stream_stream(s, ttl="6 hours"))
 
 
 def stream_to_samples(spark, sf):
     """The whole way on a stream of lines, into a table."""
     path = fresh_path(spark, "lines")
-    log = events_log(spark, sf).unionByName(end_record(spark).withColumn("time_stamp", F.lit("2200-01-01 00:00:00")))
-    wire_lines(log, RECORD_FIELDS).write.text(path)
-    table = new_table(spark, "samples", batch_column="load_id")
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(STATE_PARTITIONS))
-    try:
+    spark.range(0).select(F.lit("").alias("value")).write.text(path)
+    table = new_table(spark, "samples", batch_column=LOAD_COLUMN)
+    lines = stream_lines(spark, path)
+
+    def write(rows):
+        wire_lines(rows, RECORD_FIELDS).write.mode("append").text(path)
+
+    end = end_record(spark).withColumn("time_stamp", F.lit("2200-01-01 00:00:00"))
+    for arrive in arrivals_of(spark, events_log(spark, sf), write, end):
+        arrive()
         stream_lines_to_table(
-            stream_lines(spark, path),
-            customer_features(spark, sf),
-            table,
-            f"{path}-progress",
-            FEATURES,
-            "1 day",
-            interval=None,
-            batch_column="load_id",
+            lines, customer_features(spark, sf), table, f"{path}-progress", FEATURES, "1 day", interval=None
         ).awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    return spark.table(table).drop("load_id")
+    return spark.table(table).drop(LOAD_COLUMN)
+
+
+def two_streams_to_table(spark, sf):
+    """Shows and clicks as two streams into one table, each with its own checkpoint; the second one is started again."""
+    log = events_log(spark, sf, labelled_only=True)
+    table = new_table(spark, "shared", batch_column=LOAD_COLUMN)
+    paths = [fresh_path(spark, name) for name in ("shows", "clicks")]
+    for rows, path in zip((shows(log), clicks(log)), paths):
+        rows.write.parquet(path)
+    for path in (*paths, paths[1]):
+        stream = spark.readStream.schema(log.schema).parquet(path)
+        stream_to_table(stream, table, f"{path}-progress", interval=None).awaitTermination()
+    return spark.table(table).drop(LOAD_COLUMN)
 
 
 def stream_text(spark, sf):
@@ -436,7 +494,7 @@ QUERIES = {
         "json_export": json_export,
         "wire_export": wire_export,
         "record_lines": record_text,
-        "partition_clients": partition_clients,
+        "decode_files": decode_files,
         "distinct_rows_in_window": distinct_rows,
         "distinct_in_window": distinct_types,
         "window_arrays": window_array_sizes,
@@ -444,6 +502,10 @@ QUERIES = {
         "first_per_user_30s": first_per_user("30 seconds"),
         "first_per_user_ttl": first_per_user("6 hours"),
         "first_per_user_segmented": first_per_user_segmented,
+        "first_per_user_30s_dense": first_per_user_dense,
+        "negatives_window_10s_dense": window_negatives_dense,
+        "negatives_interval_30s_dense": interval_negatives_dense,
+        "negatives_two_stream_30s_dense": two_stream_negatives_dense,
         "connected_counts": connected_counts,
         "negatives_window_10s": window_negatives("10 seconds"),
         "negatives_window_1h": window_negatives("1 hour"),
@@ -457,6 +519,7 @@ QUERIES = {
         "negatives_two_stream_all_clicks": two_stream_negatives("6 hours", dedup_clicks=False),
         "multi_window_negatives": multi_window_negatives,
         "lookup_features": looked_up,
+        "lookup_features_missing": looked_up_with_misses,
         "feature_map_to_columns": features_of_users,
         "sql_map_projection": sql_map_projection,
         "struct_expanded": struct_expanded,
@@ -475,6 +538,7 @@ QUERIES = {
         "stream_first_per_user_ttl": stream_first_per_user,
         "stream_two_stream": stream_two_stream,
         "stream_samples_to_table": stream_to_samples,
+        "two_streams_to_table": two_streams_to_table,
         "stream_text": stream_text,
     }.items()
 }

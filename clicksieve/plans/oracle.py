@@ -1,6 +1,6 @@
 """The same answers in plain SQL, for checking."""
 
-from clicksieve.plans.catalogue import CLOSED_BEFORE, ONE_DAY
+from clicksieve.plans.catalogue import CLOSED_BEFORE, DENSER, ONE_DAY
 
 LOG = """log AS (
   SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id AS VARCHAR) AS event_id, '0' AS invited,
@@ -77,10 +77,23 @@ SAMPLES = f"{RECORD}, label, {FEATURE_NAMES}, {DAY} AS pt_d"
 STORED_SAMPLES = f"{TEXTS}, {FEATURE_NAMES}, {DAY} AS pt_d"
 LINE = f"concat_ws(chr(1), {TEXTS})"
 EPOCH = "TIMESTAMP '1970-01-01 00:00:00'"
+PART = "TRY_CAST(regexp_extract(text, '^ *(\\d{4})-(\\d+)-(\\d+) (\\d+):(\\d+):(\\d+)', %d) AS BIGINT)"
 PARSED = (
-    "coalesce(try_strptime(regexp_extract(text, '^(\\d{4}-\\d{1,2}-\\d{1,2} \\d{1,2}:\\d{1,2}:\\d{1,2})', 1), "
-    f"'%Y-%m-%d %H:%M:%S'), {EPOCH})"
+    f"coalesce(make_date({PART % 1}, 1, 1) + to_months(CAST({PART % 2} - 1 AS INTEGER)) + to_days(CAST({PART % 3} - 1 AS INTEGER)) "
+    f"+ to_hours({PART % 4}) + to_minutes({PART % 5}) + to_seconds({PART % 6}), {EPOCH})"
 )
+DENSE = f"""dense AS (
+  SELECT user_id, event_id, invited, time_stamp, interested, TIMESTAMP '2024-01-01'
+    + to_seconds(CAST(floor((epoch("timeStamp_flag") - epoch(TIMESTAMP '2024-01-01')) / {DENSER}) AS BIGINT)) AS "timeStamp_flag"
+  FROM log)"""
+DENSE_KINDS = """shows AS (SELECT * FROM dense WHERE interested = '0'),
+clicks AS (SELECT * FROM dense WHERE interested = '1')"""
+
+
+def dense(select, *more):
+    return f"WITH RECURSIVE {', '.join([LOG, DENSE, DENSE_KINDS, *more])}\n{select}"
+
+
 DISTINCT_ROWS = from_log(f"SELECT {RECORD}, {window_of('10 seconds')} AS window_start FROM log")
 FIRST_6H = chained(f"SELECT {RECORD} FROM kept", chain("kept", "clicks", "6 hours"))
 TWO_STREAM_6H = chained(
@@ -110,6 +123,10 @@ FROM log WHERE interested NOT IN ('signup', 'error')"""
   UNION ALL SELECT event_id, 'plain', split_part(time_stamp, '.', 1) FROM log
   UNION ALL SELECT event_id, 'minutes only', substr(time_stamp, 1, 16) FROM log
   UNION ALL SELECT event_id, 'prefixed', 'at ' || time_stamp FROM log
+  UNION ALL SELECT event_id, 'blank', '  ' || time_stamp FROM log
+  UNION ALL SELECT event_id, 'month 13', substr(time_stamp, 1, 5) || '13' || substr(split_part(time_stamp, '.', 1), 8) FROM log
+  UNION ALL SELECT event_id, 'hour 24', substr(time_stamp, 1, 11) || '24:00:00' FROM log
+  UNION ALL SELECT event_id, '30 February', substr(time_stamp, 1, 5) || '02-30 10:00:00' FROM log
   UNION ALL SELECT event_id, 'empty', '' FROM log
   UNION ALL SELECT event_id, 'missing', NULL FROM log)""",
     ),
@@ -122,7 +139,7 @@ FROM log WHERE interested NOT IN ('signup', 'error')"""
         f"SELECT {JSON.replace('{user}', 'true')} || chr(1) || 'abcd' || chr(1) || 'abcd' AS value FROM log"
     ),
     "record_lines": from_log(f"SELECT {LINE} AS value FROM log"),
-    "partition_clients": "SELECT event_id, CAST(regexp_extract(props, '\\d+') AS BIGINT) AS k FROM events",
+    "decode_files": from_log(f"SELECT {RECORD} FROM log"),
     "distinct_rows_in_window": DISTINCT_ROWS,
     "distinct_in_window": from_log(
         f"SELECT DISTINCT user_id, interested, {window_of('1 day')} AS window_start FROM log"
@@ -134,6 +151,14 @@ FROM log WHERE interested NOT IN ('signup', 'error')"""
     "first_per_user_30s": chained(f"SELECT {RECORD} FROM kept", chain("kept", "clicks", "30 seconds")),
     "first_per_user_ttl": FIRST_6H,
     "first_per_user_segmented": FIRST_6H,
+    "first_per_user_30s_dense": dense(f"SELECT {RECORD} FROM kept", chain("kept", "clicks", "30 seconds")),
+    "negatives_window_10s_dense": dense(window_negatives("10 seconds")),
+    "negatives_interval_30s_dense": dense(interval_negatives("shows", "clicks", "30 seconds")),
+    "negatives_two_stream_30s_dense": dense(
+        interval_negatives("first_shows", "first_clicks", "30 seconds"),
+        chain("first_shows", "shows", "30 seconds"),
+        chain("first_clicks", "clicks", "30 seconds"),
+    ),
     "connected_counts": """SELECT CAST(user_id AS VARCHAR) AS user_id,
   CASE event_type WHEN 'view' THEN 'show' ELSE 'click' END AS side, count(*) AS row_count
 FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2""",
@@ -160,6 +185,11 @@ FROM events WHERE event_type IN ('view', 'click') GROUP BY 1, 2""",
         chain("first_clicks", "clicks", "6 hours"),
     ),
     "lookup_features": from_log(LOOKED_UP.format(columns="event_id, user_id"), FEATURES),
+    "lookup_features_missing": from_log(
+        f"""SELECT event_id, CASE interested WHEN 'error' THEN 'unknown ' ELSE '' END || user_id AS user_id, {FEATURE_NAMES}
+FROM log LEFT JOIN features ON interested <> 'error' AND user_id = key""",
+        FEATURES,
+    ),
     "feature_map_to_columns": f"WITH {FEATURES}\nSELECT key AS user_id, {FEATURE_NAMES} FROM features",
     "sql_map_projection": from_log(LOOKED_UP.format(columns=RECORD), FEATURES),
     "struct_expanded": from_log(f"SELECT {RECORD} FROM log"),
@@ -192,5 +222,6 @@ WHERE date_trunc('day', "timeStamp_flag") + INTERVAL '1 day' <= TIMESTAMP '{CLOS
     "stream_first_per_user_ttl": FIRST_6H,
     "stream_two_stream": TWO_STREAM_6H,
     "stream_samples_to_table": samples(STORED_SAMPLES),
+    "two_streams_to_table": from_log(f"SELECT {TEXTS}, {DAY} AS pt_d FROM log WHERE interested IN ('0', '1')"),
     "stream_text": from_log(f"SELECT {LINE} AS value FROM log"),
 }

@@ -7,6 +7,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # State off the JVM heap; checkpoints carry changes, not whole snapshots; no extra reads to count rows.
+# Adaptive execution merges small partitions and cannot split the sorted walks, so it starts from many. Streams
+# keep the number they start with as the width of their state.
+SHUFFLE_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -29,7 +36,9 @@ def build_session(app="clicksieve", master=None, **conf):
     )
     if master:
         builder = builder.master(master)
-    for name, value in {**STATE_SETTINGS, **conf}.items():
+    # On one machine the many partitions would be nearly empty.
+    wide = {} if (master or "").startswith("local") else SHUFFLE_SETTINGS
+    for name, value in {**wide, **STATE_SETTINGS, **conf}.items():
         builder = builder.config(name, value)
     return use_utc(builder.getOrCreate())
 

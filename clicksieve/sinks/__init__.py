@@ -1,6 +1,6 @@
 from clicksieve.sinks.files import bucketed, hour_bucketed, write_orc_buckets, write_text_buckets
 from clicksieve.sinks.kafka import kafka_sink_options, write_kafka
-from clicksieve.sinks.publish import closed_days, publish_closed_days
+from clicksieve.sinks.publish import closed_days, folder_days, publish_closed_days
 from clicksieve.sinks.tables import create_sample_table, evolve_and_append, evolve_columns
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "create_sample_table",
     "evolve_and_append",
     "evolve_columns",
+    "folder_days",
     "hour_bucketed",
     "kafka_sink_options",
     "publish_closed_days",

@@ -13,12 +13,22 @@ def closed_days(df, watermark, column=PARTITION_COLUMN, tz="UTC"):
 
 
 def publish_closed_days(spark, table, written, watermark, column=PARTITION_COLUMN, tz="UTC"):
-    """Register the closed days of files already written under the table's location.
+    """Register the closed days of ``written``, which has a row per day or more.
 
-    Only day names reach the driver. Returns the days.
+    Only day names reach the driver. Returns the days. :func:`folder_days`
+    gives the days of files that are already there, without opening them.
     """
     days = [row[0] for row in closed_days(written, watermark, column, tz).collect()]
     if days:
         partitions = " ".join(f"PARTITION (`{column}` = '{value}')" for value in sorted(days))
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
     return sorted(days)
+
+
+def folder_days(spark, path, column=PARTITION_COLUMN):
+    """The days that have a folder ``column=day`` under ``path``, by listing it."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    names = [status.getPath().getName() for status in found if status.isDirectory()]
+    days = sorted(name.split("=", 1)[1] for name in names if name.startswith(f"{column}="))
+    return spark.createDataFrame([(day,) for day in days], f"{column} string")

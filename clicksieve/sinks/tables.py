@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 from clicksieve.functions import day
 from clicksieve.record import EVENT_TIME, PARTITION_COLUMN, RECORD_FIELDS
 
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
 def _quoted(names):
     return ", ".join(f"`{name}`" for name in names)
 
@@ -17,8 +14,8 @@ def _quoted(names):
 def create_sample_table(
     spark, table, columns=RECORD_FIELDS, path=None, provider="parquet", partition=PARTITION_COLUMN, batch_column=None
 ):
-    """A text-column table partitioned by day, and by load where ``batch_column`` is named."""
-    partitions = [partition] + ([batch_column] if batch_column else [])
+    """A text-column table partitioned by day, and first by load where ``batch_column`` is named."""
+    partitions = ([batch_column] if batch_column else []) + [partition]
     body = ", ".join(f"`{name}` STRING" for name in [*columns, *partitions])
     location = f" LOCATION '{path}'" if path else ""
     spark.sql(
@@ -45,26 +42,30 @@ def evolve_and_append(
     stored. Table columns the result lacks read NULL. ``rebalance`` sizes the
     files: days of few rows end in few files, a day of very many is split.
 
-    With ``batch_column`` the rows of one ``batch_id`` are replaced, so a
-    load that runs twice counts once.
+    With ``batch_column``, by which the table is then partitioned first, the
+    rows of one ``batch_id`` are replaced, so a load that runs twice counts
+    once. Loads with other names are not touched.
     """
     spark = df.sparkSession
     if partition not in df.columns:
         df = df.withColumn(partition, day(F.col(ts)))
     df = df.drop(ts)
     evolve_columns(spark, table, df.columns)
-    if batch_column:
-        df = df.withColumn(batch_column, F.lit(str(batch_id)))
     if rebalance:
         df = df.hint("rebalance", partition)
     view = f"append_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
-    mode = spark.conf.get(OVERWRITE_MODE)
     try:
-        # Only the partitions of this batch are replaced.
-        spark.conf.set(OVERWRITE_MODE, "dynamic")
-        verb = "INSERT OVERWRITE" if batch_column else "INSERT INTO"
-        spark.sql(f"{verb} {table} BY NAME SELECT {_quoted(df.columns)} FROM {view}")
+        if batch_column:
+            # The load is a fixed partition, so its days are replaced and no other load's.
+            columns = [c for c in spark.table(table).columns if c.lower() not in (batch_column.lower(), partition.lower())]
+            named = {c.lower(): c for c in df.columns}
+            picked = [f"`{named[c.lower()]}`" if c.lower() in named else "NULL" for c in columns]
+            spark.sql(
+                f"INSERT OVERWRITE {table} PARTITION (`{batch_column}` = '{batch_id}', `{partition}`) "
+                f"SELECT {', '.join([*picked, f'`{partition}`'])} FROM {view}"
+            )
+        else:
+            spark.sql(f"INSERT INTO {table} BY NAME SELECT {_quoted(df.columns)} FROM {view}")
     finally:
-        spark.conf.set(OVERWRITE_MODE, mode)
         spark.catalog.dropTempView(view)

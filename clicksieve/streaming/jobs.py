@@ -7,6 +7,14 @@ from clicksieve.sinks.files import hour_bucketed
 from clicksieve.sinks.tables import evolve_and_append
 
 
+LOAD_COLUMN = "load_id"
+
+
+def stream_id(batch):
+    """The id of the stream a micro-batch is of: kept in its checkpoint, and the same after a restart."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _trigger(writer, interval):
     """Micro-batches at an interval, or all present input once and stop for None."""
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
@@ -22,33 +30,38 @@ def stream_to_text_buckets(lines, path, checkpoint, interval=TRIGGER_INTERVAL, m
 
 
 def stream_to_table(
-    df, table, checkpoint, interval=TRIGGER_INTERVAL, ts=EVENT_TIME, partition=PARTITION_COLUMN, batch_column=None
+    df, table, checkpoint, interval=TRIGGER_INTERVAL, ts=EVENT_TIME, partition=PARTITION_COLUMN, batch_column=LOAD_COLUMN
 ):
     """A stream appended to a day-partitioned table, which gains new columns batch by batch.
 
-    A batch cut short by a failure runs again. With ``batch_column``, by
-    which the table is then partitioned too, the repeat replaces the first
-    attempt; without it the repeat may leave duplicates.
+    A batch cut short by a failure runs again. ``batch_column``, by which the
+    table is partitioned first, names the load: the stream, by the id that its
+    checkpoint keeps, and the batch. So a repeat replaces its own first attempt
+    and nothing else, whatever other streams or checkpoints feed the table.
+    With ``None`` a repeat may leave duplicates.
     """
+    spark = df.sparkSession
 
     def append(batch, batch_id):
-        evolve_and_append(batch, table, ts, partition, batch_column=batch_column, batch_id=batch_id)
+        load = f"{stream_id(batch)}-{batch_id}"
+        evolve_and_append(batch, table, ts, partition, batch_column=batch_column, batch_id=load)
+        # Readers of the session that started the stream see the files as they are now.
+        spark.catalog.refreshTable(table)
 
     writer = df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).outputMode("append")
     return _trigger(writer, interval).start()
 
 
-def replay(df, name, state_partitions=None):
-    """All present input of a stream through it once; the rows it emitted, as a batch."""
+def replay(df, name, arrivals=(lambda: None,)):
+    """A stream run once after each of ``arrivals``, which add to its input; the rows it emitted, as a batch.
+
+    Each run takes what is there as micro-batches of its own and goes on from
+    the state and the watermark of the run before.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    # A stream's state keeps the partition count it starts with.
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or partitions))
-    try:
-        writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-progress")
-        query = _trigger(writer.outputMode("append"), None).start()
-        query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}-progress")
+    for arrive in arrivals:
+        arrive()
+        _trigger(writer.outputMode("append"), None).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(path)

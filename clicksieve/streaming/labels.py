@@ -45,10 +45,11 @@ def negatives_in_window_stream(
     columns = df.columns
     rows = df.withWatermark(ts, delay)
     if distinct:
-        rows = of_kind(rows, ts, SHOW, CLICK).dropDuplicates(columns)
+        # As aggregates, copies fold before they are shuffled.
+        rows = of_kind(rows, ts, SHOW, CLICK).groupBy(*columns).agg(F.count("*").alias("_copies")).select(*columns)
     shown, clicked = of_kind(rows, ts, SHOW), of_kind(rows, ts, CLICK)
     window = F.window(ts, width).alias("_window")
-    clicked = clicked.select(key, window).dropDuplicates([key, "_window"])
+    clicked = clicked.groupBy(key, window).agg(F.count("*").alias("_clicks")).select(key, "_window")
     # A join side may have one event-time column: the window. The row's own time goes along as a number.
     others = [c for c in columns if c != ts]
     shown = shown.select(*others, F.unix_micros(F.col(ts)).alias(MICROS), window)

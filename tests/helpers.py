@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 
 from clicksieve.record import RECORD_SCHEMA
 
-START = datetime(2012, 10, 2, 15, 53, 0, tzinfo=timezone.utc)
+START = datetime(2019, 3, 7, 11, 26, 0, tzinfo=timezone.utc)
 
 
 def log(spark, rows, start=START):

@@ -11,7 +11,6 @@ from clicksieve.operators import (
     map_partitions,
     map_to_columns,
     null_fill,
-    reorder,
     window_arrays,
     with_label,
     without_label,
@@ -21,7 +20,7 @@ from clicksieve.record import FEATURE_FIELDS, FEATURE_SCHEMA
 from clicksieve.sources import customer_features, long_features
 from helpers import log
 
-FEATURES = [("myhash", "field1", "10"), ("myhash", "field2", "20"), ("other", "unknown", "1")]
+FEATURES = [("reader7", "field1", "10"), ("reader7", "field2", "20"), ("other", "unknown", "1")]
 
 
 def features(spark, rows=FEATURES):
@@ -29,26 +28,26 @@ def features(spark, rows=FEATURES):
 
 
 def test_lookup_keeps_every_row(spark):
-    df = log(spark, [("myhash", 0, "0"), ("myhash", 1, "0"), ("other", 2, "0"), ("nobody", 3, "0"), ("", 4, "0")])
+    df = log(spark, [("reader7", 0, "0"), ("reader7", 1, "0"), ("other", 2, "0"), ("nobody", 3, "0"), ("", 4, "0")])
     enriched = lookup_features(df, features(spark), ["field1", "field3"])
     maps = {r.user_id: r.mymap for r in enriched.collect()}
-    assert maps["myhash"] == {"field1": "10", "field3": None}
+    assert maps["reader7"] == {"field1": "10", "field3": None}
     assert maps["other"] == maps["nobody"] == maps[""] == {"field1": None, "field3": None}
     columns = map_to_columns(enriched, ["field3", "field1"])
     assert columns.columns == [*df.columns, "field3", "field1"]
     assert sorted((r.user_id, r.field1) for r in columns.collect()) == [
-        ("", None), ("myhash", "10"), ("myhash", "10"), ("nobody", None), ("other", None),
+        ("", None), ("nobody", None), ("other", None), ("reader7", "10"), ("reader7", "10"),
     ]
 
 
 def test_all_configured_fields(spark):
-    df = log(spark, [("myhash", 0, "0")])
+    df = log(spark, [("reader7", 0, "0")])
     row = map_to_columns(lookup_features(df, features(spark))).first()
     assert [row[f] for f in FEATURE_FIELDS] == ["10", "20", None, None, None, None, None, None]
 
 
 def test_saved_features(spark):
-    df = log(spark, [("myhash", 0, "0"), ("nobody", 1, "0")])
+    df = log(spark, [("reader7", 0, "0"), ("nobody", 1, "0")])
     saved = feature_columns(features(spark), ["field1", "field2"])
     wanted = ["field2", "field8"]
     assert sorted(map(str, lookup_features(df, saved, wanted).collect())) == sorted(
@@ -57,10 +56,10 @@ def test_saved_features(spark):
 
 
 def test_repeated_fields_keep_one_value(spark):
-    df = log(spark, [("myhash", 0, "0")])
-    assert lookup_features(df, features(spark, FEATURES + [("myhash", "field1", "9")]), ["field1"]).first().mymap == {"field1": "9"}
+    df = log(spark, [("reader7", 0, "0")])
+    assert lookup_features(df, features(spark, FEATURES + [("reader7", "field1", "9")]), ["field1"]).first().mymap == {"field1": "9"}
     versions = spark.createDataFrame(
-        [("myhash", "field1", "9", 1), ("myhash", "field1", "10", 2)], "key string, field string, value string, v int"
+        [("reader7", "field1", "9", 1), ("reader7", "field1", "10", 2)], "key string, field string, value string, v int"
     )
     assert lookup_features(df, versions, ["field1"], version="v").first().mymap == {"field1": "10"}
 
@@ -134,7 +133,6 @@ def test_row_steps(spark):
     df = log(spark, [("a", 0, "0")])
     assert without_label(with_label(df)).columns == df.columns
     assert with_label(df).first().label == 0
-    assert reorder(df, ["interested", "user_id"]).columns == ["interested", "user_id"]
     nested = df.select(F.struct("user_id", "event_id").alias("s"), "invited")
     assert expand_struct(nested, "s").columns == ["user_id", "event_id", "invited"]
     holes = df.withColumn("user_id", F.lit(None).cast("string"))

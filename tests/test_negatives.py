@@ -79,7 +79,7 @@ def test_window_against_brute_force(spark, rows, width, distinct):
     # The log starts at a multiple of each width.
     from datetime import datetime, timezone
 
-    df = log(spark, rows, datetime(2012, 10, 2, tzinfo=timezone.utc))
+    df = log(spark, rows, datetime(2019, 3, 7, tzinfo=timezone.utc))
     source = df.union(df) if distinct else df
     out = negatives_in_window(source, width=f"{width} seconds", distinct=distinct)
     assert users_seconds(out) == brute_window(rows, width)
@@ -104,7 +104,7 @@ def test_two_stream_against_brute_force(spark, rows, rows_per_task):
 def test_across_windows_against_brute_force(spark, rows, rows_per_task):
     from datetime import datetime, timezone
 
-    df = log(spark, rows, datetime(2012, 10, 2, tzinfo=timezone.utc))
+    df = log(spark, rows, datetime(2019, 3, 7, tzinfo=timezone.utc))
     out = negatives_across_windows(df, width="60 seconds", ttl="90 seconds", rows_per_task=rows_per_task)
     unclicked = [(u, int(t)) for u, t in brute_window(rows, 60)]
     expected = brute_within(thinned(unclicked, 90), thinned(of_kind(rows, "1"), 90), 90)
@@ -189,3 +189,16 @@ def test_a_hot_key_is_split_in_both_anti_joins(spark, data, small_partitions):
     within = negatives_within(shows(df), clicks(df), ttl="6 hours")
     for out in (window, within):
         assert "skew=true" in final_plan(out)
+
+
+def test_null_users_are_one_user_everywhere(spark):
+    df = log(spark, [(None, 0, "0"), (None, 5, "1"), ("a", 0, "0")])
+    expected = ["a"]
+    for out in (
+        negatives_in_window(df),
+        negatives_in_window(df, distinct=True),
+        negatives_within(shows(df), clicks(df)),
+        negatives_two_stream(df),
+        negatives_two_stream(df, rows_per_task=0),
+    ):
+        assert [r.user_id for r in out.collect()] == expected

@@ -2,12 +2,14 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check_oracle import connect, differs
+from clicksieve.plans.catalogue import QUERIES
+from clicksieve.plans.oracle import ORACLE
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):
@@ -16,9 +18,9 @@ def test_entry(spark):
     assert df.columns[:5] == ["user_id", "event_id", "invited", "time_stamp", "interested"]
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, data, name):
     folder = data("0.001")
-    result = queries()[name](spark, folder).toPandas()
-    assert differs(result, connect(folder).execute(oracle_sql()[name]).df()) is None
+    result = QUERIES[name](spark, folder).toPandas()
+    assert differs(result, connect(folder).execute(ORACLE[name]).df()) is None
     assert len(result)

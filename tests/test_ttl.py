@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clicksieve.operators import clicks, first_per_key_ttl
 from clicksieve.operators.negatives import labelled_rows
+from clicksieve.record import EVENT_TIME
 from clicksieve.sources import events_log, events_parquet
 from helpers import chain, log, users_seconds
 
@@ -95,3 +96,13 @@ def test_sorted_partitions_without_a_second_shuffle(spark, data):
     df = first_per_key_ttl(labelled_rows(events_log(spark, data("0.001"))), ttl="6 hours")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan
+
+
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 1, 0])
+def test_nulls_and_equal_ties_do_not_depend_on_size(spark, rows_per_task):
+    df = log(spark, [("a", 0, "0"), ("a", 0, "1"), ("a", 40, "0"), (None, 0, "0"), (None, 1, "0"), (None, 50, "1"), ("b", 0, "0"), ("b", 1, "0")])
+    df = df.withColumn("event_id", F.when(F.col("user_id") == "a", F.lit(None)).otherwise(F.lit("same")))
+    df = df.withColumn(EVENT_TIME, F.when((F.col("user_id") == "b") & (F.col("time_stamp") == "0"), None).otherwise(F.col(EVENT_TIME)))
+    out = first_per_key_ttl(df, rows_per_task=rows_per_task)
+    kept = sorted((str(r.user_id), r.time_stamp, r.interested, r.event_id) for r in out.collect())
+    assert kept == [("None", "0", "0", "same"), ("None", "50", "1", "same"), ("a", "0", "0", None), ("a", "40", "0", None), ("b", "1", "0", "same")]
