@@ -9,15 +9,18 @@ what a set has in a part is a signature. A set that fills too few parts for
 this to be certain has signatures of finer partitions too.
 
 Before that, documents that cannot be similar to any other are put aside: too
-many of their shingles are found nowhere else. Sets with equal signatures are
-compared in full, first with the least document of each signature, then those
-that this leaves in different components.
+many of their shingles are found nowhere else. Signatures that very many sets
+have say least, and a set with more parts than needed can do without as many of
+them. Sets with equal signatures are compared in full: first with the leader of
+each signature, which joins most groups; where a signature's sets are then in
+different components, all of these, in blocks of bounded size.
 """
 
 import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clicksieve.llm.common import saved
@@ -30,7 +33,7 @@ SHARE, OF = 75, 100
 
 SAMPLED = 0.35  # part of the feature domain that is looked at to put documents aside; above 1 - SHARE / OF
 SPREAD = 1.3  # parts per difference: with some more parts than needed, few sets need finer partitions
-CROWD = 64  # documents of one signature beyond which only those that depend on it are compared
+BLOCK = 1024  # sets that are compared with as many others in one task
 MARK = -1
 
 
@@ -201,34 +204,82 @@ def possible(docs, outlines):
     return demands.join(credits, "doc_id", "left").where(F.coalesce("credit", F.lit(0)) >= F.col("need")).select("doc_id")
 
 
-def candidate_pairs(members, components=None):
-    """Pairs to compare: of each signature the least document with the others; or, given components, those still apart."""
-    if components is None:
-        rows = members.where((F.col("doc_id") != F.col("leader")) & similar_sizes(F.col("size"), F.col("leader_size")))
-        return rows.select(F.col("leader").alias("u"), F.col("doc_id").alias("v")).distinct()
-    part = components.select(F.col("node").alias("doc_id"), "component")
-    rows = members.join(part, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    rows = saved(rows, "shingle-parted")
-    several = rows.groupBy("signature").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    rows = rows.join(saved(several.select("signature"), "shingle-mixed"), "signature")
-    # How many of a set's finest parts, in one join, are crowded: it is safe if enough others are left.
-    crowded = rows.where((F.col("n") > CROWD) & (F.col("spare") != MARK)).groupBy("doc_id", "name", "spare").agg(F.count("*").alias("c"))
-    unsafe = crowded.where(F.col("c") > F.col("spare")).select("doc_id", "name", F.lit(True).alias("unsafe"))
-    rows = saved(rows.join(unsafe, ["doc_id", "name"], "left").withColumn("unsafe", F.coalesce("unsafe", F.lit(False))), "shingle-apart")
-    names = {c: f"{c}_2" for c in ("doc_id", "size", "name", "spare", "component", "unsafe")}
-    other = rows.select("signature", *[F.col(c).alias(n) for c, n in names.items()])
-    depends = (
-        F.when(F.col("name") < F.col("name_2"), F.col("unsafe"))
-        .when(F.col("name") > F.col("name_2"), F.col("unsafe_2"))
-        .otherwise(F.col("unsafe") & F.col("unsafe_2"))
+def needed(members):
+    """``members`` of the signatures that some set cannot do without, with each signature's ``leader``.
+
+    Two similar sets agree on more of a set's finest parts than the ``spare``
+    ones, so that many may be left out, and those are its most frequent ones.
+    Of two sets the one with the coarser finest partition decides. The leader
+    is the set that shares most of its signatures, so that a group of near
+    copies has few leaders.
+    """
+    own = W.partitionBy("doc_id", "name")
+    rank = F.row_number().over(own.orderBy(F.col("n").desc(), "signature"))
+    rows = members.withColumns(
+        {"active": (F.col("spare") != MARK) & (rank > F.col("spare")), "shares": F.count("*").over(own)}
     )
-    pairs = rows.join(other, "signature").where(
-        (F.col("component") != F.col("component_2"))
-        & (F.col("doc_id") < F.col("doc_id_2"))
-        & similar_sizes(F.col("size"), F.col("size_2"))
-        & ((F.col("n") <= CROWD) | depends)
+    rows = saved(rows.drop("n", "spare"), "shingle-ranked")
+    asked = rows.groupBy("signature").agg(
+        F.max("active").alias("asked"), F.min(F.struct(-F.col("shares"), "doc_id", "size")).alias("least")
+    )
+    asked = asked.where("asked").select(
+        "signature", F.col("least.doc_id").alias("leader"), F.col("least.size").alias("leader_size")
+    )
+    rows = rows.select("signature", "doc_id", "size").join(saved(asked, "shingle-asked"), "signature")
+    return saved(rows, "shingle-needed")
+
+
+def first_pairs(members):
+    """Each signature's leader with the others."""
+    rows = members.where((F.col("doc_id") != F.col("leader")) & similar_sizes(F.col("size"), F.col("leader_size")))
+    return rows.select(F.least("leader", "doc_id").alias("u"), F.greatest("leader", "doc_id").alias("v")).distinct()
+
+
+def compare_block(low, high, frame):
+    """Links between the sets of two parts of a group (or within one), from ``doc_id, component, part, features``."""
+    frame = frame.drop_duplicates(["doc_id"]) if low == high else frame
+    sets = [np.asarray(f) for f in frame["features"]]
+    docs, of_component, part = (frame[c].to_numpy() for c in ("doc_id", "component", "part"))
+    sizes = np.array([len(s) for s in sets])
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(place, kind="stable")
+    holders, first = owner[order], np.searchsorted(place[order], np.arange(len(values) + 1))
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    links = []
+    for one in np.flatnonzero(part == low):
+        own = place[starts[one] : starts[one + 1]]
+        common = np.bincount(np.concatenate([holders[first[p] : first[p + 1]] for p in own]), minlength=len(sets))
+        union = sizes[one] + sizes - common
+        similar = (OF * common >= SHARE * union) & (of_component != of_component[one]) & (part == high)
+        links += [(docs[one], docs[two]) for two in np.flatnonzero(similar)]
+    return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+
+
+def remaining_links(members, sets, components):
+    """Links between sets with one signature that are in different components.
+
+    All sets of the signatures with one leader are a group. A group is dealt
+    into parts of about ``BLOCK`` sets, and each two parts meet in a task of
+    their own, so neither a task's memory nor a row depends on a group's size.
+    """
+    part_of = components.select(F.col("node").alias("doc_id"), "component")
+    rows = members.select("signature", "leader", "doc_id").join(part_of, "doc_id", "left")
+    rows = saved(rows.withColumn("component", F.coalesce("component", "doc_id")), "shingle-parted")
+    mixed_ones = rows.groupBy("signature").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+    rows = rows.join(saved(mixed_ones.select("signature"), "shingle-mixed"), "signature")
+    rows = saved(rows.select("leader", "doc_id", "component").distinct(), "shingle-groups")
+    sizes = rows.groupBy("leader").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("parts"))
+    rows = rows.join(saved(sizes, "shingle-sizes"), "leader")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    rows = rows.join(sets.select("doc_id", "features"), "doc_id").withColumn("other", other)
+    rows = rows.select(
+        "leader", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "doc_id", "component", "features"
+    )
+    return rows.groupBy("leader", "low", "high").applyInPandas(
+        lambda key, frame: compare_block(key[1], key[2], frame), "u long, v long"
     )
-    return pairs.select(F.col("doc_id").alias("u"), F.col("doc_id_2").alias("v")).distinct()
 
 
 def similar_links(sets):
@@ -236,16 +287,12 @@ def similar_links(sets):
     fields = "signature long, doc_id long, size int, name int, spare int"
     rows = sets.mapInPandas(signature_rows, fields)
     shared = rows.groupBy("signature").agg(
-        F.min(F.struct("doc_id", "size")).alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")
-    )
-    shared = shared.where(F.col("least.doc_id") < F.col("most")).select(
-        "signature", F.col("least.doc_id").alias("leader"), F.col("least.size").alias("leader_size"), "n"
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("n")
     )
-    members = saved(rows.join(saved(shared, "shingle-shared"), "signature"), "shingle-members")
-    first = saved(linked(saved(candidate_pairs(members), "shingle-pairs"), sets), "shingle-links")
-    parts = connected_components(first)
-    rest = saved(candidate_pairs(members.drop("leader", "leader_size"), parts), "shingle-pairs")
-    return first.unionByName(linked(rest, sets))
+    shared = shared.where("least < most").select("signature", "n")
+    members = needed(rows.join(saved(shared, "shingle-shared"), "signature"))
+    first = saved(linked(saved(first_pairs(members), "shingle-pairs"), sets), "shingle-links")
+    return first.unionByName(remaining_links(members, sets, connected_components(first)))
 
 
 def near_duplicates(docs):

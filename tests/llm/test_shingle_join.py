@@ -6,6 +6,7 @@ from clicksieve.llm import components, shingle_join
 from clicksieve.llm.hashing import mixed
 
 import numpy as np
+import pandas as pd
 
 
 def lower(text):
@@ -93,9 +94,9 @@ def test_components_are_those_of_all_pairs(spark):
         assert found == {d: (len(plain_sets(t)), expected[d]) for d, t, *_ in rows}
 
 
-def test_crowds_are_compared_as_far_as_they_depend_on_it(spark, monkeypatch):
-    """With a bound of two every shared signature is crowded; the result stays that of all pairs."""
-    monkeypatch.setattr(shingle_join, "CROWD", 1)
+def test_groups_are_compared_in_blocks(spark, monkeypatch):
+    """Documents that share a passage but are not similar, and some that are: the result is that of all pairs."""
+    monkeypatch.setattr(shingle_join, "BLOCK", 5)
     passage = [f"p{i}" for i in range(40)]
     draw = random.Random(9)
     rows = [(i, " ".join(passage + [f"x{draw.randrange(10**6)}" for _ in range(draw.choice([2, 8, 14, 40]))]), None, None, 0) for i in range(40)]
@@ -103,6 +104,24 @@ def test_crowds_are_compared_as_far_as_they_depend_on_it(spark, monkeypatch):
     assert found == plain_components(rows)
 
 
+def test_blocks_find_all_links_between_components():
+    draw = np.random.default_rng(3)
+    base = np.arange(100)
+    sets = [np.unique(np.where(draw.random(100) < draw.choice([0.05, 0.2]), draw.integers(1000, 2000, 100), base)) for _ in range(30)]
+    frame = pd.DataFrame({"doc_id": range(30), "component": [i % 7 for i in range(30)], "part": [i % 2 for i in range(30)], "features": sets})
+    found = {frozenset(x) for x in shingle_join.compare_block(0, 1, frame).itertuples(index=False, name=None)}
+    for part in (0, 1):
+        own = frame[frame["part"] == part]
+        found |= {frozenset(x) for x in shingle_join.compare_block(part, part, own).itertuples(index=False, name=None)}
+    expected = set()
+    for a in range(30):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if a % 7 != b % 7 and 100 * common >= 75 * (len(sets[a]) + len(sets[b]) - common):
+                expected.add(frozenset((a, b)))
+    assert found == expected and expected
+
+
 def test_awkward_rows(spark):
     found = shingle_join.near_duplicates(documents(spark))
     assert rows_of(found) == rows_of(shingle_join.near_duplicates(clashing(spark)))
