@@ -1,5 +1,6 @@
 """What the operators share: words, inputs, tables written to the shared folder, worker caches."""
 
+import re
 import sys
 
 from pyspark.sql import functions as F
@@ -8,13 +9,16 @@ from clicksieve.session import fresh_path
 
 # White space of the word contracts, as Java and Python patterns read it.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = "\x09\x0a\x0b\x0c\x0d"
-_TO_BLANK = str.maketrans(SPACES, " " * len(SPACES))
+# What Python takes for white space beside those.
+OTHER_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+_words = re.compile(WORD).findall
 
 
 def words_of(text):
     """The words of one text (``None``: none)."""
-    return [w for w in text.translate(_TO_BLANK).split(" ") if w] if text else []
+    if not text:
+        return []
+    return _words(text) if OTHER_SPACES(text) else text.split()
 
 
 def table(spark, sf_dir, name):

@@ -11,6 +11,7 @@ packing and unpacking are 64 shifts of whole arrays.
 """
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -30,8 +31,12 @@ TRAILER = "<QQQII8s"
 BLOCK = 4096
 GROUP = 64
 CHUNK_BLOCKS = 64
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
+CACHED_RUNS = 300_000
 ENCODED_AT_ONCE = 20_000
+TEXTS_AT_ONCE = 1_000
+# Fixed value: how the vocabulary splits an ASCII word in lower case.
+RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
 
 
 def pack(ids, bits):
@@ -139,33 +144,54 @@ class PackedReader:
         return ids[start - first * self.block : stop - first * self.block]
 
 
-def encoder(text_json):
-    """A function from words to the bytes of their ids (u32), by the tokenizers library.
+class WordEncoder:
+    """Words to the bytes of their ids (u32), by the tokenizers library.
 
     The vocabulary drops white space, and none of its steps looks across it, so
-    a text's ids are those of its words one after another; each word is encoded
-    once per worker, as long as the cache has room.
+    a text's ids are those of its words one after another. It also lowers case
+    and encodes runs of letters, digits and marks each by itself, so the ids of
+    an ASCII word are those of its lower-case runs. Words and runs are encoded
+    once per worker, as long as there is room to remember them; words that are
+    not ASCII, or may hold a special token, are encoded whole.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_str(text_json)
-    known = {}
-
-    def encode(words):
-        new = [w for w in set(words) if w not in known]
-        extra = {}
-        for start in range(0, len(new), ENCODED_AT_ONCE):
-            part = new[start : start + ENCODED_AT_ONCE]
-            found = tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            (known if len(known) < CACHED_WORDS else extra).update(
-                (w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found)
-            )
-        if not extra:
-            return b"".join([known[w] for w in words])
-        return b"".join([known[w] if w in known else extra[w] for w in words])
+    def __init__(self, text_json):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    return encode
+        self.tokenizer = Tokenizer.from_str(text_json)
+        self.words, self.runs = {}, {}
+
+    def _library(self, texts):
+        for start in range(0, len(texts), ENCODED_AT_ONCE):
+            part = texts[start : start + ENCODED_AT_ONCE]
+            for text, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                yield text, struct.pack(f"<{len(found.ids)}I", *found.ids)
+
+    def learn(self, words):
+        """The ids of ``words`` by word; what there is room for is remembered."""
+        split = {w: RUNS(w.lower()) if w.isascii() and "<|" not in w else [w] for w in words}
+        need = {r for runs in split.values() for r in runs}
+        known = {r: self.runs[r] for r in need if r in self.runs}
+        new = dict(self._library([r for r in need if r not in known]))
+        if len(self.runs) < CACHED_RUNS:
+            self.runs.update(new)
+        known.update(new)
+        found = {w: b"".join([known[r] for r in runs]) for w, runs in split.items()}
+        if len(self.words) < CACHED_WORDS:
+            self.words.update(found)
+        return found
+
+    def encode_all(self, texts):
+        """The ids of each text as bytes."""
+        texts = [words_of(t) for t in texts]
+        found = [list(map(self.words.get, words)) for words in texts]
+        missing = [(words, ids) for words, ids in zip(texts, found) if None in ids]
+        new = {w for words, ids in missing for w, i in zip(words, ids) if i is None}
+        extra = self.learn(new) if new else {}
+        for words, ids in missing:
+            ids[:] = [extra[w] if i is None else i for w, i in zip(words, ids)]
+        return [b"".join(ids) for ids in found]
 
 
 def write_shards(docs, folder, tokenizer_json, end_id):
@@ -182,7 +208,7 @@ def write_shards(docs, folder, tokenizer_json, end_id):
     def run(frames):
         from tokenizers import Tokenizer
 
-        encode = worker_cache(("packed", hash(shipped.value)), lambda: encoder(shipped.value))
+        encoder = worker_cache(("packed", hash(shipped.value)), lambda: WordEncoder(shipped.value))
         bits = worker_cache(
             ("bits", hash(shipped.value)),
             lambda: max(1, (max(Tokenizer.from_str(shipped.value).get_vocab(True).values())).bit_length()),
@@ -192,12 +218,14 @@ def write_shards(docs, folder, tokenizer_json, end_id):
         path = f"{base}/ids-{shard:06d}-{uuid.uuid4().hex}"
         out = writer = None
         for frame in frames:
-            for doc_id, null, text in zip(frame["doc_id"], frame["no_id"], frame["text"]):
-                if writer is None:
-                    out = store.open_output_stream(path)
-                    writer = PackedWriter(out, bits)
-                ids = np.frombuffer(encode(words_of(text)), dtype="<u4")
-                writer.add(None if null else int(doc_id), np.append(ids, np.uint32(end_id)))
+            if writer is None and len(frame):
+                out = store.open_output_stream(path)
+                writer = PackedWriter(out, bits)
+            for start in range(0, len(frame), TEXTS_AT_ONCE):
+                part = frame.iloc[start : start + TEXTS_AT_ONCE]
+                for doc_id, null, data in zip(part["doc_id"], part["no_id"], encoder.encode_all(part["text"])):
+                    ids = np.frombuffer(data, dtype="<u4")
+                    writer.add(None if null else int(doc_id), np.append(ids, np.uint32(end_id)))
         if writer:
             writer.close()
             out.close()
