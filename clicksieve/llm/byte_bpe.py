@@ -16,13 +16,17 @@ import struct
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clicksieve.llm.common import worker_cache
 
 START = -1
-MOST_STEPS = 250_000  # transitions kept; beyond that the machine is built anew
-CACHED_PIECES = 300_000
+MOST_STEPS = 150_000  # transitions kept; beyond that the machine is built anew
+MOST_NEIGHBOURS = 300_000  # neighbours whose fit is remembered
+CACHED_PIECES = 200_000
+ROWS_AT_ONCE = 500
 DECODED_AT_ONCE = 4096
 
 
@@ -82,7 +86,7 @@ class Transducer:
         """Whether ``last`` and ``token`` side by side are the encoding of their bytes."""
         key = last << 20 | token
         if key not in self.fits:
-            if len(self.fits) > 2 * MOST_STEPS:
+            if len(self.fits) > MOST_NEIGHBOURS:
                 self.fits.clear()
             data, both = self.tokens[token], [token]
             if last != START:
@@ -213,17 +217,6 @@ def _encoder(shipped):
     return worker_cache(("byte-bpe", name), lambda: Encoder(tokens, pattern))
 
 
-def ids_column(spark, text, path, pattern):
-    """The ids of a text column as an array (null text: empty)."""
-    shipped = _shipped(spark, path, pattern)
-
-    def run(texts):
-        encoder = _encoder(shipped)
-        return pd.Series([np.frombuffer(encoder.encode(t or ""), dtype="<i4") for t in texts], dtype=object)
-
-    return F.pandas_udf(lambda texts: run(texts), "array<int>").asNondeterministic()(text)
-
-
 def text_column(spark, ids, path):
     """The text of an array of ids (null: null); bytes that are no UTF-8 become U+FFFD."""
     shipped = _shipped(spark, path, "")
@@ -239,9 +232,25 @@ def encode_documents(docs, path, pattern):
     """All columns of ``docs`` with ``ids`` (in place of a column of that name).
 
     Null and empty texts have no ids. Rows are encoded each by itself, so
-    repeated rows give repeated results and an empty table an empty one.
+    repeated rows give repeated results and an empty table an empty one. Rows
+    leave in short batches, which bounds what a task holds.
     """
-    return docs.withColumn("ids", ids_column(docs.sparkSession, F.col("text"), path, pattern))
+    shipped = _shipped(docs.sparkSession, path, pattern)
+    plain = docs.drop("ids")
+
+    def run(batches):
+        encoder = _encoder(shipped)
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                found = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int64) // 4
+                values = pa.array(np.frombuffer(b"".join(found), dtype="<i4"))
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*part.schema.names, "ids"])
+
+    schema = T.StructType([*plain.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return plain.mapInArrow(run, schema)
 
 
 def round_trip(docs, path, pattern):
