@@ -237,7 +237,6 @@ def first_pairs(members):
 
 def compare_block(low, high, frame):
     """Links between the sets of two parts of a group (or within one), from ``doc_id, component, part, features``."""
-    frame = frame.drop_duplicates(["doc_id"]) if low == high else frame
     sets = [np.asarray(f) for f in frame["features"]]
     docs, of_component, part = (frame[c].to_numpy() for c in ("doc_id", "component", "part"))
     sizes = np.array([len(s) for s in sets])
