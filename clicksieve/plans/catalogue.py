@@ -29,7 +29,6 @@ from clicksieve.operators import (
     wire_lines,
 )
 from clicksieve.operators.distinct import ELEMENTS
-from clicksieve.operators.negatives import labelled_rows
 from clicksieve.plans.samples import lines_to_table, samples_from_lines, stream_lines_to_table, table_to_records
 from clicksieve.record import EVENT_TIME, MAP_COLUMN, MAP_FUNCTION, PARTITION_COLUMN, RECORD_FIELDS, STRUCT_COLUMN
 from clicksieve.session import fresh_path, use_utc
