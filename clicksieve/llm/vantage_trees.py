@@ -17,18 +17,32 @@ from pyspark.sql import functions as F
 from clicksieve.llm.common import shards
 
 LEAF = 64
-SPARE = 16  # kept beyond k while searching, so that rounding cannot push out a true neighbour
-SLACK = 1e-9
+LEAST_SIDE = 1 / 16  # a split with less of the rows on one side is not made: it prunes nothing, and chains of such nodes are deep
+EPS = np.finfo(np.float64).eps
 LEAST_ROWS, MOST_ROWS = 2048, 65_536  # of a shard
 QUERIES_AT_ONCE = 16_384
-COPIES = 8
+OFFERED_AT_ONCE = 2048  # queries that meet a leaf together
+PAIRS_AT_ONCE = 16_384  # of a query and a row, whose exact cosines are summed together
+NO_ID = np.iinfo(np.int64).max
 
 
 class Tree:
-    """A vantage-point tree over the rows of ``units`` (distinct unit vectors)."""
+    """A vantage-point tree over the rows of ``units`` (distinct unit vectors).
 
-    def __init__(self, units, seed=5):
+    ``rows`` (default: ``units``) are the vectors that exact cosines are taken
+    of. ``lead`` and ``next_lead`` are the two smallest ids of each row, with
+    the row's number and no second one as default; ``NO_ID`` where there is none.
+    """
+
+    def __init__(self, units, seed=5, rows=None, lead=None, next_lead=None):
         self.units, self.draw = units, np.random.default_rng(seed)
+        self.rows = units if rows is None else rows
+        self.norms = norms(self.rows)
+        self.lead = np.arange(len(units)) if lead is None else lead
+        self.next_lead = np.full(len(units), NO_ID) if next_lead is None else next_lead
+        # How far two dot products of one pair can be apart, and two of its distances.
+        self.margin = 8 * (units.shape[1] + 8) * EPS
+        self.slack = 4 * math.sqrt(2 * self.margin)
         self.root = self.build(np.arange(len(units)))
 
     def build(self, rows):
@@ -40,23 +54,37 @@ class Tree:
         far = distances(self.units[rest], self.units[point : point + 1])[:, 0]
         radius = np.median(far)
         inside = far < radius
-        if not inside.any():
-            return rows  # all are as far: nothing to split by
+        if inside.sum() < LEAST_SIDE * len(rest):
+            return rows  # nearly all are as far: nothing to split by
         return point, radius, self.build(rest[inside]), self.build(rest[~inside])
 
-    def search(self, queries, keep, factor=1.0):
-        """Of each query the ``keep`` nearest rows found, as ``(distances, rows)``, rows -1 where there are fewer."""
-        best = np.full((len(queries), keep), np.inf), np.full((len(queries), keep), -1, dtype=np.int64)
+    def search(self, queries, keep, factor=1.0, asked=None, own=None):
+        """Of each query the ``keep`` nearest rows found, as ``(distances, rows)``, rows -1 where there are fewer.
+
+        Nearest is by exact cosine, then by smallest id. ``asked`` (default:
+        ``queries``) are the vectors that exact cosines are taken of; ``own``
+        are ids that do not count for their query: a row with no other id is no candidate.
+        """
+        best = Best(queries if asked is None else asked, own, keep)
         self._visit(self.root, queries, np.arange(len(queries)), best, factor)
-        return best
+        return best.reach(), best.rows
 
     def _offer(self, queries, active, rows, best):
-        far = distances(queries[active], self.units[rows])
-        every = np.concatenate([best[0][active], far], axis=1)
-        names = np.concatenate([best[1][active], np.broadcast_to(rows, far.shape)], axis=1)
-        order = np.argsort(every, axis=1, kind="stable")[:, : best[0].shape[1]]
-        best[0][active] = np.take_along_axis(every, order, axis=1)
-        best[1][active] = np.take_along_axis(names, order, axis=1)
+        """Lets the ``active`` queries keep the best of ``rows``; gives the distances."""
+        far = np.empty((len(active), len(rows)))
+        for start in range(0, len(active), OFFERED_AT_ONCE):
+            some = active[start : start + OFFERED_AT_ONCE]
+            dots = queries[some] @ self.units[rows].T
+            far[start : start + len(some)] = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dots))
+            lead = np.broadcast_to(self.lead[rows], dots.shape)
+            if best.own is not None:
+                lead = np.where(lead == best.own[some][:, None], self.next_lead[rows], lead)
+                dots = np.where(lead == NO_ID, -np.inf, dots)
+            # All that rounding may have put below the last of the best, however many they are.
+            every = np.concatenate([best.scores[some], dots], axis=1)
+            last = np.partition(every, -best.keep, axis=1)[:, -best.keep]
+            at, row = np.nonzero((dots >= last[:, None] - self.margin) & (dots > -np.inf))
+            best.take(some[at], rows[row], lead[at, row], self)
         return far
 
     def _visit(self, node, queries, active, best, factor):
@@ -72,24 +100,70 @@ class Tree:
         self._visit(inside, queries, active[within], best, factor)
         self._visit(outside, queries, active[~within], best, factor)
         # The other side, where the border is nearer than the worst of the best.
-        reach = best[0][active, -1] * factor + SLACK
+        reach = best.reach(active)[:, -1] * factor + self.slack
         self._visit(outside, queries, active[within & (radius - far <= reach)], best, factor)
         self._visit(inside, queries, active[~within & (far - radius <= reach)], best, factor)
 
 
+class Best:
+    """Of each query the best ``keep`` rows so far, by exact cosine and smallest id."""
+
+    def __init__(self, asked, own, keep):
+        self.asked, self.own, self.keep, self.norms = asked, own, keep, norms(asked)
+        self.scores = np.full((len(asked), keep), -np.inf)
+        self.leads = np.full((len(asked), keep), NO_ID)
+        self.rows = np.full((len(asked), keep), -1, dtype=np.int64)
+
+    def reach(self, queries=slice(None)):
+        return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * self.scores[queries]))
+
+    def take(self, queries, rows, leads, tree):
+        """Merges pairs of a query and a row (with the row's smallest id for that query) into the best."""
+        if not len(queries):
+            return
+        scores = np.empty(len(queries))
+        for start in range(0, len(queries), PAIRS_AT_ONCE):
+            part = slice(start, start + PAIRS_AT_ONCE)
+            q, r = queries[part], rows[part]
+            scores[part] = dots_in_order(self.asked[q], tree.rows[r]) / (self.norms[q] * tree.norms[r])
+        changed = np.unique(queries)
+        queries = np.concatenate([np.repeat(changed, self.keep), queries])
+        scores = np.concatenate([self.scores[changed].ravel(), scores])
+        leads = np.concatenate([self.leads[changed].ravel(), leads])
+        rows = np.concatenate([self.rows[changed].ravel(), rows])
+        order = np.lexsort((leads, -scores, queries))
+        ordered = queries[order]
+        place = np.arange(len(order)) - np.searchsorted(ordered, ordered)
+        order, at = order[place < self.keep], (ordered[place < self.keep], place[place < self.keep])
+        self.scores[at], self.leads[at], self.rows[at] = scores[order], leads[order], rows[order]
+
+
 def distances(a, b):
     """Euclidean distances of unit vectors."""
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
 
+def dots_in_order(a, b):
+    """Row by row, summed in the order of the components."""
+    return np.cumsum(a * b, axis=1)[:, -1]
+
+
+def norms(a):
+    return np.sqrt(dots_in_order(a, a))
+
+
 def cosines(a, b):
     """Row by row, summed in the order of the components."""
-    dot = lambda x, y: np.cumsum(x * y, axis=1)[:, -1]
-    return dot(a, b) / (np.sqrt(dot(a, a)) * np.sqrt(dot(b, b)))
+    return dots_in_order(a, b) / (norms(a) * norms(b))
 
 
 def search_shard(rows, queries, k, factor):
-    """The ``k`` nearest of ``rows`` for each of ``queries`` (frames of ``vec_id, vector``)."""
+    """The ``k`` nearest of ``rows`` for each of ``queries`` (frames of ``vec_id, vector``).
+
+    They lie in the ``k`` best of the distinct vectors, those ordered by cosine
+    and by their smallest id beside the query's own: each of these has a row
+    before all rows of any other.
+    """
     found = []
     for size, some in queries.groupby(queries["vector"].map(len)):
         own = rows[rows["vector"].map(len) == size]
@@ -102,21 +176,27 @@ def search_shard(rows, queries, k, factor):
         distinct, of = np.unique(vectors, axis=0, return_inverse=True)
         of = of.ravel()
         by = np.argsort(of, kind="stable")
-        first = np.searchsorted(of[by], np.arange(len(distinct)))
+        ids, of = ids[by], of[by]
+        first = np.searchsorted(of, np.arange(len(distinct)))
         end = np.append(first[1:], len(by))
+        lead = ids[first]
+        next_lead = np.full(len(distinct), NO_ID)
+        others = np.flatnonzero(ids != lead[of])
+        with_others, at = np.unique(of[others], return_index=True)
+        next_lead[with_others] = ids[others[at]]
         asked = np.stack(some["vector"].to_numpy()).astype(np.float64)
+        query_ids = some["vec_id"].to_numpy(np.int64)
         scale = lambda v: v / np.sqrt((v * v).sum(axis=1, keepdims=True))
-        keep = min(len(distinct), k + SPARE)
-        _, near = Tree(scale(distinct)).search(scale(asked), keep, factor)
-        for place, query_id in enumerate(some["vec_id"]):
+        tree = Tree(scale(distinct), rows=distinct, lead=lead, next_lead=next_lead)
+        _, near = tree.search(scale(asked), min(len(distinct), k), factor, asked, query_ids)
+        for place, query_id in enumerate(query_ids):
             names = near[place][near[place] >= 0]
             scores = cosines(np.broadcast_to(asked[place], distinct[names].shape), distinct[names])
-            rows_found = [
-                (-score, vec_id)
-                for score, name in zip(scores, names)
-                for vec_id in ids[by[first[name] : min(end[name], first[name] + k + COPIES)]]
-                if vec_id != query_id
-            ]
+            rows_found = []
+            for score, name in zip(scores, names):
+                members = ids[first[name] : end[name]]
+                before, after = np.searchsorted(members, query_id), np.searchsorted(members, query_id, side="right")
+                rows_found += [(-score, i) for i in [*members[:before][:k], *members[after : after + k]][:k]]
             found += [(query_id, vec_id, -score) for score, vec_id in sorted(rows_found)[:k]]
     return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 

@@ -72,3 +72,36 @@ def test_blocks_of_queries_change_nothing(spark, data, monkeypatch, blocks):
     monkeypatch.setattr(vantage_trees, "LEAST_ROWS", 60)
     monkeypatch.setattr(vantage_trees, "MOST_ROWS", 60)
     assert {tuple(r) for r in vantage_trees.nearest(docs, QUERY).collect()} == whole
+
+
+def one_hot(place, size=512):
+    return [1.0 if i == place else 0.0 for i in range(size)]
+
+
+def test_many_vectors_of_one_distance(spark):
+    """More vectors tie around the last rank than any fixed reserve holds; smaller ids stand later in the shard's order."""
+    orthogonal = [(i, one_hot(i)) for i in range(1, 300)] + [(300, one_hot(300)), (400, one_hot(400))]
+    parallel = [(i, [float(i), 2.0 * i, 0.5 * i]) for i in range(1, 300)] + [(400, [1.0, 2.0, 0.5])]
+    turned = [(i, [300.0 - i, 3.0 * (300 - i), 0.7 * (300 - i)]) for i in range(1, 300)] + [(400, [1.0, 2.0, 0.5])]
+    pairs = [(i, [(1.0 if p == i // 2 else 0.0) + (0.01 * (i % 2) if p == 600 else 0.0) for p in range(1000)]) for i in range(1, 1999)]
+    for rows in (orthogonal, parallel, turned, [*pairs, (2050, one_hot(999, 1000))]):
+        found = {tuple(r) for r in vantage_trees.nearest(spark.createDataFrame(rows, FIELDS), "vec_id IN (300, 400, 2050)").collect()}
+        good = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows]
+        expected = set()
+        for q, x in [(i, v) for i, v in good if i in (300, 400, 2050)]:
+            others = [(i, v) for i, v in good if i != q]
+            scores = vantage_trees.cosines(np.broadcast_to(x, (len(others), len(x))), np.stack([v for _, v in others]))
+            near = sorted((-s, i) for s, (i, _) in zip(scores, others))[:5]
+            expected |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(near)}
+        assert found == expected
+
+
+def test_rows_of_the_query_itself_take_no_place(spark):
+    rows = [(50, [1.0, i / 1000]) for i in range(100)] + [(50, [1.0, 0.0])] * 30 + [(i, [1.0, 0.0]) for i in range(60, 64)] + [(70, [0.0, 1.0])]
+    found = vantage_trees.nearest(spark.createDataFrame(rows, FIELDS), "vec_id = 50").collect()
+    assert {r["vec_id"] for r in found} <= {60, 61, 62, 63} and len(found) == 5
+    only = vantage_trees.search_shard(
+        spark.createDataFrame(rows, "vec_id long, vector array<double>").toPandas(),
+        spark.createDataFrame([(50, [1.0, 0.0])], "vec_id long, vector array<double>").toPandas(), 5, 1.0,
+    )
+    assert only["vec_id"].tolist() == [60, 61, 62, 63, 70]
