@@ -21,7 +21,9 @@ MOST_COPIES = 2
 SEED = 17
 MOST_PATTERNS = 100_000  # the network is solved on the driver; more patterns than this are refused
 SLICES = 1024
-FILL_ROUNDS = 6
+AHEAD, MOST_AHEAD = 256, 1_000_000  # units walked on the driver at a time, of a pattern and of all
+NEAR = 0.005  # a miss of this share of the words wanted asks for another choice, unless no document is as small
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
 def targets(sizes, weights=WEIGHTS, share=SHARE, most=MOST_COPIES):
@@ -56,92 +58,172 @@ def route(patterns, quotas, most=MOST_COPIES):
     return {pattern: sum(map(net.flow_on, arcs)) for pattern, arcs in supply.items()}
 
 
-def _plan_frame(spark, rows):
+def _plan_frame(spark, rows, *names):
     """One row per pattern of what the driver worked out; at most ``MOST_PATTERNS`` patterns, so it may be broadcast."""
     schema = T.StructType(
-        [T.StructField("pattern", T.ArrayType(T.StringType()))]
-        + [T.StructField(name, T.LongType()) for name in ("whole", "first", "second", "gap")]
+        [T.StructField("pattern", T.ArrayType(T.StringType()))] + [T.StructField(name, T.LongType()) for name in names]
     )
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def _boundaries(units, wanted, key):
-    """Of each pattern, the slice in which the running sum of words passes what is wanted: ``{pattern: (slice, before)}``."""
-    order = W.partitionBy("pattern").orderBy(key)
-    sums = units.groupBy("pattern", key).agg(F.sum("size").alias("words"))
-    sums = sums.withColumn("upto", F.sum("words").over(order)).join(wanted, "pattern")
-    passed = sums.where((F.col("upto") > F.col("gap")) & (F.col("upto") - F.col("words") <= F.col("gap")))
-    return {tuple(r["pattern"]): (r[key], r["upto"] - r["words"]) for r in passed.collect()}
+def _boundaries(units, key):
+    """Of each pattern, the slice in which the running sum of words passes its ``gap``, and the words before: ``{pattern: (slice, before)}``.
+
+    Where the sum never passes, the slice is ``None`` and all words are before.
+    """
+    group = W.partitionBy("pattern")
+    sums = units.groupBy("pattern", "gap", key).agg(F.sum("size").alias("words"))
+    sums = sums.withColumns({"upto": F.sum("words").over(group.orderBy(key)), "all": F.sum("words").over(group)})
+    passed = (F.col("upto") > F.col("gap")) & (F.col("upto") - F.col("words") <= F.col("gap"))
+    never = (F.col("all") <= F.col("gap")) & (F.col("upto") == F.col("all"))
+    found = sums.where(passed | never).collect()
+    return {tuple(r["pattern"]): (r[key], r["upto"] - r["words"]) if r["upto"] > r["gap"] else (None, r["all"]) for r in found}
 
 
-def _sliced(rows):
-    """``rows`` with the first ten and the next ten bits of their draw."""
+def _placed(rows):
+    """``rows`` with their place in the seeded order (draws without sign), and its first ten and next ten bits."""
     return rows.withColumns(
         {
+            "place": F.col("draw").bitwiseXOR(F.lit(LEAST)),
             "first_slice": F.shiftrightunsigned("draw", 54),
             "second_slice": F.shiftrightunsigned("draw", 44).bitwiseAND(F.lit(SLICES - 1)),
         }
     )
 
 
-def _with_copies(rows, frame, most):
-    """Sliced ``rows`` with ``copies``: the whole ones, and one more below the boundary."""
-    below = (F.col("first_slice") < F.col("first")) | (
-        (F.col("first_slice") == F.col("first")) & (F.col("second_slice") < F.col("second"))
-    )
-    more = F.when(below & (F.col("whole") < most), 1).otherwise(0)
-    return rows.join(frame.drop("gap"), "pattern").withColumn("copies", F.col("whole") + more)
+def _begin(first, second=0):
+    """The place at which a slice begins."""
+    return (first * SLICES + second << 44) + LEAST
+
+
+def _go_down(units, state):
+    """Takes units in the seeded order, each that fits the rest of its pattern's ``gap``.
+
+    A unit that does not fit is passed over. Each round looks at the units after
+    the last one walked that are no larger than the gap, takes what lies before
+    the slice where their sum passes it, and walks on from there unit by unit.
+    Ends where no unit is left that fits. What is taken of a pattern is all
+    before its ``start``, its ``ranges`` ``(pattern, from, to, largest size)`` and its ``singles`` ``(pattern, draw)``.
+    """
+    spark = units.sparkSession
+    ahead = lambda n: max(1, min(AHEAD, MOST_AHEAD // n))
+    after = {pattern: (LEAST, MOST) for pattern, s in state.items() if s["gap"] > 0}
+    while after:
+        rows = [(list(p), at, limit, state[p]["gap"]) for p, (at, limit) in after.items()]
+        fitting = units.join(_plan_frame(spark, rows, "at", "limit", "gap"), "pattern")
+        fitting = fitting.where("place >= at AND size <= limit AND size > 0").drop("at", "limit", "gap")
+        gaps = _plan_frame(spark, [(list(p), state[p]["gap"]) for p in after], "gap")
+        firsts = {}
+        for pattern, (first, before) in _boundaries(fitting.join(gaps, "pattern"), "first_slice").items():
+            state[pattern]["gap"] -= before
+            if first is None:
+                state[pattern]["ranges"].append((list(pattern), after[pattern][0], MOST, after[pattern][1]))
+            else:
+                firsts[pattern] = first
+        if not firsts:
+            return
+        rows = [(list(p), first, state[p]["gap"]) for p, first in firsts.items()]
+        edge = fitting.join(_plan_frame(spark, rows, "first", "gap"), "pattern").where("first_slice = first")
+        starts = {}
+        for pattern, (second, before) in _boundaries(edge, "second_slice").items():
+            state[pattern]["gap"] -= before
+            starts[pattern] = _begin(firsts[pattern], second)
+            at, limit = after[pattern]
+            if limit == MOST:
+                state[pattern]["start"] = starts[pattern]
+            elif at < starts[pattern]:
+                state[pattern]["ranges"].append((list(pattern), at, starts[pattern] - 1, limit))
+        rows = [(list(p), firsts[p], start) for p, start in starts.items()]
+        walk = fitting.join(_plan_frame(spark, rows, "first", "start"), "pattern").where("first_slice = first AND place >= start")
+        n = ahead(len(starts))
+        walk = walk.withColumn("nth", F.row_number().over(W.partitionBy("pattern").orderBy("place"))).where(F.col("nth") <= n)
+        walked = {}
+        for row in sorted(walk.select("pattern", "place", "draw", "size").collect(), key=lambda r: r["place"]):
+            pattern = tuple(row["pattern"])
+            walked.setdefault(pattern, []).append(row["place"])
+            if row["size"] <= state[pattern]["gap"]:
+                state[pattern]["gap"] -= row["size"]
+                state[pattern]["singles"].append((list(pattern), row["draw"]))
+        after = {}
+        for pattern, places in walked.items():
+            at = places[-1] + 1 if len(places) == n else _begin(firsts[pattern] + 1)
+            if state[pattern]["gap"] > 0 and at <= MOST:
+                after[pattern] = (at, state[pattern]["gap"])
+
+
+def _taken(units, state):
+    """``pattern, draw`` of the units taken by ``ranges`` and ``singles``."""
+    ranges = [r for s in state.values() for r in s["ranges"]]
+    singles = [r for s in state.values() for r in s["singles"]]
+    if not ranges:
+        return _plan_frame(units.sparkSession, singles, "draw")
+    within = units.join(_plan_frame(units.sparkSession, ranges, "from", "to", "limit"), "pattern")
+    within = within.where("place BETWEEN `from` AND `to` AND size <= limit AND size > 0").select("pattern", "draw")
+    return saved(within.union(_plan_frame(units.sparkSession, singles, "draw")), "mixing-taken").distinct()
+
+
+def _choose(units, wanted):
+    """Of each pattern what is taken to come near the words ``wanted``, as ``_go_down`` describes it.
+
+    The last rest is less than any unit left out; the smallest of these is taken
+    if it comes nearer. If the rest is still a good deal and there are units
+    smaller than it, long units were left out that the others cannot stand in
+    for: the smallest of them is taken before all others, and so on.
+    """
+    spark, best, ahead = units.sparkSession, {}, {p: [] for p in wanted}
+    while ahead:
+        held = [(list(p), draw) for p, some in ahead.items() for _, draw in some]
+        free = units.join(_plan_frame(spark, held, "draw"), ["pattern", "draw"], "left_anti") if held else units
+        state = {
+            p: {"gap": wanted[p] - sum(size for size, _ in some), "start": LEAST, "ranges": [], "singles": [(list(p), d) for _, d in some]}
+            for p, some in ahead.items()
+        }
+        _go_down(free, state)
+        rows = [(list(p), s["start"]) for p, s in state.items() if s["gap"] > 0]
+        all_units = units.where("size > 0").join(_plan_frame(spark, rows, "start"), "pattern")
+        all_units = all_units.join(_taken(units, state).withColumn("more", F.lit(1)), ["pattern", "draw"], "left")
+        left = F.when(F.col("more").isNull() & (F.col("place") >= F.col("start")), F.struct("size", "draw"))
+        rest = all_units.groupBy("pattern").agg(F.min(left).alias("next"), F.min("size").alias("least")) if rows else None
+        rest = {tuple(r["pattern"]): r for r in rest.collect()} if rows else {}
+        again = {}
+        for pattern, s in state.items():
+            off, row = s["gap"], rest.get(pattern)
+            following = row["next"] if row else None
+            if following and following["size"] < 2 * off:
+                off = following["size"] - off
+                s["singles"].append((list(pattern), following["draw"]))
+            if pattern not in best or off < best[pattern]["off"]:
+                best[pattern] = {**s, "off": off}
+            some = [*ahead[pattern], (following["size"], following["draw"])] if following else []
+            if following and off > NEAR * wanted[pattern] and off > row["least"] and sum(n for n, _ in some) <= wanted[pattern]:
+                again[pattern] = some
+        ahead = again
+    return best
 
 
 def choose_copies(sized, plan, most=MOST_COPIES):
     """A function that adds ``copies`` to rows with ``pattern`` and ``draw``; they bring ``sized`` near the words in ``plan``.
 
     ``sized`` has ``pattern, size, draw``; ``plan`` maps patterns to ``(words, words wanted)``. All documents get the
-    whole copies; one copy more goes to those whose draw is below a boundary,
-    found by two rounds of slices. What is then missing is filled by up to
-    ``FILL_ROUNDS`` single documents, each the one that comes nearest.
+    whole copies; one copy more goes to documents in the order of their draws,
+    each that fits what is still wanted (see ``_choose`` for the last rest).
     """
     spark = sized.sparkSession
     state = {}
     for pattern, (words, wanted) in plan.items():
         whole = min(most, wanted // words) if words else 0
-        state[pattern] = {"whole": whole, "gap": wanted - whole * words, "first": -1, "second": -1}
-
-    def frame():
-        return _plan_frame(spark, [(list(p), s["whole"], s["first"], s["second"], s["gap"]) for p, s in state.items()])
-
+        state[pattern] = {"whole": whole, "gap": wanted - whole * words, "start": LEAST, "ranges": [], "singles": []}
     # Rows of one draw are copies of one row and go together.
-    units = _sliced(saved(sized.groupBy("pattern", "draw").agg(F.sum("size").alias("size")), "mixing-units"))
-    for pattern, (at, before) in _boundaries(units, frame().select("pattern", "gap"), "first_slice").items():
-        state[pattern].update(first=at, gap=state[pattern]["gap"] - before)
-    edge = units.join(frame(), "pattern").where(F.col("first_slice") == F.col("first")).select("pattern", "size", "second_slice")
-    for pattern, (at, before) in _boundaries(edge, frame().select("pattern", "gap"), "second_slice").items():
-        state[pattern].update(second=at, gap=state[pattern]["gap"] - before)
-    spare = _with_copies(units, frame(), most).where((F.col("copies") == F.col("whole")) & (F.col("whole") < most))
-    spare = spare.where("size > 0").select("pattern", "draw", "size")
-    filled = {pattern: [] for pattern in state}
-    for _ in range(FILL_ROUNDS):
-        gaps = [(list(p), 0, 0, 0, s["gap"]) for p, s in state.items() if s["gap"] > 0]
-        if not gaps:
-            break
-        near = spare.join(_plan_frame(spark, gaps).select("pattern", "gap"), "pattern").where(F.col("size") < 2 * F.col("gap"))
-        used = [(list(p), 0, d, 0, 0) for p, draws in filled.items() for d in draws]
-        used = _plan_frame(spark, used).select("pattern", F.col("first").alias("draw"))
-        near = near.join(used, ["pattern", "draw"], "left_anti")
-        nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "draw", "size")).alias("best")
-        best = near.groupBy("pattern").agg(nearest).select("pattern", "best.*").collect()
-        if not best:
-            break
-        for row in best:
-            state[tuple(row["pattern"])]["gap"] -= row["size"]
-            filled[tuple(row["pattern"])].append(row["draw"])
-    extra = [(list(p), 1, d, 0, 0) for p, draws in filled.items() for d in draws]
+    units = _placed(saved(sized.groupBy("pattern", "draw").agg(F.sum("size").alias("size")), "mixing-units"))
+    for pattern, found in _choose(units, {p: s["gap"] for p, s in state.items() if s["gap"] > 0}).items():
+        state[pattern].update(found)
+    starts = _plan_frame(spark, [(list(p), s["whole"], s["start"]) for p, s in state.items()], "whole", "start")
+    taken = _taken(units, state)
 
     def add(rows):
-        more = _plan_frame(spark, extra).select("pattern", F.col("first").alias("draw"), F.col("whole").alias("more"))
-        full = _with_copies(_sliced(rows), frame(), most).join(more, ["pattern", "draw"], "left")
-        copies = (F.col("copies") + F.coalesce("more", F.lit(0))).cast("int").alias("copies")
-        return full.select(*[full[c] for c in rows.columns], copies)
+        full = _placed(rows).join(starts, "pattern").join(taken.withColumn("more", F.lit(1)), ["pattern", "draw"], "left")
+        more = F.when(F.col("place") < F.col("start"), 1).otherwise(F.coalesce("more", F.lit(0)))
+        return full.select(*[full[c] for c in rows.columns], (F.col("whole") + more).cast("int").alias("copies"))
 
     return add
 

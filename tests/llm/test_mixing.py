@@ -63,3 +63,55 @@ def test_awkward_rows_and_reruns(spark):
     taken = mixing.mixed_documents(clashing(spark))
     assert taken.columns == clashing(spark).columns
     assert taken.count() == mixing.mix(documents(spark)).agg({"copies": "sum"}).first()[0]
+
+
+def in_order(units, wanted):
+    """What is taken of ``(draw, size)``: in the order of draws without sign each that fits, then the smallest if it comes nearer."""
+    order = sorted(units, key=lambda u: u[0] % 2**64)
+    taken, gap = set(), wanted
+    for draw, size in order:
+        if 0 < size <= gap:
+            taken.add(draw)
+            gap -= size
+    left = [(size, draw) for draw, size in order if size and draw not in taken and size < 2 * gap]
+    return taken | ({min(left)[1]} if left else set())
+
+
+@pytest.mark.parametrize("ahead", [256, 3])
+def test_a_unit_that_does_not_fit_is_passed_over(spark, monkeypatch, ahead):
+    """Sources of small texts and a text of a third of all words, which stands before, at and behind the boundary."""
+    import random
+
+    monkeypatch.setattr(mixing, "AHEAD", ahead, raising=False)
+    draw = random.Random(3)
+    plan, rows = {}, []
+    for number, (share, long_at) in enumerate([(0.5, 0.3), (0.25, 0.1), (0.8, 0.75), (0.02, 0.0), (0.97, 0.99)]):
+        sizes = [draw.randint(1, 100) for _ in range(1500)]
+        units = [(draw.getrandbits(64) - 2**63, size) for size in sizes]
+        units.append((int(long_at * 2**64) - (2**64 if long_at >= 0.5 else 0), sum(sizes) // 2))
+        words = sum(size for _, size in units)
+        plan[(f"s{number}",)] = (words, int(share * words))
+        rows += [([f"s{number}"], size, d) for d, size in units]
+    sized = spark.createDataFrame(rows, "pattern array<string>, size long, draw long")
+    found = mixing.choose_copies(sized, plan)(sized).collect()
+    for pattern, (words, wanted) in plan.items():
+        own = [r for r in found if tuple(r["pattern"]) == pattern]
+        assert len(own) == 1501
+        if pattern not in (("s2",), ("s4",)):  # there the small texts alone are less than what is wanted
+            assert {r["draw"] for r in own if r["copies"]} == in_order([(r["draw"], r["size"]) for r in own], wanted)
+        assert abs(sum(r["size"] * r["copies"] for r in own) - wanted) <= 0.001 * wanted
+
+
+def test_several_long_texts_that_small_ones_cannot_stand_in_for(spark):
+    rows = [(["a"], 10, (i * 2654435761 % 2**32) << 31) for i in range(1000)] + [(["a"], 5000, 2**62 + i) for i in range(2)]
+    sized = spark.createDataFrame(rows, "pattern array<string>, size long, draw long")
+    found = mixing.choose_copies(sized, {("a",): (20_000, 18_000)})(sized).collect()
+    assert sum(r["size"] * r["copies"] for r in found) == 18_000
+
+
+def test_a_long_text_does_not_keep_a_source_from_its_target(spark):
+    rows = [(i, prose(i, 50), "a") for i in range(400)] + [(400 + i, prose(9000 + i, 10_000), f"b{i}") for i in range(6)]
+    rows += [(1000 + 100 * i + j, prose(20_000 + 100 * i + j, 100), f"b{i}") for i in range(6) for j in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix(docs).groupBy("pattern").agg({"taken": "sum", "target": "max"}).collect()
+    assert all(r["sum(taken)"] == pytest.approx(r["max(target)"], abs=51) for r in found)
