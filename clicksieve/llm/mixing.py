@@ -47,15 +47,41 @@ def targets(sizes, weights=WEIGHTS, share=SHARE, most=MOST_COPIES):
 
 def route(patterns, quotas, most=MOST_COPIES):
     """Words to take of each pattern: ``patterns`` maps tuples of sources to words, ``quotas`` sources to words."""
-    net, supply = Network(), {}
-    for number, (pattern, words) in enumerate(patterns.items()):
-        supply[pattern] = [net.arc("all", ("pattern", number), words, copy * copy) for copy in range(most)]
-        for source in pattern:
-            net.arc(("pattern", number), ("source", source), most * words, 0)
-    for source, quota in quotas.items():
-        net.arc(("source", source), "mix", round(quota), 0)
-    net.solve("all", "mix")
-    return {pattern: sum(map(net.flow_on, arcs)) for pattern, arcs in supply.items()}
+    found = {}
+    for some in _connected(patterns):
+        if len(some) == 1 and len(some[0]) == 1:
+            found[some[0]] = min(most * patterns[some[0]], round(quotas[some[0][0]]))
+            continue
+        net, supply = Network(), {}
+        for number, pattern in enumerate(some):
+            words = patterns[pattern]
+            supply[pattern] = [net.arc("all", ("pattern", number), words, copy * copy) for copy in range(most)]
+            for source in pattern:
+                net.arc(("pattern", number), ("source", source), most * words, 0)
+        for source in dict.fromkeys(source for pattern in some for source in pattern):
+            net.arc(("source", source), "mix", round(quotas[source]), 0)
+        net.solve("all", "mix")
+        found |= {pattern: sum(map(net.flow_on, arcs)) for pattern, arcs in supply.items()}
+    return {pattern: found[pattern] for pattern in patterns}
+
+
+def _connected(patterns):
+    """Lists of patterns that share sources, directly or through others; no words flow between two lists."""
+    leader = {}
+
+    def find(source):
+        while leader.setdefault(source, source) != source:
+            leader[source] = leader[leader[source]]
+            source = leader[source]
+        return source
+
+    for pattern in patterns:
+        for source in pattern[1:]:
+            leader[find(source)] = find(pattern[0])
+    groups = {}
+    for pattern in patterns:
+        groups.setdefault(find(pattern[0]), []).append(pattern)
+    return list(groups.values())
 
 
 def _plan_frame(spark, rows, *names):

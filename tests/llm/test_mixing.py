@@ -115,3 +115,18 @@ def test_a_long_text_does_not_keep_a_source_from_its_target(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     found = mixing.mix(docs).groupBy("pattern").agg({"taken": "sum", "target": "max"}).collect()
     assert all(r["sum(taken)"] == pytest.approx(r["max(target)"], abs=51) for r in found)
+
+
+def test_sources_that_share_nothing_are_routed_apart():
+    patterns = {("a",): 3, ("a", "b"): 4, ("b",): 2, ("c", "d"): 5, ("e",): 6, (None,): 3}
+    quotas = {"a": 5, "b": 6, "c": 4, "d": 3, "e": 7, None: 20}
+    found = mixing.route(patterns, quotas)
+    assert list(found) == list(patterns)
+    assert found[("a",)] + found[("a", "b")] + found[("b",)] == 11
+    assert (found[("c", "d")], found[("e",)], found[(None,)]) == (7, 7, 6)
+    import time
+
+    began = time.monotonic()
+    many = {(f"s{i}",): 1000 + i for i in range(20_000)}
+    assert sum(mixing.route(many, {s: 1500 for (s,) in many}).values()) == 20_000 * 1500
+    assert time.monotonic() - began < 30
