@@ -1,0 +1,124 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clicksieve.llm import vector_codes
+
+FIELDS = "vec_id long, embedding array<double>, label int"
+
+
+def plain(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """The contract in Python's integers: ``vec_id, code, error, label_error, sha``."""
+    kept = [r for r in rows if r[1] is not None and None not in r[1] and all(map(math.isfinite, r[1]))]
+    sizes = [len(r[1]) for r in kept if len(r[1]) and len(r[1]) % parts == 0]
+    if not sizes:
+        return []
+    size = min(set(sizes), key=lambda s: (-sizes.count(s), s))
+    kept = [(i, [math.floor(scale * x) for x in v], label) for i, v, label in kept if len(v) == size]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = size // parts
+    cut = [[tuple(v[p * width : (p + 1) * width]) for p in range(parts)] for _, v, _ in kept]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+    far = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+
+    def assign():
+        return [[min(range(len(books[p])), key=lambda k: (far(c[p], books[p][k]), k)) for p in range(parts)] for c in cut]
+
+    for _ in range(rounds):
+        codes = assign()
+        for p in range(parts):
+            for k in range(len(books[p])):
+                own = [c[p] for c, code in zip(cut, codes) if code[p] == k]
+                if own:
+                    books[p][k] = tuple(sum(x) // len(own) for x in zip(*own))
+    codes = assign()
+    errors = [sum(far(c[p], books[p][code[p]]) for p in range(parts)) for c, code in zip(cut, codes)]
+    limit = lambda x: min(x, 2**63 - 1)
+    by_label = {}
+    for (_, _, label), error in zip(kept, errors):
+        by_label[label] = by_label.get(label, 0) + limit(error)
+    sha = hashlib.sha256(",".join(str(x) for part in books for e in part for x in e).encode()).hexdigest()
+    return [
+        (i, "".join(f"{k:02x}" for k in code), limit(error), limit(by_label[label]), sha)
+        for (i, _, label), code, error in zip(kept, codes, errors)
+    ]
+
+
+def check(spark, rows, **options):
+    df = spark.createDataFrame(rows, FIELDS)
+    found = vector_codes.compress(df, **options)
+    assert found.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(plain(rows, **options), key=repr)
+
+
+def drawn(n, size, spread=1.0, seed=3):
+    draw = np.random.default_rng(seed)
+    return [(i, [float(x) for x in draw.normal(0, spread, size)], int(i) % 3 if i % 5 else None) for i in range(n)]
+
+
+def test_against_plain_integers(spark):
+    check(spark, drawn(90, 16))
+
+
+def test_other_parts_and_entries(spark):
+    check(spark, drawn(60, 12), parts=3, entries=5, rounds=2, scale=100)
+
+
+@pytest.mark.parametrize("spread", [1e4, 1e9, 1e30])
+def test_numbers_of_many_digits(spark, spread):
+    """Up to where distances need more than 64 bits, and sums more than any of Spark's types."""
+    check(spark, drawn(40, 8, spread), entries=4, rounds=3)
+
+
+def test_awkward_rows(spark):
+    same = [0.5] * 8
+    rows = drawn(20, 8) + [(100 + i, same, 7) for i in range(30)]
+    rows += [(3, same, None), (None, same, 7), (None, [0.25] * 8, None), (201, None, 7), (202, [1.0, None] * 4, 7)]
+    rows += [(203, [float("nan")] * 8, 1), (204, [float("inf")] * 8, 1), (205, [], 1), (206, [1.0] * 16, 1), (207, [1.0] * 7, 1)]
+    rows += [rows[2], rows[2], (300, [-0.0] * 8, 1), (301, [-1e-9] * 8, 1)]
+    check(spark, rows)
+    df = spark.createDataFrame(rows, FIELDS)
+    clashing = df.withColumns({c: F.lit("?") for c in ("code", "error", "vector", "size", "part", "unlabelled", "n")})
+    assert sorted(map(repr, vector_codes.compress(clashing).collect())) == sorted(map(repr, vector_codes.compress(df).collect()))
+
+
+def test_few_and_no_rows(spark):
+    check(spark, drawn(5, 8))
+    check(spark, [(1, None, 1), (2, [], 1), (3, [1.0], 1)])
+    check(spark, [(4, [2.5] * 8, None)])
+    empty = spark.createDataFrame([], FIELDS).drop("label")
+    assert vector_codes.compress(empty).count() == 0
+
+
+def test_ties_go_to_the_first_entry(spark):
+    rows = [(i, [0.0] * 8, 1) for i in range(20)]
+    check(spark, rows + [(20, [1.0] * 8, 1)])
+    found = vector_codes.compress(spark.createDataFrame(rows, FIELDS))
+    assert {r["code"] for r in found.collect()} == {"00" * 8}
+
+
+def test_products_are_exact():
+    draw = np.random.default_rng(4)
+    for bits in (10, 24, 50, 70):
+        a, b = [np.floor(draw.uniform(-1, 1, (40, 9)) * 2.0**bits) for _ in range(2)]
+        count = vector_codes.limb_count(2**bits)
+        digits = [vector_codes.limbs_of(x, count) for x in (a, b)]
+        assert all(abs(d).max() <= vector_codes.LIMB for x in digits for d in x)
+        made = vector_codes.exact_products(*digits, wide=True)
+        expected = [[sum(int(x) * int(y) for x, y in zip(u, v)) for v in b] for u in a]
+        assert made.tolist() == expected
+        if bits <= 24:
+            assert vector_codes.exact_products(*digits, wide=False).tolist() == expected
+
+
+def test_codes_decode_to_their_entries(spark):
+    rows, size, largest = vector_codes.usable(spark.createDataFrame(drawn(50, 8), FIELDS))
+    books = vector_codes.fit(rows, size, largest)
+    coded = {r["vec_id"]: r for r in vector_codes.encode(rows, books).collect()}
+    for r in rows.collect():
+        back = books.decode(coded[r["vec_id"]]["code"])
+        error = sum((math.floor(4096 * x) - 4096 * y) ** 2 for x, y in zip(r["vector"], back))
+        assert error == coded[r["vec_id"]]["error"]
