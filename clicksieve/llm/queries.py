@@ -3,7 +3,21 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from clicksieve.llm import byte_bpe, language_id, mixing, packed_ids, personal_data, quality, secret_scan, shingle_join, substring_dedup, vantage_trees
+from clicksieve.llm import (
+    byte_bpe,
+    fill_middle,
+    language_id,
+    mixing,
+    packed_ids,
+    personal_data,
+    quality,
+    quality_classifier,
+    secret_scan,
+    shingle_join,
+    substring_dedup,
+    vantage_trees,
+    vector_codes,
+)
 from clicksieve.llm.common import table
 from clicksieve.llm.vocabularies import BYTE_VOCABULARY, END_ID, WORD_VOCABULARY, split_pattern, vocabulary
 
@@ -49,6 +63,18 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark, sf_dir):
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_classifier(spark, sf_dir):
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packed_ids": op2_packed_ids,
@@ -60,6 +86,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_vantage_trees": op9_vantage_trees,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_quality_classifier": op13_quality_classifier,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -68,6 +97,8 @@ ORACLE = {
     "op9_vantage_trees": vantage_trees.ORACLE,
     "op1_quality_rules": quality.oracle(),
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_vector_codes": vector_codes.oracle(),
+    "op12_fill_middle": fill_middle.ORACLE,
 }
 
 if corpus_pipeline.ORACLE_SQL:
