@@ -30,7 +30,7 @@ from clicksieve.operators import (
 )
 from clicksieve.operators.distinct import ELEMENTS
 from clicksieve.plans.samples import lines_to_table, samples_from_lines, stream_lines_to_table, table_to_records
-from clicksieve.record import EVENT_TIME, MAP_COLUMN, MAP_FUNCTION, PARTITION_COLUMN, RECORD_FIELDS, STRUCT_COLUMN
+from clicksieve.record import EVENT_TIME, LOAD_COLUMN, MAP_COLUMN, MAP_FUNCTION, PARTITION_COLUMN, RECORD_FIELDS, STRUCT_COLUMN
 from clicksieve.session import fresh_path, use_utc
 from clicksieve.sinks import (
     bucketed,
@@ -54,7 +54,6 @@ from clicksieve.streaming import (
     stream_to_table,
     stream_to_text_buckets,
 )
-from clicksieve.streaming.jobs import LOAD_COLUMN
 from clicksieve.streaming.times import END_USER
 
 FEATURES = ["segment", "nation", "in_credit", "field8"]

@@ -1,15 +1,11 @@
 """Running streams: checkpoints, triggers, sinks."""
 
-
-from clicksieve.record import EVENT_TIME, PARTITION_COLUMN, TRIGGER_INTERVAL
+from clicksieve.record import EVENT_TIME, LOAD_COLUMN, PARTITION_COLUMN, TRIGGER_INTERVAL
 from clicksieve.session import fresh_path
 from clicksieve.sinks.files import hour_bucketed
 from clicksieve.sinks.tables import evolve_and_append
 
 
-LOAD_COLUMN = "load_id"
-
-
 def stream_id(batch):
     """The id of the stream a micro-batch is of: kept in its checkpoint, and the same after a restart."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
