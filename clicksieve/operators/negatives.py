@@ -1,14 +1,12 @@
 """Negative samples: shows that got no click."""
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from clicksieve.functions import bucket_start, duration_micros, window_start
 from clicksieve.operators.distinct import WINDOW_START
 from clicksieve.operators.records import clicks, null_fill, shows, with_label
-from clicksieve.operators.skew import ROWS_PER_TASK, heavy_keys, splittable
-from clicksieve.operators.ttl import ALWAYS, first_per_key_ttl, starts_run
+from clicksieve.operators.skew import splittable
+from clicksieve.operators.ttl import first_per_key_ttl
 from clicksieve.record import CLICK, EVENT_TIME, LABEL_WINDOW, SHOW, TTL
 
 BUCKET = "_bucket"
@@ -91,92 +89,23 @@ def connect_by_key(left, right, side="side", names=("left", "right")):
     return left.withColumn(side, F.lit(names[0])).unionByName(right.withColumn(side, F.lit(names[1])))
 
 
-def negatives_two_stream(
-    df,
-    key="user_id",
-    ttl=TTL,
-    ts=EVENT_TIME,
-    tie="event_id",
-    dedup_clicks=True,
-    heavy=None,
-    rows_per_task=ROWS_PER_TASK,
-):
+def negatives_two_stream(df, key="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", dedup_clicks=True, partitions=None):
     """Shows and clicks each thinned to the first per key and ``ttl``, then :func:`negatives_within`.
 
     Thinning hides clicks too, so a show may stay negative although a later,
     hidden click followed it; ``dedup_clicks=False`` counts every click. NULL
-    keys are filled, and are one key; rows without a time are left out.
-
-    Ordinary keys take one shuffle and one pass over sorted partitions that
-    does both steps. Keys with more rows than one task should walk take the
-    two steps one after the other, each of which spreads a key over tasks.
+    keys are filled, and are one key; rows without a time are left out. Both
+    steps spread a key of very many rows over tasks.
     """
-    columns = df.columns
     rows = null_fill(labelled_rows(df), [key]).where(F.col(ts).isNotNull())
-    if heavy is None:
-        heavy = heavy_keys(rows, [key], rows_per_task)
-    heavy = null_fill(heavy.select(key), [key])
-    ordinary = rows.join(heavy, key, "left_anti").select(*columns)
-    ordered = ordinary.repartition(key).sortWithinPartitions(key, ts, "interested", tie)
-    walked = with_label(ordered.mapInArrow(_unclicked_shows(key, ts, duration_micros(ttl), dedup_clicks), df.schema))
-
-    large = rows.join(heavy, key, "left_semi").select(*columns)
-    kinds = heavy.select(key, F.explode(F.array(F.lit(SHOW), F.lit(CLICK))).alias("interested"))
-    thinned = first_per_key_ttl(large if dedup_clicks else shows(large), [key, "interested"], ttl, ts, tie, kinds)
-    spread = negatives_within(shows(thinned), clicks(thinned if dedup_clicks else large), key, ttl, ts)
-    return walked.unionByName(spread)
-
+    thinned = first_per_key_ttl(rows if dedup_clicks else shows(rows), [key, "interested"], ttl, ts, tie, partitions)
+    return negatives_within(shows(thinned), clicks(thinned if dedup_clicks else rows), key, ttl, ts)
 
-def _unclicked_shows(key, ts, ttl, dedup_clicks):
-    """Over rows in the order of key, time and kind: thinned shows that no thinned click follows in time.
-
-    At most two shows are pending at any time, as kept ones are a ttl apart.
-    """
 
-    def walk(batches):
-        waiting, previous, show_from, click_from = None, None, ALWAYS, ALWAYS
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            starts = starts_run(batch, [key], previous).tolist()
-            previous = batch.slice(batch.num_rows - 1)
-            carried = waiting.num_rows if waiting is not None else 0
-            if carried:
-                batch = pa.concat_batches([waiting, batch])
-                starts = [False] * carried + starts
-            times = pc.fill_null(batch.column(ts).cast(pa.int64()), 0).to_numpy().tolist()
-            shown = pc.equal(batch.column("interested"), SHOW).to_numpy(zero_copy_only=False).tolist()
-            pending, negative = list(range(carried)), []
-            for row in range(carried, batch.num_rows):
-                now = times[row]
-                if starts[row]:
-                    negative.extend(pending)
-                    pending, show_from, click_from = [], ALWAYS, ALWAYS
-                while pending and times[pending[0]] + ttl < now:
-                    negative.append(pending.pop(0))
-                if shown[row]:
-                    if now >= show_from:
-                        pending.append(row)
-                        show_from = now + ttl
-                elif not dedup_clicks or now >= click_from:
-                    pending = []
-                    click_from = now + ttl
-            waiting = batch.take(pa.array(pending, type=pa.int64()))
-            yield batch.take(pa.array(negative, type=pa.int64()))
-        if waiting is not None:
-            yield waiting
-
-    return walk
-
-
-def negatives_across_windows(
-    df, key="user_id", width=LABEL_WINDOW, ttl=TTL, ts=EVENT_TIME, tie="event_id", rows_per_task=ROWS_PER_TASK
-):
+def negatives_across_windows(df, key="user_id", width=LABEL_WINDOW, ttl=TTL, ts=EVENT_TIME, tie="event_id", partitions=None):
     """Clicked shows removed within a window, the rest thinned across windows, then clicked ones removed again."""
     df = null_fill(df, [key])
     unclicked = negatives_in_window(df, key, width, ts, distinct=True).select(*df.columns)
-    # Counted before the removal, which can only make a key's rows fewer.
-    heavy = heavy_keys(labelled_rows(df), [key], rows_per_task)
-    thinned = first_per_key_ttl(unclicked, key, ttl, ts, tie, heavy)
-    first_clicks = first_per_key_ttl(clicks(df), key, ttl, ts, tie, heavy)
+    thinned = first_per_key_ttl(unclicked, key, ttl, ts, tie, partitions)
+    first_clicks = first_per_key_ttl(clicks(df), key, ttl, ts, tie, partitions)
     return negatives_within(thinned, first_clicks, key, ttl, ts)

@@ -4,15 +4,13 @@ One key may hold a large share of all rows. Joins leave it to adaptive
 execution, which splits an oversized partition of the preserved side by map
 output, so that even identical rows spread. It does that only where both
 join inputs are plain shuffles; :func:`splittable` makes them so. Operators
-that need a key's rows in order ask for :func:`heavy_keys` and treat those
-keys apart.
+that need a key's rows in order deal rows by ranges of key and time.
 """
 
 from pyspark.sql import functions as F
 
 SHARD = "_shard"
 SHARDS = 1024  # a power of two
-ROWS_PER_TASK = 1_000_000
 
 
 def splittable(left, right, keys):
@@ -26,19 +24,7 @@ def splittable(left, right, keys):
     return left.withColumn(SHARD, shard), right.withColumn(SHARD, shard), [*keys, SHARD]
 
 
-def heavy_keys(df, keys, rows_per_task=ROWS_PER_TASK):
-    """Keys with more rows than one task should take in order.
-
-    At most ``rows / rows_per_task`` of them exist. Whether they are broadcast
-    is left to their measured size.
-    """
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > rows_per_task).select(*keys)
-
-
-def same_keys(df, other, keys, how):
-    """A semi or anti join on ``keys`` in which NULL equals NULL; columns as in ``df``."""
-    other = other.select(*[F.col(k).alias(f"_o_{k}") for k in keys])
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    return df.join(other, condition, how).select(*df.columns)
+def range_partitions(spark):
+    """How many ranges rows in order are cut into: as many as a shuffle starts with, since ranges are not merged later."""
+    start = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(start or spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,18 +2,20 @@
 
 A kept row hides the key's rows of the next ``ttl``; the first row at or after
 that time is kept in turn. Each decision depends on the one before, so a key's
-rows are walked in time order. Ordinary keys take one shuffle and one pass
-over sorted partitions. A key with more rows than one task should walk is cut
-into time segments that are walked in parallel:
-
-1. rows of the same instant fold to one before the shuffle;
-2. each segment computes, for every time from which it might be entered, the
-   time from which the key is open again after it (a short step function);
-3. the step functions of a key, a few rows per segment, are chained in order,
-   which gives each segment its true entry time;
-4. the segments are walked from those entry times.
-
-The result is the same whichever way a key goes.
+rows are walked in time order. All keys go the same way, however many rows they
+have:
+
+1. equal rows fold to one before they are shuffled;
+2. rows are dealt by ranges of key and time and sorted, so that a partition
+   holds many keys, or a piece of a large one, and nothing else decides its size;
+3. each partition computes, for the key it begins with and for every time from
+   which that key might be entered, the time from which it is open again at the
+   partition's end (a short step function), and the same for the key it ends with;
+4. the step functions, a few rows per partition, are chained in order, which
+   gives each partition the true entry time of its first key;
+5. the partitions are walked from those entry times.
+
+Steps 3 and 5 read one shuffle, so the input is read once.
 """
 
 import numpy as np
@@ -22,75 +24,66 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicksieve.functions import bucket_start, duration_micros
-from clicksieve.operators.skew import ROWS_PER_TASK, heavy_keys, same_keys
+from clicksieve.functions import duration_micros
+from clicksieve.operators.skew import range_partitions
 from clicksieve.record import EVENT_TIME, TTL
 
-SEGMENT = "_segment"
+PART = "_part"
+STARTS_AT = "_starts_at"
 OPEN_FROM = "_open_from"
 UP_TO = "_up_to"
-MICROS = "_micros"
 
-SEGMENT_TTLS = 16
 ALWAYS = -(2**63)
+EVER = 2**63 - 1
+UNORDERED = ("map", "variant")
 
 
-def first_per_key_ttl(
-    df, keys="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", heavy=None, rows_per_task=ROWS_PER_TASK
-):
+def first_per_key_ttl(df, keys="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", partitions=None):
     """The first row per key, and again the first row ``ttl`` or more after each kept one.
 
     Among rows of the same instant the smallest ``tie`` comes first, and of
     equal ties the row that is smallest in all its columns. NULL keys are one
     key. Rows without a time have no place in the order and are left out.
-    ``heavy`` names the keys to be cut into segments where the caller knows
-    them; by default they are counted, which reads the key columns once more.
+    ``partitions`` is the number of ranges that keys and times are cut into.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     micros = duration_micros(ttl)
-    df = df.where(F.col(ts).isNotNull())
-    if heavy is None:
-        heavy = heavy_keys(df, keys, rows_per_task)
-    order = _tie_order(df, keys, ts, tie)
-    whole = same_keys(df, heavy, keys, "left_anti").withColumn(SEGMENT, F.lit(None).cast("long"))
-    cut = _firsts_of_instants(same_keys(df, heavy, keys, "left_semi"), df.columns, keys, micros, ts, order)
-    # An entry time joins its segment as a first row that carries nothing else.
-    rows = whole.unionByName(cut).withColumn(OPEN_FROM, F.lit(None).cast("long"))
-    rows = rows.unionByName(_entry_times(cut, keys, micros, ts), allowMissingColumns=True)
-    runs = [*keys, SEGMENT]
-    ordered = rows.repartition(*runs).sortWithinPartitions(*runs, ts, *order)
-    return ordered.mapInArrow(_keep_first(runs, ts, micros), rows.schema).select(*df.columns)
-
-
-def _tie_order(df, keys, ts, tie):
+    order = tie_order(df, keys, ts, tie)
+    count = partitions or range_partitions(df.sparkSession)
+    # Different rows of one instant may be dealt to different partitions: the first of them hides the others there too.
+    by = [*keys, ts, *order]
+    rows = _folded(df.where(F.col(ts).isNotNull()), keys, ts, order)
+    ranged = rows.repartitionByRange(count, *by).sortWithinPartitions(*by).withColumn(PART, F.spark_partition_id())
+    # One row per partition at most, so its size is bounded by their number.
+    entries = F.broadcast(_entry_times(ranged, keys, micros, ts))
+    entered = ranged.join(entries, PART, "left").select(*df.columns, STARTS_AT, OPEN_FROM)
+    return entered.mapInArrow(_keep_first(keys, ts, micros), df.schema)
+
+
+def tie_order(df, keys, ts, tie):
     """The columns that order rows of one key and instant: the tie, then all others that have an order."""
-    others = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    others = [f.name for f in df.schema.fields if f.dataType.typeName() not in UNORDERED]
     return [tie, *[c for c in others if c not in (*keys, ts, tie)]]
 
 
-def _firsts_of_instants(df, columns, keys, micros, ts, order):
-    """The first row of each key and instant, with the segment it falls in."""
-    others = [c for c in columns if c not in (*keys, ts)]
+def _folded(df, keys, ts, order):
+    """Equal rows once; where some column cannot be compared, the first row of each key and instant."""
+    if not any(f.dataType.typeName() in UNORDERED for f in df.schema.fields):
+        return df.distinct()
+    others = [c for c in df.columns if c not in (*keys, ts)]
     # A struct is never NULL, even where all its fields are, so no row is lost.
     firsts = df.groupBy(*keys, ts).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_row"))
-    return firsts.select(*keys, ts, "_row.*").select(*columns, _segment(ts, micros).alias(SEGMENT))
+    return firsts.select(*keys, ts, "_row.*").select(*df.columns)
 
 
-def _segment(ts, micros):
-    return bucket_start(F.col(ts), f"{micros * SEGMENT_TTLS} microseconds")
-
-
-def _entry_times(firsts, keys, micros, ts):
-    """For each segment of each key, the time from which its rows count again."""
-    segment_keys = [*keys, SEGMENT]
-    times = firsts.select(*segment_keys, F.unix_micros(F.col(ts)).alias(MICROS))
-    key_fields = times.schema.fields[: len(segment_keys)]
-    up_to, open_from = T.StructField(UP_TO, T.LongType()), T.StructField(OPEN_FROM, T.LongType())
-    steps = times.groupBy(*segment_keys).applyInArrow(
-        _exit_steps(segment_keys, micros), T.StructType([*key_fields, up_to, open_from])
-    )
-    ordered = steps.repartition(*keys).sortWithinPartitions(*segment_keys, UP_TO)
-    return ordered.mapInArrow(_chain_steps(keys), T.StructType([*key_fields, open_from]))
+def _entry_times(ranged, keys, micros, ts):
+    """For each partition the time of its first row, and that from which the key it begins with counts."""
+    key_fields = [ranged.schema[k] for k in keys]
+    longs = [T.StructField(name, T.LongType()) for name in (STARTS_AT, UP_TO, OPEN_FROM)]
+    part = T.StructField(PART, T.IntegerType())
+    steps = ranged.mapInArrow(_exit_steps(keys, ts, micros), T.StructType([*key_fields, part, *longs]))
+    ordered = steps.repartition(*keys).sortWithinPartitions(*keys, PART, UP_TO)
+    return ordered.mapInArrow(_chain_steps(keys), T.StructType([part, longs[0], longs[2]]))
 
 
 def starts_run(batch, keys, previous):
@@ -110,49 +103,97 @@ def starts_run(batch, keys, previous):
     return starts
 
 
-def _keep_first(runs, ts, micros):
+def _times(batch, ts):
+    return batch.column(ts).cast(pa.int64()).to_numpy(zero_copy_only=False)
+
+
+def _keep_first(keys, ts, micros):
     def keep(batches):
         previous, open_from = None, ALWAYS
         for batch in batches:
             if not batch.num_rows:
                 continue
-            starts = starts_run(batch, runs, previous).tolist()
-            times = pc.fill_null(batch.column(ts).cast(pa.int64()), 0).to_numpy().tolist()
+            starts = starts_run(batch, keys, previous).tolist()
+            times = _times(batch, ts).tolist()
             kept = []
-            if batch.column(OPEN_FROM).null_count == batch.num_rows:
-                entries = None
-            else:
-                entries = batch.column(OPEN_FROM).to_pylist()
+            if previous is None:
+                starts[0] = False
+                entry = batch.column(OPEN_FROM)[0].as_py()
+                open_from = ALWAYS if entry is None else entry
+                if batch.column(STARTS_AT)[0].as_py() != times[0]:
+                    raise RuntimeError("the ranges of rows were dealt twice, and not alike: spark.sql.exchange.reuse must be on")
             for row, (start, time) in enumerate(zip(starts, times)):
                 if start:
                     open_from = ALWAYS
-                if entries is not None and entries[row] is not None:
-                    open_from = entries[row]
-                elif time >= open_from:
+                if time >= open_from:
                     kept.append(row)
                     open_from = time + micros
             previous = batch.slice(batch.num_rows - 1)
-            yield batch.take(pa.array(kept, type=pa.int64()))
+            yield batch.take(pa.array(kept, type=pa.int64())).drop_columns([STARTS_AT, OPEN_FROM])
 
     return keep
 
 
-def _exit_steps(segment_keys, micros):
-    """A segment's step function: entered no later than ``up_to``, it opens again at ``open_from``."""
+def _exit_steps(keys, ts, micros):
+    """The step functions of a partition's first and last key: entered no later than ``up_to``, one opens again at ``open_from``.
+
+    Only a key that fills its partition passes an entry time on. Else the first
+    one ends here and the last one begins here.
+    """
+    names = [*keys, PART, STARTS_AT, UP_TO, OPEN_FROM]
 
-    def steps(key, table):
-        times = np.sort(table.column(MICROS).to_numpy())
-        start = key[-1].as_py()
-        # Entered from an earlier segment, a segment opens less than a ttl after its start.
-        candidates = np.searchsorted(times, start + micros) + 1
-        exits, times = _exits(times, micros)[:candidates], times[:candidates]
-        last = np.flatnonzero(np.append(exits[1:] != exits[:-1], True))
-        columns = [pa.repeat(value, len(last)) for value in key]
-        return pa.table([*columns, times[last], exits[last]], names=[*segment_keys, UP_TO, OPEN_FROM])
+    def rows(key, part, starts_at, up_to, open_from):
+        many = len(up_to)
+        columns = [pa.concat_arrays([k] * many) for k in key]
+        columns += [pa.array([value] * many, kind) for value, kind in ((part, pa.int32()), (starts_at, pa.int64()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(up_to, pa.int64()), pa.array(open_from, pa.int64())], names=names)
+
+    def steps(batches):
+        previous, runs, head, key, run = None, 0, None, None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key_at = lambda row: [batch.column(k).slice(row, 1) for k in keys]  # noqa: B023, E731
+            times = _times(batch, ts)
+            starts = np.flatnonzero(starts_run(batch, keys, previous))
+            if previous is None:
+                part, starts_at, head = batch.column(PART)[0].as_py(), int(times[0]), key_at(0)
+            previous = batch.slice(batch.num_rows - 1)
+            if len(starts):
+                key, run = key_at(int(starts[-1])), []
+                runs += len(starts)
+                times = times[starts[-1] :]
+            run.append(times)
+        if previous is None:
+            return
+        up_to, open_from = _steps(np.concatenate(run), micros)
+        if runs == 1:
+            yield rows(key, part, starts_at, up_to, open_from)
+        else:
+            yield rows(head, part, starts_at, [EVER], [ALWAYS])
+            yield rows(key, part, None, [EVER], open_from[:1])
 
     return steps
 
 
+def _steps(times, micros):
+    """Entry times up to which, and the time from which a key is open again after its sorted ``times``."""
+    times = np.unique(times)
+    end = len(times)
+    following = np.append(np.searchsorted(times, times + micros), end)
+    # Entered from an earlier partition, the first kept row is at most the first one a ttl after the start.
+    firsts = np.arange(min(end, int(following[0]) + 1))
+    place, chain = firsts, firsts
+    while (following[place] < end).any():
+        place = np.where(following[place] < end, following[place], place)
+        # Chains that meet go on as one.
+        place, met = np.unique(place, return_inverse=True)
+        chain = met[chain]
+    exits = times[place][chain] + micros
+    last = np.flatnonzero(np.append(exits[1:] != exits[:-1], True))
+    return times[firsts][last].tolist(), exits[last].tolist()
+
+
 def _chain_steps(keys):
     def chain(batches):
         previous, entered, leaves = None, ALWAYS, None
@@ -160,39 +201,19 @@ def _chain_steps(keys):
             if not batch.num_rows:
                 continue
             key_starts = starts_run(batch, keys, previous)
-            segment_starts = key_starts | starts_run(batch, [SEGMENT], previous)
-            rows, entries = [], []
-            for row, (key_start, segment_start, up_to, open_from) in enumerate(
-                zip(
-                    key_starts.tolist(),
-                    segment_starts.tolist(),
-                    batch.column(UP_TO).to_pylist(),
-                    batch.column(OPEN_FROM).to_pylist(),
-                )
-            ):
-                if segment_start:
+            part_starts = key_starts | starts_run(batch, [PART], previous)
+            found = []
+            columns = [batch.column(name).to_pylist() for name in (PART, STARTS_AT, UP_TO, OPEN_FROM)]
+            for key_start, part_start, part, starts_at, up_to, open_from in zip(key_starts.tolist(), part_starts.tolist(), *columns):
+                if part_start:
                     entered = ALWAYS if key_start else entered if leaves is None else leaves
                     leaves = None
-                    rows.append(row)
-                    entries.append(entered)
+                    if starts_at is not None:
+                        found.append((part, starts_at, entered))
                 if leaves is None and up_to >= entered:
                     leaves = open_from
             previous = batch.slice(batch.num_rows - 1)
-            firsts = batch.select([*keys, SEGMENT]).take(pa.array(rows, type=pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*firsts.columns, pa.array(entries, type=pa.int64())], names=[*keys, SEGMENT, OPEN_FROM]
-            )
+            arrays = [pa.array([row[i] for row in found], kind) for i, kind in enumerate([pa.int32(), pa.int64(), pa.int64()])]
+            yield pa.RecordBatch.from_arrays(arrays, names=[PART, STARTS_AT, OPEN_FROM])
 
     return chain
-
-
-def _exits(times, micros):
-    """For each start row, when the key is open again after walking to the segment's end."""
-    end = len(times)
-    following = np.append(np.searchsorted(times, times + micros), end)
-    last = np.arange(end)
-    while True:
-        ahead = following[last]
-        if (ahead == end).all():
-            return times[last] + micros
-        last = np.where(ahead < end, ahead, last)

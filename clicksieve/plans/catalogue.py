@@ -28,25 +28,40 @@ from clicksieve.operators import (
     window_arrays,
     wire_lines,
 )
-from clicksieve.operators.distinct import ELEMENTS
-from clicksieve.plans.samples import lines_to_table, samples_from_lines, stream_lines_to_table, table_to_records
+from clicksieve.operators.decode import REASON
+from clicksieve.operators.distinct import ELEMENTS, WINDOW_START
+from clicksieve.plans.samples import (
+    lines_to_table,
+    samples_from_lines,
+    stream_lines_to_records,
+    stream_lines_to_table,
+    table_to_records,
+)
 from clicksieve.record import EVENT_TIME, LOAD_COLUMN, MAP_COLUMN, MAP_FUNCTION, PARTITION_COLUMN, RECORD_FIELDS, STRUCT_COLUMN
 from clicksieve.session import fresh_path, use_utc
 from clicksieve.sinks import (
     bucketed,
+    compact_loads,
     create_sample_table,
+    current_rows,
+    drop_merged_loads,
     evolve_and_append,
     folder_days,
     hour_bucketed,
     publish_closed_days,
     write_orc_buckets,
     write_text_buckets,
+    write_text_rolled,
 )
+from clicksieve.sinks.files import ROLL
 from clicksieve.sources import customer_features, events_log, read_lines, register_view, stream_lines
 from clicksieve.streaming import (
+    date_in_order,
     distinct_stream,
     end_record,
     first_per_key_ttl_stream,
+    in_time_order,
+    late_rows_stream,
     negatives_in_window_stream,
     negatives_two_stream_stream,
     negatives_within_stream,
@@ -61,7 +76,8 @@ RECORD = [*RECORD_FIELDS, EVENT_TIME]
 ONE_DAY = "20240115"
 CLOSED_BEFORE = "2024-01-20 12:00:00"
 DENSER = 2000  # times of the dense log are so many times nearer to one another
-SLICES = 5  # micro-batches of a replayed log, at least
+ROWS_PER_FILE = 20_000  # and per micro-batch of a replayed log
+BYTES_PER_FILE = 65_536
 
 
 def comparable(df):
@@ -202,10 +218,8 @@ def first_per_user(ttl):
 
 
 def first_per_user_segmented(spark, sf):
-    """As first_per_user_ttl, with all but the rarest users by way of the time segments meant for very many rows."""
-    rows = clicks(events_log(spark, sf, labelled_only=True))
-    heavy = rows.groupBy("user_id").agg(F.count("*").alias("n")).where("n > 1")
-    return first_per_key_ttl(rows, ttl="6 hours", heavy=heavy)
+    """As first_per_user_ttl, cut into so many ranges that users span several."""
+    return first_per_key_ttl(clicks(events_log(spark, sf, labelled_only=True)), ttl="6 hours", partitions=100)
 
 
 def first_per_user_dense(spark, sf):
@@ -350,6 +364,26 @@ def published_days(spark, sf):
     return spark.table(table)
 
 
+def compacted_loads(spark, sf):
+    """Five loads of every day merged, the replaced ones dropped, one of them written again, which changes nothing."""
+    log = events_log(spark, sf)
+    table = new_table(spark, "compact", batch_column=LOAD_COLUMN)
+    loads = [log.where(F.pmod(F.col("event_id").cast("long"), F.lit(5)) == n) for n in range(5)]
+    for number, rows in enumerate(loads):
+        evolve_and_append(rows, table, batch_column=LOAD_COLUMN, batch_id=f"log-{number}")
+    compact_loads(spark, table)
+    drop_merged_loads(spark, table, keep=None)
+    evolve_and_append(loads[1], table, batch_column=LOAD_COLUMN, batch_id="log-1")
+    return current_rows(spark, table).drop(LOAD_COLUMN)
+
+
+def rolled_by_bytes(spark, sf):
+    """Record lines per day in files of so many bytes."""
+    path = fresh_path(spark, "rolled")
+    write_text_rolled(record_lines(bucketed(events_log(spark, sf)), keep=[PARTITION_COLUMN]), path, BYTES_PER_FILE)
+    return spark.read.schema(f"value string, {PARTITION_COLUMN} string, {ROLL} int").text(path).drop(ROLL)
+
+
 def bucketed_text(spark, sf):
     path = fresh_path(spark, "text")
     write_text_buckets(record_lines(bucketed(events_log(spark, sf)), keep=[PARTITION_COLUMN]), path, max_records=1_000_000)
@@ -386,32 +420,48 @@ def labelled_to_table(spark, sf):
     return spark.table(table)
 
 
-# Streams
+def labelled_with_quarantine(spark, sf):
+    """Damaged lines to samples per day and quarantined lines per reason, from one decoding; loaded twice under one name."""
+    samples = new_table(spark, "samples", batch_column=LOAD_COLUMN)
+    damaged = new_table(spark, "damaged", columns=["value", REASON], batch_column=LOAD_COLUMN)
+    features = customer_features(spark, sf)
+    for _ in range(2):
+        lines_to_table(damaged_lines(spark, sf), features, samples, FEATURES, "1 day", damaged=damaged, load="log")
+    count = F.count("*").alias("row_count")
+    days = spark.table(samples).groupBy(F.lit("samples").alias("kind"), F.col(PARTITION_COLUMN).alias("name")).agg(count)
+    return days.unionByName(spark.table(damaged).groupBy(F.lit("damaged").alias("kind"), F.col(REASON).alias("name")).agg(count))
+
 
+def labelled_in_zone(spark, sf):
+    """The whole way with the days of another zone."""
+    table = new_table(spark, "zone")
+    lines = wire_lines(events_log(spark, sf), RECORD_FIELDS)
+    lines_to_table(lines, customer_features(spark, sf), table, FEATURES, "1 day", tz="Asia/Shanghai")
+    return spark.table(table)
 
-def arrivals_of(spark, log, write, end):
-    """What brings a log in: slices in the order of time, and the record after which every window has closed.
 
-    The slices are bounds of time, so that each is written by a job that
-    spreads over all tasks.
-    """
-    micros = F.unix_micros(EVENT_TIME)
-    first, last = log.agg(F.min(micros), F.max(micros)).first()
-    part = F.floor((micros - first) * SLICES / (last - first + 1))
+# Streams
 
-    def bring(number):
-        return lambda: write(log.where(part == number))
 
-    return [*[bring(number) for number in range(SLICES)], lambda: write(end)]
+def files_in_order(spark, rows, path, make=lambda ordered: ordered):
+    """Writes a log as the files that a stream reads one by one in the order of time."""
+    made = make(in_time_order(rows, ROWS_PER_FILE))
+    writer = made.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE)
+    writer.text(path) if made.columns == ["value"] else writer.parquet(path)
 
 
-def replayed(spark, log, name, operator):
-    """A log through a stream operator, in slices; without what the end record itself makes."""
+def log_stream(spark, log, end=None):
+    """A log as a stream of bounded files, and last the record after which every window has closed."""
     path = fresh_path(spark, "stream")
-    log.limit(0).write.parquet(path)
-    source = spark.readStream.schema(log.schema).parquet(path)
-    arrivals = arrivals_of(spark, log, lambda rows: rows.write.mode("append").parquet(path), end_record(spark))
-    return replay(operator(source), name, arrivals).where(F.col("user_id") != END_USER)
+    files_in_order(spark, log, path)
+    date_in_order(spark, path)
+    (end or end_record(spark)).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def replayed(spark, log, name, operator):
+    """A log through a stream operator, in one run of many micro-batches; without what the end record itself makes."""
+    return replay(operator(log_stream(spark, log)), name).where(~F.col("user_id").eqNullSafe(END_USER))
 
 
 def stream_distinct(spark, sf):
@@ -438,22 +488,48 @@ def stream_two_stream(spark, sf):
 def stream_to_samples(spark, sf):
     """The whole way on a stream of lines, into a table."""
     path = fresh_path(spark, "lines")
-    spark.range(0).select(F.lit("").alias("value")).write.text(path)
+    files_in_order(spark, events_log(spark, sf), path, lambda rows: wire_lines(rows, RECORD_FIELDS))
+    date_in_order(spark, path)
+    end = end_record(spark).withColumn("time_stamp", F.lit("2200-01-01 00:00:00"))
+    wire_lines(end, RECORD_FIELDS).coalesce(1).write.mode("append").text(path)
     table = new_table(spark, "samples", batch_column=LOAD_COLUMN)
-    lines = stream_lines(spark, path)
+    stream_lines_to_table(
+        stream_lines(spark, path, 1), customer_features(spark, sf), table, f"{path}-progress", FEATURES, "1 day", interval=None
+    ).awaitTermination()
+    return spark.table(table).drop(LOAD_COLUMN)
 
-    def write(rows):
-        wire_lines(rows, RECORD_FIELDS).write.mode("append").text(path)
 
-    end = end_record(spark).withColumn("time_stamp", F.lit("2200-01-01 00:00:00"))
-    for arrive in arrivals_of(spark, events_log(spark, sf), write, end):
-        arrive()
-        stream_lines_to_table(
-            lines, customer_features(spark, sf), table, f"{path}-progress", FEATURES, "1 day", interval=None
-        ).awaitTermination()
+def stream_published(spark, sf):
+    """Distinct rows into a table that shows a day once the stream's watermark has passed it: here all but the last one."""
+    rows = distinct_stream(log_stream(spark, twice(events_log(spark, sf)))).drop(WINDOW_START)
+    table = new_table(spark, "published", batch_column=LOAD_COLUMN)
+    progress = fresh_path(spark, "progress")
+    stream_to_table(rows, table, progress, interval=None, publish=True).awaitTermination()
     return spark.table(table).drop(LOAD_COLUMN)
 
 
+def stream_quarantine(spark, sf):
+    """Damaged lines as a stream: how many lines ended as records, and how many in quarantine for which reason."""
+    path = fresh_path(spark, "lines")
+    damaged_lines(spark, sf).write.option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
+    records = new_table(spark, "records", batch_column=LOAD_COLUMN)
+    damaged = new_table(spark, "damaged", columns=["value", REASON], batch_column=LOAD_COLUMN)
+    stream_lines_to_records(stream_lines(spark, path, 1), records, damaged, f"{path}-progress", interval=None).awaitTermination()
+    counts = spark.table(records).agg(F.lit("none").alias(REASON), F.count("*").alias("line_count"))
+    return counts.unionByName(spark.table(damaged).groupBy(REASON).agg(F.count("*").alias("line_count")))
+
+
+def late_rows(spark, sf):
+    """Signups arrive after all other rows: those that the watermark has passed by then."""
+    log, root = events_log(spark, sf), fresh_path(spark, "late")
+    on_time, late = f"{root}/a", f"{root}/b"
+    files_in_order(spark, log.where("interested <> 'signup'"), on_time)
+    files_in_order(spark, log.where("interested = 'signup'"), late)
+    date_in_order(spark, on_time, late)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+    return replay(late_rows_stream(stream), "late").drop("watermark")
+
+
 def two_streams_to_table(spark, sf):
     """Shows and clicks as two streams into one table, each with its own checkpoint; the second one is started again."""
     log = events_log(spark, sf, labelled_only=True)
@@ -527,6 +603,10 @@ QUERIES = {
         "evolve_append": evolve_append,
         "repeated_load": repeated_load,
         "published_days": published_days,
+        "compacted_loads": compacted_loads,
+        "rolled_by_bytes": rolled_by_bytes,
+        "lines_to_table_quarantine": labelled_with_quarantine,
+        "lines_to_table_zone": labelled_in_zone,
         "bucketed_text": bucketed_text,
         "hour_bucketed_text": hour_bucketed_text,
         "orc_roundtrip": orc_roundtrip,
@@ -538,5 +618,8 @@ QUERIES = {
         "stream_samples_to_table": stream_to_samples,
         "two_streams_to_table": two_streams_to_table,
         "stream_text": stream_text,
+        "stream_published_days": stream_published,
+        "stream_quarantine": stream_quarantine,
+        "stream_late_rows": late_rows,
     }.items()
 }

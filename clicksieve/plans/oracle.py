@@ -224,4 +224,26 @@ WHERE date_trunc('day', "timeStamp_flag") + INTERVAL '1 day' <= TIMESTAMP '{CLOS
     "stream_samples_to_table": samples(STORED_SAMPLES),
     "two_streams_to_table": from_log(f"SELECT {TEXTS}, {DAY} AS pt_d FROM log WHERE interested IN ('0', '1')"),
     "stream_text": from_log(f"SELECT {LINE} AS value FROM log"),
+    "compacted_loads": from_log(f"SELECT {TEXTS}, {DAY} AS pt_d FROM log"),
+    "rolled_by_bytes": from_log(f"SELECT {LINE} AS value, {DAY} AS pt_d FROM log"),
+    "lines_to_table_quarantine": from_log(
+        f"""SELECT 'samples' AS kind, pt_d AS name, count(*) AS row_count FROM (
+  SELECT {DAY} AS pt_d FROM ({window_negatives('1 day')}) n) GROUP BY pt_d
+UNION ALL SELECT 'damaged', CASE interested WHEN 'signup' THEN 'fields' WHEN 'error' THEN 'json' ELSE 'time' END, count(*)
+FROM log WHERE interested IN ('signup', 'error', 'purchase') GROUP BY interested""",
+        KINDS,
+    ),
+    "lines_to_table_zone": samples(
+        f"""{TEXTS}, {FEATURE_NAMES}, strftime("timeStamp_flag" + INTERVAL '8 hours', '%Y%m%d') AS pt_d"""
+    ),
+    "stream_published_days": from_log(
+        f"""SELECT {TEXTS}, {DAY} AS pt_d FROM log
+WHERE date_trunc('day', "timeStamp_flag") + INTERVAL '1 day' <= (SELECT max("timeStamp_flag") FROM log) - INTERVAL '2 seconds'"""
+    ),
+    "stream_quarantine": """SELECT CASE event_type WHEN 'signup' THEN 'fields' WHEN 'error' THEN 'json' WHEN 'purchase' THEN 'time'
+  ELSE 'none' END AS reason, count(*) AS line_count FROM events GROUP BY 1""",
+    "stream_late_rows": from_log(
+        f"""SELECT {RECORD} FROM log WHERE interested = 'signup' AND "timeStamp_flag" <=
+  (SELECT max("timeStamp_flag") FROM log WHERE interested <> 'signup') - INTERVAL '2 seconds'"""
+    ),
 }

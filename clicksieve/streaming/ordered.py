@@ -2,9 +2,13 @@
 
 Rows wait in state until the watermark has passed them and are then walked in
 order, so the result does not depend on how rows fall into micro-batches and
-equals the batch result for all rows that are not late. What waits is bounded
-by the watermark's delay: of rows of one key and instant only the first can
-matter, and the others fold before the shuffle.
+equals the batch result for all rows that are not late.
+
+State is cut into short slices of event time. A row is filed under its slice,
+whose end is a timer; when it fires, that slice is read, walked and removed, and
+no other waiting row is touched. Of rows of one key and instant only the first
+can matter, by the order that batch operators use too; others are left out of
+the slice, and within an Arrow batch before the shuffle.
 """
 
 import pandas as pd
@@ -14,64 +18,95 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from clicksieve.functions import duration_micros
 from clicksieve.operators.records import with_label
+from clicksieve.operators.ttl import tie_order
 from clicksieve.record import CLICK, EVENT_TIME, SHOW, TTL, WATERMARK_DELAY
 from clicksieve.session import use_rocksdb_state
 from clicksieve.streaming.times import of_kind
 
 # Not "_micros": rows reach a processor as named tuples, whose names cannot start so.
 MICROS = "event_micros"
+SLICE = "1 second"
+EVENT_CLOCK, PROCESSING_CLOCK = "event", "processing"
+
+
+def plain_rows(frame, schema):
+    """A frame's rows as tuples, with ``None`` for what is missing (and whole numbers that pandas made decimal beside it)."""
+    if frame.isna().to_numpy().any():
+        whole = [f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType) and frame[f.name].isna().any()]
+        frame = frame.astype(object).where(frame.notna(), None)
+        for name in whole:
+            frame[name] = frame[name].map(lambda x: None if x is None else int(x))
+        frame = frame.astype(object).where(frame.notna(), None)
+    return list(frame.itertuples(index=False, name=None))
 
 
 class InTimeOrder(StatefulProcessor):
-    """Holds a key's rows back until the watermark passes them."""
+    """Holds a key's rows back until the watermark passes the slice of time they are in.
+
+    ``order`` names the columns that rank rows of one instant, NULLs first.
+    """
 
-    def __init__(self, schema, tie, ttl_micros):
+    def __init__(self, schema, order, ttl_micros, slice_micros):
         self.schema = schema
         self.names = schema.fieldNames()
         self.at = self.names.index(MICROS)
-        self.tie = self.names.index(tie)
+        self.order = [self.names.index(name) for name in order]
         self.ttl = ttl_micros
+        self.width = slice_micros
 
     def init(self, handle):
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
+        rows = T.StructType([T.StructField("held", T.ArrayType(self.schema))])
+        self.waiting = handle.getMapState("waiting", T.StructType([T.StructField("slice", T.LongType())]), rows)
 
     def handleInputRows(self, key, rows, timerValues):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        earliest = None
+        slices = {}
         for frame in rows:
-            if len(frame):
-                frame = frame.loc[frame[MICROS] > passed, self.names]
-            if len(frame):
-                self.waiting.appendList(list(frame.itertuples(index=False, name=None)))
-                first = int(frame[MICROS].min())
-                earliest = first if earliest is None else min(earliest, first)
-        self._wake_at(earliest)
+            frame = frame.loc[frame[MICROS] > passed, self.names]
+            for row in plain_rows(frame, self.schema) if len(frame) else ():
+                slices.setdefault(int(row[self.at]) // self.width, []).append(row)
+        for number, fresh in slices.items():
+            held = self._held(number)
+            self.waiting.updateValue((number,), (self.firsts(held + fresh),))
+            if not held:
+                # The second timer comes when nothing that starts in the slice can hide or await rows any more.
+                for micros in (number * self.width, (number + 1) * self.width - 1 + self.ttl):
+                    self.handle.registerTimer((micros // self.width + 1) * self.width // 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due, later = [], []
-        for row in self.waiting.get():
-            (due if row[self.at] <= passed else later).append(tuple(row))
+        # Timers come in the order of time, so all before this end has been walked.
+        end = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        number = end // self.width - 1
+        due = self._held(number)
         if due:
-            self.waiting.put(later) if later else self.waiting.clear()
-        emitted, wakes = self.walk(sorted(due, key=self.order), passed)
-        wakes.extend(row[self.at] for row in later)
-        self._wake_at(min(wakes, default=None))
+            self.waiting.removeKey((number,))
+        emitted = self.walk(due, end)
         if emitted:
             yield pd.DataFrame(emitted, columns=self.names)
 
-    def order(self, row):
-        return row[self.at], row[self.tie]
+    def _held(self, number):
+        held = self.waiting.getValue((number,))
+        return [tuple(row) for row in held[0]] if held else []
 
-    def walk(self, rows, passed):
-        """Rows to emit and the later times to be woken at."""
-        raise NotImplementedError
+    def firsts(self, rows):
+        """The first row of each instant (and kind), in the order of time."""
+        kept = {}
+        for row in sorted(rows, key=self.rank):
+            kept.setdefault(self.place(row), row)
+        return list(kept.values())
+
+    def place(self, row):
+        """What only the first row of counts."""
+        return row[self.at]
 
-    def _wake_at(self, micros):
-        if micros is not None:
-            self.handle.registerTimer(-(-micros // 1000))
+    def rank(self, row):
+        return self.place(row), [(row[i] is not None, row[i]) for i in self.order]
+
+    def walk(self, rows, end):
+        """Takes a slice's rows, and the time up to which all rows have been taken; gives rows to emit."""
+        raise NotImplementedError
 
     def close(self):
         pass
@@ -84,7 +119,7 @@ class FirstPerTtl(InTimeOrder):
         super().init(handle)
         self.opens = handle.getValueState("opens", "open_from BIGINT")
 
-    def walk(self, rows, passed):
+    def walk(self, rows, end):
         stored = self.opens.get()
         open_from = stored[0] if stored else None
         kept = []
@@ -92,19 +127,19 @@ class FirstPerTtl(InTimeOrder):
             if open_from is None or row[self.at] >= open_from:
                 kept.append(row)
                 open_from = row[self.at] + self.ttl
-        if open_from is None or open_from <= passed:
+        if open_from is None or open_from <= end:
             if stored:
                 self.opens.clear()
-            return kept, []
-        self.opens.update((open_from,))
-        return kept, [open_from]
+        elif kept:
+            self.opens.update((open_from,))
+        return kept
 
 
 class UnclickedShows(InTimeOrder):
     """Shows and clicks thinned to the first per ``ttl``; a kept show leaves unless a kept click follows in time."""
 
-    def __init__(self, schema, tie, ttl_micros, dedup_clicks):
-        super().__init__(schema, tie, ttl_micros)
+    def __init__(self, schema, order, ttl_micros, slice_micros, dedup_clicks):
+        super().__init__(schema, order, ttl_micros, slice_micros)
         self.kind = self.names.index("interested")
         self.dedup_clicks = dedup_clicks
 
@@ -113,12 +148,14 @@ class UnclickedShows(InTimeOrder):
         self.opens = handle.getValueState("opens", "show_from BIGINT, click_from BIGINT")
         self.pending = handle.getListState("pending", self.schema)
 
-    def order(self, row):
+    def place(self, row):
         # A click at a show's own instant counts as after it.
-        return row[self.at], row[self.kind] == CLICK, row[self.tie]
+        return row[self.at], row[self.kind] == CLICK
 
-    def walk(self, rows, passed):
+    def walk(self, rows, end):
         stored = self.opens.get()
+        if not rows and not stored:
+            return []
         show_from, click_from = stored or (None, None)
         # A show is pending only while it still hides others. Each call to the state is a round trip.
         held = [tuple(row) for row in self.pending.get()] if show_from is not None else []
@@ -138,36 +175,70 @@ class UnclickedShows(InTimeOrder):
             elif not self.dedup_clicks or click_from is None or now >= click_from:
                 pending.clear()
                 click_from = now + self.ttl
-        release(passed + 1)
+        release(end)
 
-        show_from, click_from = [t if t is not None and t > passed else None for t in (show_from, click_from)]
-        if show_from is not None or click_from is not None:
-            self.opens.update((show_from, click_from))
-        elif stored:
-            self.opens.clear()
+        show_from, click_from = [t if t is not None and t > end else None for t in (show_from, click_from)]
+        if (show_from, click_from) != tuple(stored or (None, None)):
+            if show_from is not None or click_from is not None:
+                self.opens.update((show_from, click_from))
+            else:
+                self.opens.clear()
         if pending != held:
             self.pending.put(pending) if pending else self.pending.clear()
-        ends = [row[self.at] + self.ttl for row in pending]
-        return negatives, ends + [t for t in (show_from, click_from) if t is not None]
+        return negatives
+
 
+class FirstSeen(StatefulProcessor):
+    """A key's first row to arrive, and again the first to arrive when its state has expired."""
 
-def _first_of_instant(keys, tie):
+    def __init__(self, schema, order, ttl_micros):
+        self.names = schema.fieldNames()
+        self.order = [MICROS, *order]
+        self.ttl_millis = max(1, ttl_micros // 1000)
+
+    def init(self, handle):
+        self.seen = handle.getValueState("seen", "seen BOOLEAN", self.ttl_millis)
+
+    def handleInputRows(self, key, rows, timerValues):
+        frames = [frame for frame in rows if len(frame)]
+        if not frames or self.seen.exists():
+            return
+        firsts = pd.concat([_sorted(frame, self.order).head(1) for frame in frames])
+        self.seen.update((True,))
+        yield _sorted(firsts, self.order).head(1)[self.names]
+
+    def close(self):
+        pass
+
+
+def _sorted(frame, order):
+    return frame.sort_values(order, kind="stable", na_position="first")
+
+
+def _first_of_instant(keys, order):
     def fold(frames):
         for frame in frames:
-            yield frame.sort_values(tie, kind="stable").drop_duplicates([*keys, MICROS])
+            yield _sorted(frame, order).drop_duplicates([*keys, MICROS])
 
     return fold
 
 
+def _in_micros(df, ts):
+    """Rows with their time as a number, and without those that have none."""
+    rows = df.select(*[c for c in df.columns if c != ts], F.unix_micros(F.col(ts)).alias(MICROS))
+    return rows.where(F.col(MICROS).isNotNull())
+
+
 def _ordered(df, keys, fold_keys, processor, tie, ts):
     """A watermarked stream through one of the processors above."""
     columns = df.columns
     use_rocksdb_state(df.sparkSession)
-    rows = df.select(*[c for c in columns if c != ts], F.unix_micros(F.col(ts)).alias(MICROS))
+    rows = _in_micros(df, ts)
     schema = T.StructType(rows.schema.fields)
-    folded = rows.mapInPandas(_first_of_instant(fold_keys, tie), schema)
+    order = tie_order(rows, fold_keys, MICROS, tie)
+    folded = rows.mapInPandas(_first_of_instant(fold_keys, order), schema)
     walked = folded.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor(schema),
+        statefulProcessor=processor(schema, order),
         outputStructType=schema,
         outputMode="append",
         timeMode="EventTime",
@@ -175,22 +246,45 @@ def _ordered(df, keys, fold_keys, processor, tie, ts):
     return walked.withColumn(ts, F.timestamp_micros(MICROS)).select(*columns)
 
 
-def first_per_key_ttl_stream(df, keys="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY):
-    """The streaming form of ``first_per_key_ttl``; sets the watermark itself."""
+def first_per_key_ttl_stream(
+    df, keys="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, clock=EVENT_CLOCK, slice_width=SLICE
+):
+    """The streaming form of ``first_per_key_ttl``; sets the watermark itself.
+
+    ``slice_width`` is the length of the slices that rows wait in; a row leaves
+    when the watermark has passed its slice. With the clock ``"processing"`` a
+    key is hidden for ``ttl`` of wall-clock time from the micro-batch in which a
+    row of it left, whatever the rows' own times are; rows leave at once, none is
+    late, and the result depends on when rows arrive.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     micros = duration_micros(ttl)
+    if clock == PROCESSING_CLOCK:
+        use_rocksdb_state(df.sparkSession)
+        rows = df.withColumn(MICROS, F.unix_micros(F.col(ts))).drop(ts)
+        schema = T.StructType(rows.schema.fields)
+        walked = rows.groupBy(*keys).transformWithStateInPandas(
+            statefulProcessor=FirstSeen(schema, tie_order(rows, keys, MICROS, tie), micros),
+            outputStructType=schema,
+            outputMode="append",
+            timeMode="ProcessingTime",
+        )
+        return walked.withColumn(ts, F.timestamp_micros(MICROS)).select(*df.columns)
+    if clock != EVENT_CLOCK:
+        raise ValueError(f"no such clock: {clock!r}")
+    width = duration_micros(slice_width)
     rows = df.withWatermark(ts, delay)
-    return _ordered(rows, keys, keys, lambda schema: FirstPerTtl(schema, tie, micros), tie, ts)
+    return _ordered(rows, keys, keys, lambda schema, order: FirstPerTtl(schema, order, micros, width), tie, ts)
 
 
 def negatives_two_stream_stream(
-    df, key="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, dedup_clicks=True
+    df, key="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, dedup_clicks=True, slice_width=SLICE
 ):
     """The streaming form of ``negatives_two_stream``: one shuffle, one stateful operator for both sides."""
-    micros = duration_micros(ttl)
+    micros, width = duration_micros(ttl), duration_micros(slice_width)
 
-    def processor(schema):
-        return UnclickedShows(schema, tie, micros, dedup_clicks)
+    def processor(schema, order):
+        return UnclickedShows(schema, order, micros, width, dedup_clicks)
 
     rows = of_kind(df.withWatermark(ts, delay), ts, SHOW, CLICK)
     return with_label(_ordered(rows, [key], [key, "interested"], processor, tie, ts))

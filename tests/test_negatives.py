@@ -38,9 +38,9 @@ def test_two_stream_cases(spark):
     negative = sorted((name, float(t)) for name, *_, negative in CASES for t in negative)
     hidden = ("thinning hides the click", 0.0)
     assert users_seconds(first_per_key_ttl(shows(df))) == kept
-    for rows_per_task in (1_000, 0):
-        assert users_seconds(negatives_two_stream(df, rows_per_task=rows_per_task)) == negative
-        every = negatives_two_stream(df, dedup_clicks=False, rows_per_task=rows_per_task)
+    for partitions in (1, 9):
+        assert users_seconds(negatives_two_stream(df, partitions=partitions)) == negative
+        every = negatives_two_stream(df, dedup_clicks=False, partitions=partitions)
         assert users_seconds(every) == [n for n in negative if n != hidden]
 
 
@@ -93,19 +93,19 @@ def test_interval_against_brute_force(spark, rows, ttl):
     assert users_seconds(out) == brute_within(of_kind(rows, "0"), of_kind(rows, "1"), ttl)
 
 
-@pytest.mark.parametrize("rows_per_task", [10_000, 20])
-def test_two_stream_against_brute_force(spark, rows, rows_per_task):
-    out = negatives_two_stream(log(spark, rows), ttl="90 seconds", rows_per_task=rows_per_task)
+@pytest.mark.parametrize("partitions", [1, 30])
+def test_two_stream_against_brute_force(spark, rows, partitions):
+    out = negatives_two_stream(log(spark, rows), ttl="90 seconds", partitions=partitions)
     expected = brute_within(thinned(of_kind(rows, "0"), 90), thinned(of_kind(rows, "1"), 90), 90)
     assert users_seconds(out) == expected
 
 
-@pytest.mark.parametrize("rows_per_task", [10_000, 20])
-def test_across_windows_against_brute_force(spark, rows, rows_per_task):
+@pytest.mark.parametrize("partitions", [1, 30])
+def test_across_windows_against_brute_force(spark, rows, partitions):
     from datetime import datetime, timezone
 
     df = log(spark, rows, datetime(2019, 3, 7, tzinfo=timezone.utc))
-    out = negatives_across_windows(df, width="60 seconds", ttl="90 seconds", rows_per_task=rows_per_task)
+    out = negatives_across_windows(df, width="60 seconds", ttl="90 seconds", partitions=partitions)
     unclicked = [(u, int(t)) for u, t in brute_window(rows, 60)]
     expected = brute_within(thinned(unclicked, 90), thinned(of_kind(rows, "1"), 90), 90)
     assert users_seconds(out) == expected
@@ -199,6 +199,6 @@ def test_null_users_are_one_user_everywhere(spark):
         negatives_in_window(df, distinct=True),
         negatives_within(shows(df), clicks(df)),
         negatives_two_stream(df),
-        negatives_two_stream(df, rows_per_task=0),
+        negatives_two_stream(df, partitions=9),
     ):
         assert [r.user_id for r in out.collect()] == expected

@@ -43,8 +43,7 @@ def test_shows_and_clicks_share_the_fold(spark, data, name):
     assert "ReusedExchange" in run(spark, data, name)
 
 
-def test_one_shuffle_for_two_streams_of_ordinary_keys(spark, data):
-    df = QUERIES["negatives_two_stream"](spark, data("0.001"))
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert "REPARTITION_BY_COL" in plan and "Join" not in plan
+@pytest.mark.parametrize("name", ["negatives_two_stream", "multi_window_negatives", "first_per_user_segmented"])
+def test_few_scans(spark, data, name):
+    """Heavy keys or not, shows and clicks together are read once, and apart once each."""
+    assert run(spark, data, name).count("FileScan") <= 2
