@@ -76,7 +76,7 @@ RECORD = [*RECORD_FIELDS, EVENT_TIME]
 ONE_DAY = "20240115"
 CLOSED_BEFORE = "2024-01-20 12:00:00"
 DENSER = 2000  # times of the dense log are so many times nearer to one another
-ROWS_PER_FILE = 20_000  # and per micro-batch of a replayed log
+ROWS_PER_FILE = 50_000  # about, and per micro-batch of a replayed log
 BYTES_PER_FILE = 65_536
 
 
@@ -446,7 +446,8 @@ def labelled_in_zone(spark, sf):
 def files_in_order(spark, rows, path, make=lambda ordered: ordered):
     """Writes a log as the files that a stream reads one by one in the order of time."""
     made = make(in_time_order(rows, ROWS_PER_FILE))
-    writer = made.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE)
+    # Ranges are sampled: only those with far more rows, of one instant, are cut.
+    writer = made.write.mode("append").option("maxRecordsPerFile", 2 * ROWS_PER_FILE)
     writer.text(path) if made.columns == ["value"] else writer.parquet(path)
 
 

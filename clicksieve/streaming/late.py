@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from clicksieve.record import EVENT_TIME, WATERMARK_DELAY
 from clicksieve.session import use_rocksdb_state
-from clicksieve.streaming.ordered import MICROS
+from clicksieve.streaming.ordered import MICROS, named_rows, plain_rows
 
 SHARD = "late_shard"
 SHARDS = 64
@@ -16,15 +16,16 @@ PASSED = "watermark"
 class LateRows(StatefulProcessor):
     """Passes on the rows at or before their micro-batch's watermark; keeps no state."""
 
+    def __init__(self, names):
+        self.names, self.at = names, names.index(MICROS)
+
     def init(self, handle):
         pass
 
     def handleInputRows(self, key, rows, timerValues):
         millis = timerValues.getCurrentWatermarkInMs()
-        for frame in rows:
-            frame = frame.loc[frame[MICROS] <= millis * 1000].drop(columns=SHARD)
-            if len(frame):
-                yield frame.assign(**{PASSED: millis * 1000})
+        late = [(*row, millis * 1000) for row in plain_rows(rows, self.names) if row[self.at] <= millis * 1000]
+        yield from named_rows(late, [*self.names, PASSED])
 
     def close(self):
         pass
@@ -48,7 +49,7 @@ def late_rows_stream(df, ts=EVENT_TIME, delay=WATERMARK_DELAY, shards=SHARDS, wa
         rows.where(F.col(MICROS).isNotNull())
         .withColumn(SHARD, F.pmod(F.xxhash64(*hashed), F.lit(shards)).cast("int"))
         .groupBy(SHARD)
-        .transformWithStateInPandas(statefulProcessor=LateRows(), outputStructType=schema, outputMode="append", timeMode="EventTime")
+        .transformWithState(statefulProcessor=LateRows(rows.columns), outputStructType=schema, outputMode="append", timeMode="EventTime")
     )
     times = {ts: F.timestamp_micros(MICROS), watermark: F.timestamp_micros(PASSED)}
     return late.withColumns(times).select(*df.columns, watermark)

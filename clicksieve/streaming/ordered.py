@@ -11,7 +11,7 @@ can matter, by the order that batch operators use too; others are left out of
 the slice, and within an Arrow batch before the shuffle.
 """
 
-import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -29,15 +29,16 @@ SLICE = "1 second"
 EVENT_CLOCK, PROCESSING_CLOCK = "event", "processing"
 
 
-def plain_rows(frame, schema):
-    """A frame's rows as tuples, with ``None`` for what is missing (and whole numbers that pandas made decimal beside it)."""
-    if frame.isna().to_numpy().any():
-        whole = [f.name for f in schema.fields if isinstance(f.dataType, T.IntegralType) and frame[f.name].isna().any()]
-        frame = frame.astype(object).where(frame.notna(), None)
-        for name in whole:
-            frame[name] = frame[name].map(lambda x: None if x is None else int(x))
-        frame = frame.astype(object).where(frame.notna(), None)
-    return list(frame.itertuples(index=False, name=None))
+def plain_rows(rows, names):
+    """Rows as tuples of plain values in the order of ``names``."""
+    for row in rows:
+        yield tuple([row[name] for name in names])
+
+
+def named_rows(rows, names):
+    """Tuples as Spark takes them from a processor."""
+    make = Row(*names)
+    return [make(*row) for row in rows]
 
 
 class InTimeOrder(StatefulProcessor):
@@ -62,17 +63,14 @@ class InTimeOrder(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         slices = {}
-        for frame in rows:
-            frame = frame.loc[frame[MICROS] > passed, self.names]
-            for row in plain_rows(frame, self.schema) if len(frame) else ():
-                slices.setdefault(int(row[self.at]) // self.width, []).append(row)
+        for row in plain_rows(rows, self.names):
+            if row[self.at] > passed:
+                slices.setdefault(row[self.at] // self.width, []).append(row)
         for number, fresh in slices.items():
             held = self._held(number)
             self.waiting.updateValue((number,), (self.firsts(held + fresh),))
             if not held:
-                # The second timer comes when nothing that starts in the slice can hide or await rows any more.
-                for micros in (number * self.width, (number + 1) * self.width - 1 + self.ttl):
-                    self.handle.registerTimer((micros // self.width + 1) * self.width // 1000)
+                self._wake_after(number * self.width)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -82,9 +80,16 @@ class InTimeOrder(StatefulProcessor):
         due = self._held(number)
         if due:
             self.waiting.removeKey((number,))
-        emitted = self.walk(due, end)
-        if emitted:
-            yield pd.DataFrame(emitted, columns=self.names)
+        # A key that has nothing waiting is as far as the watermark; else its next slice goes on from here.
+        more = self.waiting.exists()
+        emitted, until = self.walk(due, end if more else timerValues.getCurrentWatermarkInMs() * 1000)
+        if until is not None and not more:
+            self._wake_after(until)
+        yield from named_rows(emitted, self.names)
+
+    def _wake_after(self, micros):
+        """A timer at the end of the slice that holds a time."""
+        self.handle.registerTimer((micros // self.width + 1) * self.width // 1000)
 
     def _held(self, number):
         held = self.waiting.getValue((number,))
@@ -105,7 +110,7 @@ class InTimeOrder(StatefulProcessor):
         return self.place(row), [(row[i] is not None, row[i]) for i in self.order]
 
     def walk(self, rows, end):
-        """Takes a slice's rows, and the time up to which all rows have been taken; gives rows to emit."""
+        """Takes a slice's rows, and the time before which there are no others; gives rows to emit, and the last time that is still awaited."""
         raise NotImplementedError
 
     def close(self):
@@ -130,9 +135,10 @@ class FirstPerTtl(InTimeOrder):
         if open_from is None or open_from <= end:
             if stored:
                 self.opens.clear()
-        elif kept:
+            return kept, None
+        if kept:
             self.opens.update((open_from,))
-        return kept
+        return kept, open_from
 
 
 class UnclickedShows(InTimeOrder):
@@ -145,8 +151,9 @@ class UnclickedShows(InTimeOrder):
 
     def init(self, handle):
         super().init(handle)
-        self.opens = handle.getValueState("opens", "show_from BIGINT, click_from BIGINT")
-        self.pending = handle.getListState("pending", self.schema)
+        times = [T.StructField(name, T.LongType()) for name in ("show_from", "click_from")]
+        # A show is pending only while it still hides others, so one value holds all: each call to the state is a round trip.
+        self.opens = handle.getValueState("opens", T.StructType([*times, T.StructField("pending", T.ArrayType(self.schema))]))
 
     def place(self, row):
         # A click at a show's own instant counts as after it.
@@ -155,11 +162,9 @@ class UnclickedShows(InTimeOrder):
     def walk(self, rows, end):
         stored = self.opens.get()
         if not rows and not stored:
-            return []
-        show_from, click_from = stored or (None, None)
-        # A show is pending only while it still hides others. Each call to the state is a round trip.
-        held = [tuple(row) for row in self.pending.get()] if show_from is not None else []
-        pending, negatives = list(held), []
+            return [], None
+        show_from, click_from, held = stored or (None, None, ())
+        pending, negatives = [tuple(row) for row in held], []
 
         def release(before):
             negatives.extend(row for row in pending if row[self.at] + self.ttl < before)
@@ -178,14 +183,12 @@ class UnclickedShows(InTimeOrder):
         release(end)
 
         show_from, click_from = [t if t is not None and t > end else None for t in (show_from, click_from)]
-        if (show_from, click_from) != tuple(stored or (None, None)):
-            if show_from is not None or click_from is not None:
-                self.opens.update((show_from, click_from))
-            else:
-                self.opens.clear()
-        if pending != held:
-            self.pending.put(pending) if pending else self.pending.clear()
-        return negatives
+        if show_from is not None or click_from is not None or pending:
+            self.opens.update((show_from, click_from, pending))
+        elif stored:
+            self.opens.clear()
+        awaited = [t for t in (show_from, click_from) if t is not None] + [row[self.at] + self.ttl for row in pending]
+        return negatives, max(awaited, default=None)
 
 
 class FirstSeen(StatefulProcessor):
@@ -193,19 +196,18 @@ class FirstSeen(StatefulProcessor):
 
     def __init__(self, schema, order, ttl_micros):
         self.names = schema.fieldNames()
-        self.order = [MICROS, *order]
+        self.order = [self.names.index(name) for name in (MICROS, *order)]
         self.ttl_millis = max(1, ttl_micros // 1000)
 
     def init(self, handle):
         self.seen = handle.getValueState("seen", "seen BOOLEAN", self.ttl_millis)
 
     def handleInputRows(self, key, rows, timerValues):
-        frames = [frame for frame in rows if len(frame)]
-        if not frames or self.seen.exists():
+        if self.seen.exists():
             return
-        firsts = pd.concat([_sorted(frame, self.order).head(1) for frame in frames])
         self.seen.update((True,))
-        yield _sorted(firsts, self.order).head(1)[self.names]
+        first = min(plain_rows(rows, self.names), key=lambda row: [(row[i] is not None, row[i]) for i in self.order])
+        yield from named_rows([first], self.names)
 
     def close(self):
         pass
@@ -237,7 +239,7 @@ def _ordered(df, keys, fold_keys, processor, tie, ts):
     schema = T.StructType(rows.schema.fields)
     order = tie_order(rows, fold_keys, MICROS, tie)
     folded = rows.mapInPandas(_first_of_instant(fold_keys, order), schema)
-    walked = folded.groupBy(*keys).transformWithStateInPandas(
+    walked = folded.groupBy(*keys).transformWithState(
         statefulProcessor=processor(schema, order),
         outputStructType=schema,
         outputMode="append",
@@ -263,7 +265,7 @@ def first_per_key_ttl_stream(
         use_rocksdb_state(df.sparkSession)
         rows = df.withColumn(MICROS, F.unix_micros(F.col(ts))).drop(ts)
         schema = T.StructType(rows.schema.fields)
-        walked = rows.groupBy(*keys).transformWithStateInPandas(
+        walked = rows.groupBy(*keys).transformWithState(
             statefulProcessor=FirstSeen(schema, tie_order(rows, keys, MICROS, tie), micros),
             outputStructType=schema,
             outputMode="append",
