@@ -1,7 +1,10 @@
 """Word and word-sequence hashes with numpy, the same on every machine."""
 
+import hashlib
+
 import numpy as np
 
+SHORT = 64  # bytes; over so few, sums tell apart what differs
 BASE = np.uint64(0x9E3779B97F4A7C15)
 # Modulo 2**64 every odd number has an inverse.
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
@@ -39,15 +42,45 @@ def span_hashes(values, starts, ends):
     return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def keys(n):
+    """A number for each of the first ``n`` places, unlike the powers of any base."""
+    if len(_powers.get("keys", ())) < n:
+        _powers["keys"] = mixed(np.arange(max(2 * n, 1 << 12), dtype=np.uint64) * BASE + MULTIPLIERS[1])
+    return _powers["keys"][:n]
+
+
+def run_hashes(values, starts):
+    """The hash of each run of ``values``, one of which begins at each of ``starts`` and reaches to the next.
+
+    Every place in a run has a key of its own, so no pattern of equal values
+    cancels out in long runs, as it does in sums with the powers of a base.
+    """
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    lengths = np.diff(starts, append=len(values))
+    place = np.arange(starts[0], len(values)) - np.repeat(starts, lengths)
+    terms = values[starts[0] :] * keys(int(lengths.max()))[place]
+    return mixed(np.add.reduceat(terms, starts - starts[0]) + lengths.astype(np.uint64))
+
+
 def word_hashes(text, lower=False):
-    """One 64-bit hash per word of a text (``None``: none); with ``lower``, A-Z count as a-z."""
+    """One 64-bit hash per word of a text (``None``: none); with ``lower``, A-Z count as a-z.
+
+    Patterns of few letters cancel out of the sums of long words, so those of
+    more than ``SHORT`` bytes have a digest of their bytes instead.
+    """
     if not text:
         return np.zeros(0, dtype=np.uint64)
     data = np.frombuffer((b" %b " % text.encode("utf-8", "surrogatepass")), dtype=np.uint8)
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
     edges = np.flatnonzero(np.diff(BLANK[data].view(np.int8))) + 1
-    return span_hashes(data.astype(np.uint64) + np.uint64(1), edges[0::2], edges[1::2])
+    starts, ends = edges[0::2], edges[1::2]
+    found = span_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends)
+    for word in np.flatnonzero(ends - starts > SHORT):
+        digest = hashlib.blake2b(data[starts[word] : ends[word]].tobytes(), digest_size=8).digest()
+        found[word] = int.from_bytes(digest, "little")
+    return found
 
 
 def sequence_hashes(words, length):

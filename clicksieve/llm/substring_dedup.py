@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from clicksieve.llm.common import saved, words_of
-from clicksieve.llm.hashing import sequence_hashes, span_hashes, word_hashes
+from clicksieve.llm.hashing import run_hashes, sequence_hashes, word_hashes
 
 WINDOW = 50
 ANCHOR = 8
@@ -62,7 +62,9 @@ def extensions(words, window, anchor):
     places, grams = anchor_places(words, window, anchor)
     first = np.flatnonzero(np.diff(places, prepend=-1))
     last = np.append(first[1:], len(places)) - 1
-    return grams[places[first]].view(np.int64), span_hashes(words, first, last + window).view(np.int64), first, last
+    # A run of windows is told by all of them, each at its place.
+    runs = run_hashes(sequence_hashes(words, window), first)
+    return grams[places[first]].view(np.int64), runs.view(np.int64), first, last
 
 
 def extended(window, anchor):

@@ -141,3 +141,14 @@ def test_long_chains_are_one_component(spark):
     found = {r["node"]: r["component"] for r in components.connected_components(links).collect()}
     assert found == {**{i: 0 for i in range(1, 301)}, 450: 400, 500: 400}
     assert mixed(np.arange(3, dtype=np.uint64)).tolist() == mixed(np.arange(3, dtype=np.uint64)).tolist()
+
+
+def test_long_words_are_told_apart(spark):
+    """Two words that a polynomial modulo 2**64 does not tell apart."""
+    rows = []
+    for size in (1024, 4096):
+        ones = [bin(i).count("1") % 2 for i in range(size)]
+        for pair in ("ab", "ba"):
+            rows.append((len(rows), "p q r s " + "".join(pair[i] for i in ones), None, None, 0))
+    found = {r["doc_id"]: r["component_id"] for r in shingle_join.near_duplicates(documents(spark, rows)).collect()}
+    assert found == {i: i for i in range(4)}

@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from cases import awkward_rows, clashing, documents, empty, rows_of, words
+from cases import awkward_rows, clashing, documents, empty, prose, rows_of, words
 
 from clicksieve.llm import substring_dedup
 
@@ -52,3 +52,27 @@ def test_texts_and_offsets(spark):
     rows = [(1, "a b " + shared, None, None, 0), (2, "c " + shared + " d", None, None, 0), (3, shared, None, None, 0), (4, shared, None, None, 0)]
     found = {r["doc_id"]: (r["kept_text"], r["repeats"]) for r in substring_dedup.without_repeats(documents(spark, rows)).collect()}
     assert found == {2: ("c d", [1, 61]), 3: ("", [0, 60]), 4: ("", [0, 60])}
+
+
+def thue_morse(size, pair):
+    """A sequence of two kinds, and the same with the kinds exchanged: no polynomial modulo 2**64 tells long ones apart."""
+    ones = [bin(i).count("1") % 2 for i in range(size)]
+    return [pair[i] for i in ones], [pair[1 - i] for i in ones]
+
+
+def test_long_words_and_runs_of_two_kinds_are_told_apart(spark):
+    rows = []
+    for size in (1024, 4096):
+        for word in thue_morse(size, "ab"):
+            rows.append((len(rows), prose(0, 49) + f" x{size}" + "".join(word), None, None, 0))
+    for words_ in thue_morse(2048, ("red", "blue")):
+        rows.append((len(rows), " ".join(words_), None, None, 0))
+    found = {r["doc_id"]: r["n_removed"] for r in substring_dedup.remove_repeats(documents(spark, rows)).collect()}
+    assert [found[i] for i in range(4)] == [0] * 4
+    a, b = [words(rows[i][1]) for i in (4, 5)]
+    starts = {tuple(a[i : i + 50]) for i in range(len(a) - 49)}
+    covered = set()
+    for i in range(len(b) - 49):
+        if tuple(b[i : i + 50]) in starts:
+            covered |= set(range(i, i + 50))
+    assert found[5] == len(covered) and found[4] == 0
