@@ -23,7 +23,7 @@ def distinct_in_window(df, width=DEDUP_WINDOW, ts=EVENT_TIME, columns=None):
     return rows.distinct()
 
 
-def window_arrays(df, key="user_id", width=DEDUP_WINDOW, ts=EVENT_TIME, rows_per_array=10_000):
+def window_arrays(df, rows_per_array, key="user_id", width=DEDUP_WINDOW, ts=EVENT_TIME):
     """The distinct rows of each ``(window, key)`` as arrays of about ``rows_per_array`` at most.
 
     A group larger than that is dealt out to several arrays, numbered

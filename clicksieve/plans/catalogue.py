@@ -202,7 +202,7 @@ def distinct_types(spark, sf):
 
 
 def window_array_sizes(spark, sf):
-    arrays = window_arrays(twice(events_log(spark, sf)), width="1 day")
+    arrays = window_arrays(twice(events_log(spark, sf)), rows_per_array=10_000, width="1 day")
     sizes = arrays.groupBy("window_start", "user_id")
     return sizes.agg(F.sum(F.size(ELEMENTS)).cast("bigint").alias("row_count"))
 
