@@ -1,3 +1,5 @@
+import math
+
 from cases import clashing, documents, empty, rows_of
 
 from clicksieve.llm import language_id
@@ -45,3 +47,33 @@ def test_training_does_not_see_what_is_held_out(spark):
     windows, _, _ = language_id.sample_windows(seen)
     texts = {bytes(w).decode().strip() for w in windows}
     assert not texts & {r["text"] for r in held.collect()}
+
+
+def plain_prediction(network, text):
+    """Byte by byte and filter by filter: each window's greatest responses, the softmax, and the mean over windows."""
+    data = list(text.encode())
+    count = max(1, math.ceil((len(data) - language_id.WINDOW) / language_id.STRIDE) + 1)
+    data += [language_id.PAD] * ((count - 1) * language_id.STRIDE + language_id.WINDOW - len(data))
+    total = [0.0] * len(network.languages)
+    for n in range(count):
+        window = data[n * language_id.STRIDE :][: language_id.WINDOW]
+        pooled = []
+        for table, bias in zip(network.filters, network.bias):
+            for f in range(language_id.FILTERS):
+                responses = [sum(float(table[j][window[at + j]][f]) for j in range(len(table))) for at in range(len(window) - len(table) + 1)]
+                pooled.append(max(0.0, max(responses) + float(bias[f])))
+        scores = [sum(x * float(network.out[i][k]) for i, x in enumerate(pooled)) + float(network.shift[k]) for k in range(len(total))]
+        parts = [math.exp(s - max(scores)) for s in scores]
+        total = [t + p / sum(parts) for t, p in zip(total, parts)]
+    best = max(range(len(total)), key=lambda k: total[k])
+    return network.languages[best], total[best] / count
+
+
+def test_predictions_against_a_plain_forward_pass(spark, data):
+    docs = table(spark, data("0.001"), "documents")
+    network = language_id.train(docs, docs_per_language=20)
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(4).collect()] + ["Été à Łódź", "a", "x" * 600]
+    for text in texts:
+        lang, score = language_id.predict(network, text[:1500])
+        wanted, chance = plain_prediction(network, text[:1500])
+        assert lang == wanted and abs(score - chance) < 1e-3
