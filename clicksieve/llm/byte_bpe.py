@@ -12,6 +12,7 @@ the longest token has. Decoding runs an incremental UTF-8 machine.
 
 import base64
 import hashlib
+import math
 import struct
 
 import numpy as np
@@ -23,11 +24,11 @@ from pyspark.sql import types as T
 from clicksieve.llm.common import worker_cache
 
 START = -1
-MOST_STEPS = 250_000  # transitions kept; beyond that the machine is built anew
+MOST_STEPS = 500_000  # transitions kept; beyond that the machine is built anew
 MOST_NEIGHBOURS = 300_000  # neighbours whose fit is remembered
 MOST_JUMPS = 120_000  # steps over several bytes at once that are remembered
 JUMP = 4
-CACHED_PIECES = 200_000
+CACHED_PIECES = 300_000
 ROWS_AT_ONCE = 500
 DECODED_AT_ONCE = 4096
 
@@ -40,12 +41,12 @@ def read_ranks(path):
     return [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
 
 
-def merge_plainly(piece, ranks):
-    """BPE by definition: the neighbours with the lowest rank merge first, the leftmost of equal ones."""
+def merge_plainly(piece, ranks, below=math.inf):
+    """BPE by definition: the neighbours with the lowest rank (under ``below``) merge first, the leftmost of equal ones."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
     while len(parts) > 1:
         found = [(ranks.get(a + b), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-        rank, at = min(((r, i) for r, i in found if r is not None), default=(None, 0))
+        rank, at = min(((r, i) for r, i in found if r is not None and r < below), default=(None, 0))
         if rank is None:
             break
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
@@ -68,12 +69,12 @@ class Transducer:
                     node = self.child[key] = len(self.token_at)
                     self.token_at.append(None)
             self.token_at[node] = rank
-        self.fits = {}
+        self.fits, self.halves = {}, {}
         self.forget()
 
     def forget(self):
         """An empty machine with its first state."""
-        self.number, self.items, self.ends, self.steps, self.jumps = {}, [], [], {}, {}
+        self.number, self.items, self.ends, self.steps, self.jumps, self.packed = {}, [], [], {}, {}, {}
         self.state(((START, 0, ()),))
 
     def state(self, items):
@@ -84,17 +85,47 @@ class Transducer:
             self.ends.append(struct.pack(f"<{len(whole[0])}I", *whole[0]) if whole else None)
         return self.number[items]
 
+    def parts(self, token):
+        """The two tokens whose merge is ``token``; ``()`` for a single byte, ``None`` if its bytes do not merge to it."""
+        if token not in self.halves:
+            data = self.tokens[token]
+            own = merge_plainly(data, self.ranks, below=token)
+            whole = len(own) == 2 and merge_plainly(data, self.ranks) == [token]
+            self.halves[token] = () if len(data) == 1 else tuple(own) if whole else None
+        return self.halves[token]
+
     def neighbours(self, last, token):
         """Whether ``last`` and ``token`` side by side are the encoding of their bytes."""
+        if last == START:
+            return self.parts(token) is not None
         key = last << 20 | token
-        if key not in self.fits:
+        fit = self.fits.get(key)
+        if fit is None:
             if len(self.fits) > MOST_NEIGHBOURS:
                 self.fits.clear()
-            data, both = self.tokens[token], [token]
-            if last != START:
-                data, both = self.tokens[last] + data, [last, token]
-            self.fits[key] = merge_plainly(data, self.ranks) == both
-        return self.fits[key]
+            fit = self.fits[key] = self.stay_apart(last, token)
+        return fit
+
+    def stay_apart(self, left, right):
+        """Whether no merge ever joins the end of ``left`` with the start of ``right``.
+
+        Merges are undone from the last to the first: each time, the two tokens
+        at the seam must not merge before the next one that did change them. Of
+        merges of one rank the leftmost comes first.
+        """
+        if self.parts(left) is None or self.parts(right) is None:
+            return False
+        tokens, ranks, before = self.tokens, self.ranks, len(self.tokens)
+        while True:
+            if ranks.get(tokens[left] + tokens[right], before) < before:
+                return False
+            of_left, of_right = self.parts(left), self.parts(right)
+            if of_left and (left > right or not of_right):
+                before, left = left, of_left[1]
+            elif of_right:
+                before, right = right + 1, of_right[0]
+            else:
+                return True
 
     def advance(self, state, byte):
         """The transition of a state on a byte: the next state and what all its items agree on."""
@@ -113,7 +144,7 @@ class Transducer:
             agreed += 1
         emitted = found[0][2][:agreed]
         items = tuple(sorted((last, node, pending[agreed:]) for last, node, pending in found))
-        step = self.state(items), struct.pack(f"<{agreed}I", *emitted)
+        step = self.state(items), self.packed.setdefault(emitted, struct.pack(f"<{agreed}I", *emitted))
         self.steps[state << 8 | byte] = step
         return step
 
@@ -167,15 +198,16 @@ class Encoder:
 
     def encode(self, text):
         """The ids of a text as bytes (u32)."""
-        out, known = [], self.known
-        for piece in self.pieces(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.machine.encode(piece.encode("utf-8"))
-                if len(known) < CACHED_PIECES:
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        pieces, known = self.pieces(text), self.known
+        found = list(map(known.get, pieces))
+        if None in found:
+            for place, ids in enumerate(found):
+                if ids is None:
+                    piece = pieces[place]
+                    ids = found[place] = known.get(piece) or self.machine.encode(piece.encode("utf-8"))
+                    if len(known) < CACHED_PIECES:
+                        known[piece] = ids
+        return b"".join(found)
 
 
 # The UTF-8 machine: from each state, the ranges of bytes that lead on. State 0 is between characters.
