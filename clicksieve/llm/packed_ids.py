@@ -31,8 +31,8 @@ TRAILER = "<QQQII8s"
 BLOCK = 4096
 GROUP = 64
 CHUNK_BLOCKS = 64
-CACHED_WORDS = 300_000
-CACHED_RUNS = 300_000
+CACHED_WORDS = 800_000
+CACHED_RUNS = 400_000
 ENCODED_AT_ONCE = 20_000
 TEXTS_AT_ONCE = 1_000
 # Fixed value: how the vocabulary splits an ASCII word in lower case.
@@ -170,7 +170,12 @@ class WordEncoder:
 
     def learn(self, words):
         """The ids of ``words`` by word; what there is room for is remembered."""
-        split = {w: RUNS(w.lower()) if w.isascii() and "<|" not in w else [w] for w in words}
+        split = {}
+        for w in words:
+            if not w.isascii() or "<|" in w:
+                split[w] = (w,)
+            else:
+                split[w] = (w.lower(),) if w.isalpha() else RUNS(w.lower())
         need = {r for runs in split.values() for r in runs}
         known = {r: self.runs[r] for r in need if r in self.runs}
         new = dict(self._library([r for r in need if r not in known]))
