@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from clicksieve.llm.common import unused
+from clicksieve.llm.common import free_worker, unused
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -170,6 +170,7 @@ def prediction(spark, text, network):
     shipped = spark.sparkContext.broadcast(network)
 
     def run(texts):
+        free_worker()
         return pd.DataFrame([predict(shipped.value, t) for t in texts], columns=["lang_pred", "score"])
 
     return F.pandas_udf(lambda texts: run(texts), "lang_pred string, score double").asNondeterministic()(text)

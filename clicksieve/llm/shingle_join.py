@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clicksieve.llm.common import saved
+from clicksieve.llm.common import free_worker, saved
 from clicksieve.llm.components import connected_components
 from clicksieve.llm.hashing import mixed, sequence_hashes, word_hashes
 
@@ -34,6 +34,7 @@ SHARE, OF = 75, 100
 SAMPLED = 0.35  # part of the feature domain that is looked at to put documents aside; above 1 - SHARE / OF
 SPREAD = 1.3  # parts per difference: with some more parts than needed, few sets need finer partitions
 BLOCK = 1024  # sets that are compared with as many others in one task
+ROWS_AT_ONCE = 200_000  # signatures that leave a task together
 MARK = -1
 
 
@@ -84,6 +85,7 @@ def signatures(features, starts, spread=SPREAD):
 
 def outline(frames):
     """Rows of ``doc_id, text``: the size and the identity of each set, and how many sampled shingles others must share."""
+    free_worker()
     edge = np.uint64(int(SAMPLED * 2**64))
     for frame in frames:
         rows = []
@@ -167,16 +169,23 @@ def set_rows(frames):
 def signature_rows(frames):
     """Rows of ``doc_id, size, features``: one row per signature."""
     starts = band_starts()
+
+    def rows(parts):
+        doc, found, names, spare, size = (np.concatenate(p) for p in zip(*parts))
+        return pd.DataFrame({"signature": found, "doc_id": doc, "size": size, "name": names, "spare": spare})
+
     for frame in frames:
-        parts = []
+        parts, held = [], 0
         for doc_id, features in zip(frame["doc_id"], frame["features"]):
             found, names, spare = signatures(np.asarray(features).view(np.uint64), starts)
-            parts.append((np.full(len(found), doc_id), found, names, spare, np.full(len(found), len(features))))
+            size = np.full(len(found), len(features), dtype=np.int32)
+            parts.append((np.full(len(found), doc_id), found, names.astype(np.int32), spare.astype(np.int32), size))
+            held += len(found)
+            if held >= ROWS_AT_ONCE:
+                yield rows(parts)
+                parts, held = [], 0
         if parts:
-            doc, found, names, spare, size = (np.concatenate(p) for p in zip(*parts))
-            yield pd.DataFrame(
-                {"signature": found, "doc_id": doc, "size": size.astype(np.int32), "name": names.astype(np.int32), "spare": spare.astype(np.int32)}
-            )
+            yield rows(parts)
 
 
 def similar_sizes(a, b):
@@ -240,13 +249,18 @@ def compare_block(low, high, frame):
     sets = [np.asarray(f) for f in frame["features"]]
     docs, of_component, part = (frame[c].to_numpy() for c in ("doc_id", "component", "part"))
     sizes = np.array([len(s) for s in sets])
-    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    values, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
+    # What two sets have in common is found in at least two sets, so a set with too few such features has no link here.
+    held = np.flatnonzero(times[place] > 1)
+    able = OF * np.bincount(owner[held], minlength=len(sets)) >= SHARE * sizes
+    held = held[able[owner[held]]]
+    place, owner = place[held], owner[held]
+    starts = np.searchsorted(owner, np.arange(len(sets) + 1))
     order = np.argsort(place, kind="stable")
     holders, first = owner[order], np.searchsorted(place[order], np.arange(len(values) + 1))
-    starts = np.concatenate([[0], np.cumsum(sizes)])
     links = []
-    for one in np.flatnonzero(part == low):
+    for one in np.flatnonzero((part == low) & able):
         own = place[starts[one] : starts[one + 1]]
         common = np.bincount(np.concatenate([holders[first[p] : first[p + 1]] for p in own]), minlength=len(sets))
         union = sizes[one] + sizes - common
