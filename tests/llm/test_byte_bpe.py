@@ -80,3 +80,14 @@ def test_awkward_rows(spark, library):
     again = byte_bpe.encode_documents(clashing(spark), PATH, P.PATTERN)
     texts = again.select("text", byte_bpe.text_column(spark, again["ids"], PATH).alias("back")).collect()
     assert all((r["text"] or "") == r["back"] for r in texts)
+
+
+def test_neighbours_stay_apart_as_plain_merges_say():
+    machine = byte_bpe.Transducer(byte_bpe.read_ranks(PATH))
+    draw = random.Random(8)
+    every = [rank for rank, token in enumerate(machine.tokens) if token]
+    short = [rank for rank in every if len(machine.tokens[rank]) < 4]
+    for turn in range(20_000):
+        left, right = draw.choice(short if turn % 2 else every), draw.choice(short if turn % 3 else every)
+        plain = byte_bpe.merge_plainly(machine.tokens[left] + machine.tokens[right], machine.ranks)
+        assert machine.stay_apart(left, right) == (plain == [left, right])

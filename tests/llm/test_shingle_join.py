@@ -1,13 +1,12 @@
 import random
 
+import numpy as np
+import pandas as pd
 from cases import awkward_rows, clashing, documents, empty, rows_of, words
 
 from clicksieve.llm import components, shingle_join
 from clicksieve.llm.hashing import mixed
 
-import numpy as np
-import pandas as pd
-
 
 def lower(text):
     return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
@@ -152,3 +151,26 @@ def test_long_words_are_told_apart(spark):
             rows.append((len(rows), "p q r s " + "".join(pair[i] for i in ones), None, None, 0))
     found = {r["doc_id"]: r["component_id"] for r in shingle_join.near_duplicates(documents(spark, rows)).collect()}
     assert found == {i: i for i in range(4)}
+
+
+def test_blocks_link_what_is_similar_and_nothing_else():
+    draw = np.random.default_rng(5)
+    passage = draw.integers(0, 1 << 60, 30)
+    sets = []
+    for _ in range(12):
+        own = np.unique(np.concatenate([passage, draw.integers(0, 1 << 60, int(draw.integers(1, 60)))]))
+        sets += [own, own[: max(1, int(len(own) * draw.uniform(0.6, 1)))]]
+    sets += [np.array([1, 2, 3, 4]), np.array([1, 2, 3]), np.array([9]), np.array([9])]
+    part = draw.integers(0, 2, len(sets))
+    component = draw.integers(0, 5, len(sets))
+    frame = pd.DataFrame({"doc_id": range(len(sets)), "component": component, "part": part, "features": sets})
+    for low, high in ((0, 1), (0, 0), (1, 1)):
+        some = frame if low != high else frame[frame["part"] == low].reset_index(drop=True)
+        found = {tuple(r) for r in shingle_join.compare_block(low, high, some).itertuples(index=False)}
+        expected = set()
+        for u in range(len(sets)):
+            for v in range(len(sets)):
+                common, union = len(set(sets[u]) & set(sets[v])), len(set(sets[u]) | set(sets[v]))
+                if part[u] == low and part[v] == high and component[u] != component[v] and 100 * common >= 75 * union:
+                    expected.add((u, v))
+        assert found == expected
