@@ -76,7 +76,10 @@ RECORD = [*RECORD_FIELDS, EVENT_TIME]
 ONE_DAY = "20240115"
 CLOSED_BEFORE = "2024-01-20 12:00:00"
 DENSER = 2000  # times of the dense log are so many times nearer to one another
-ROWS_PER_FILE = 50_000  # about, and per micro-batch of a replayed log
+ROWS_PER_FILE = 50_000  # about, and at least per micro-batch of a replayed log
+BATCHES = 16  # of a longer log, about, until
+ROWS_PER_BATCH = 1_000_000  # are in each
+ROW_GROUP_BYTES = 4 << 20  # so that several tasks read one file of a micro-batch
 BYTES_PER_FILE = 65_536
 
 
@@ -443,11 +446,23 @@ def labelled_in_zone(spark, sf):
 # Streams
 
 
-def files_in_order(spark, rows, path, make=lambda ordered: ordered):
-    """Writes a log as the files that a stream reads one by one in the order of time."""
-    made = make(in_time_order(rows, ROWS_PER_FILE))
+def batch_rows(count):
+    """About how many rows of a log of ``count`` rows a micro-batch takes.
+
+    Each micro-batch starts jobs and commits all state partitions whatever it
+    holds, so their number must not grow with the log, until they are as large
+    as a micro-batch should be.
+    """
+    return min(ROWS_PER_BATCH, max(ROWS_PER_FILE, -(-count // BATCHES)))
+
+
+def files_in_order(spark, rows, path, make=lambda ordered: ordered, count=None):
+    """Writes a log, or a part of one that has ``count`` rows, as the files that a stream reads one by one in the order of time."""
+    here = rows.count()
+    size = batch_rows(count or here)
+    made = make(in_time_order(rows, size, count=here))
     # Ranges are sampled: only those with far more rows, of one instant, are cut.
-    writer = made.write.mode("append").option("maxRecordsPerFile", 2 * ROWS_PER_FILE)
+    writer = made.write.mode("append").option("maxRecordsPerFile", 2 * size).option("parquet.block.size", ROW_GROUP_BYTES)
     writer.text(path) if made.columns == ["value"] else writer.parquet(path)
 
 
@@ -513,9 +528,10 @@ def stream_quarantine(spark, sf):
     """Damaged lines as a stream: how many lines ended as records, and how many in quarantine for which reason."""
     path = fresh_path(spark, "lines")
     damaged_lines(spark, sf).write.option("maxRecordsPerFile", ROWS_PER_FILE).text(path)
+    at_once = batch_rows(events_log(spark, sf).count()) // ROWS_PER_FILE
     records = new_table(spark, "records", batch_column=LOAD_COLUMN)
     damaged = new_table(spark, "damaged", columns=["value", REASON], batch_column=LOAD_COLUMN)
-    stream_lines_to_records(stream_lines(spark, path, 1), records, damaged, f"{path}-progress", interval=None).awaitTermination()
+    stream_lines_to_records(stream_lines(spark, path, at_once), records, damaged, f"{path}-progress", interval=None).awaitTermination()
     counts = spark.table(records).agg(F.lit("none").alias(REASON), F.count("*").alias("line_count"))
     return counts.unionByName(spark.table(damaged).groupBy(REASON).agg(F.count("*").alias("line_count")))
 
@@ -523,9 +539,9 @@ def stream_quarantine(spark, sf):
 def late_rows(spark, sf):
     """Signups arrive after all other rows: those that the watermark has passed by then."""
     log, root = events_log(spark, sf), fresh_path(spark, "late")
-    on_time, late = f"{root}/a", f"{root}/b"
-    files_in_order(spark, log.where("interested <> 'signup'"), on_time)
-    files_in_order(spark, log.where("interested = 'signup'"), late)
+    on_time, late, count = f"{root}/a", f"{root}/b", log.count()
+    files_in_order(spark, log.where("interested <> 'signup'"), on_time, count=count)
+    files_in_order(spark, log.where("interested = 'signup'"), late, count=count)
     date_in_order(spark, on_time, late)
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
     return replay(late_rows_stream(stream), "late").drop("watermark")

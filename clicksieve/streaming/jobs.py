@@ -81,13 +81,15 @@ def watermark_of(spark, stream):
     return dict(progress["eventTime"]).get("watermark") if progress else None
 
 
-def in_time_order(df, rows_per_file, ts=EVENT_TIME):
+def in_time_order(df, rows_per_file, ts=EVENT_TIME, count=None):
     """Rows dealt by time to partitions of about ``rows_per_file``, and in order in each; rows without a time first.
 
+    ``count`` is the number of rows, where it is known.
+
     To be written with ``maxRecordsPerFile``, which also cuts an instant of very
     many rows, and then dated with :func:`date_in_order`.
     """
-    parts = -(-df.count() // rows_per_file)
+    parts = -(-(df.count() if count is None else count) // rows_per_file)
     order = F.col(ts).asc_nulls_first()
     return df.repartitionByRange(max(1, parts), order).sortWithinPartitions(order)
 

@@ -8,7 +8,9 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from clicksieve.operators import first_per_key_ttl, negatives_two_stream
+from clicksieve.plans import catalogue
 from clicksieve.record import EVENT_TIME, RECORD_SCHEMA
+from clicksieve.sinks.folders import files as folder_files
 from clicksieve.streaming import date_in_order, end_record, first_per_key_ttl_stream, in_time_order, late_rows_stream, negatives_two_stream_stream, replay
 from clicksieve.streaming.ordered import MICROS, FirstPerTtl, FirstSeen, UnclickedShows
 from helpers import log
@@ -220,3 +222,17 @@ def test_files_in_time_order(spark, tmp_path):
     times = [t for batch in seen for t in batch]
     assert times[:3] == [None] * 3 and times[3:] == sorted(times[3:]) and len(times) == 1003
     assert 8 <= len(seen) <= 13 and max(map(len, seen)) <= 250
+
+
+@pytest.mark.parametrize("seconds, files", [(120_000, (2, 4)), (2_400_000, (12, 24))])
+def test_micro_batches_of_a_replayed_log_do_not_grow_with_it(spark, tmp_path, seconds, files):
+    """A log of many rows is cut into larger files, not into more of them, and none of its rows is lost."""
+    path = str(tmp_path / "log")
+    rows = spark.range(seconds).select("id", F.timestamp_seconds("id").alias(EVENT_TIME))
+    catalogue.files_in_order(spark, rows, path)
+    assert files[0] <= len(folder_files(spark, path)) <= files[1]
+    assert spark.read.parquet(path).agg(F.count("*"), F.sum("id")).first() == (seconds, seconds * (seconds - 1) // 2)
+
+
+def test_micro_batches_have_a_largest_size():
+    assert [catalogue.batch_rows(n) for n in (0, 100_000, 6_000_000, 36_000_000, 10**9)] == [50_000, 50_000, 375_000, 10**6, 10**6]
