@@ -9,6 +9,10 @@ whose end is a timer; when it fires, that slice is read, walked and removed, and
 no other waiting row is touched. Of rows of one key and instant only the first
 can matter, by the order that batch operators use too; others are left out of
 the slice, and within an Arrow batch before the shuffle.
+
+Each call to the state is a round trip to the JVM, several for a row that has a
+slice to itself. So keys are by default dealt over shards, and a shard keeps the
+rows of all its keys together: see :class:`ByShard`.
 """
 
 from pyspark.sql import Row
@@ -26,6 +30,8 @@ from clicksieve.streaming.times import of_kind
 # Not "_micros": rows reach a processor as named tuples, whose names cannot start so.
 MICROS = "event_micros"
 SLICE = "1 second"
+SHARD, SHARD_KEY = "order_shard", "order_key"
+SHARDS = 1024
 EVENT_CLOCK, PROCESSING_CLOCK = "event", "processing"
 
 
@@ -122,7 +128,10 @@ class FirstPerTtl(InTimeOrder):
 
     def init(self, handle):
         super().init(handle)
-        self.opens = handle.getValueState("opens", "open_from BIGINT")
+        self.opens = handle.getValueState("opens", self.open_type())
+
+    def open_type(self):
+        return T.StructType([T.StructField("open_from", T.LongType())])
 
     def walk(self, rows, end):
         stored = self.opens.get()
@@ -151,9 +160,12 @@ class UnclickedShows(InTimeOrder):
 
     def init(self, handle):
         super().init(handle)
+        self.opens = handle.getValueState("opens", self.open_type())
+
+    def open_type(self):
         times = [T.StructField(name, T.LongType()) for name in ("show_from", "click_from")]
         # A show is pending only while it still hides others, so one value holds all: each call to the state is a round trip.
-        self.opens = handle.getValueState("opens", T.StructType([*times, T.StructField("pending", T.ArrayType(self.schema))]))
+        return T.StructType([*times, T.StructField("pending", T.ArrayType(self.schema))])
 
     def place(self, row):
         # A click at a show's own instant counts as after it.
@@ -191,6 +203,142 @@ class UnclickedShows(InTimeOrder):
         return negatives, max(awaited, default=None)
 
 
+def plain(value):
+    """A value of a state, with tuples for rows: the state takes no rows inside others."""
+    if isinstance(value, tuple):
+        return tuple([plain(v) for v in value])
+    return [plain(v) for v in value] if isinstance(value, list) else value
+
+
+class Slot:
+    """What one key of a shard has open, with the calls of a value state."""
+
+    def __init__(self, values, key):
+        self.values, self.key = values, key
+
+    def get(self):
+        return self.values.get(self.key)
+
+    def update(self, value):
+        self.values[self.key] = value
+
+    def clear(self):
+        self.values.pop(self.key, None)
+
+
+class ByShard(StatefulProcessor):
+    """Walks the keys of a shard, each as ``walker`` does, with few calls to the state.
+
+    Waiting rows are filed in chunks of whole slices. Seen from the watermark
+    these double in length, so a row is read again only when the watermark has
+    come half the way to it: a chunk is read once its first slice has passed, and
+    what of it is not due is filed anew. What the keys have open is one value.
+    Rows end with the name of their key.
+    """
+
+    def __init__(self, walker):
+        self.walker, self.at, self.width = walker, walker.at, walker.width
+        self.names = [*walker.names, SHARD_KEY]
+
+    def init(self, handle):
+        self.handle, self.walked = handle, None
+        key, long = T.StructField(SHARD_KEY, T.StringType()), T.LongType()
+        place = T.StructType([T.StructField("start", long), T.StructField("filed", long)])
+        rows = T.StructType([*self.walker.schema.fields, key])
+        opened = T.StructType([key, T.StructField("until", long), *self.walker.open_type().fields])
+        self.waiting = handle.getMapState("waiting", place, T.StructType([T.StructField("held", T.ArrayType(rows))]))
+        self.places = handle.getValueState("places", T.StructType([T.StructField("places", T.ArrayType(place))]))
+        self.opens = handle.getValueState("opens", T.StructType([T.StructField("opens", T.ArrayType(opened))]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        fresh = [row for row in plain_rows(rows, self.names) if row[self.at] > passed]
+        if fresh:
+            places = self._places()
+            self._file(fresh, passed // self.width, places)
+            self.places.update((sorted(places),))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        millis = timerValues.getCurrentWatermarkInMs()
+        # The first timer of a micro-batch takes all that is due.
+        if self.walked == (key, millis):
+            return
+        self.walked = (key, millis)
+        now = millis * 1000 // self.width
+        end = now * self.width
+        places, found = self._places(), []
+        reached = {place for place in places if place[0] < now}
+        for place in sorted(reached):
+            found += self._held(place)
+            self.waiting.removeKey(place)
+        if reached:
+            places -= reached
+            self._file([row for row in found if row[self.at] >= end], now, places)
+            if places:
+                self.places.update((sorted(places),))
+            else:
+                self.places.clear()
+
+        due = {}
+        for row in found:
+            if row[self.at] < end:
+                due.setdefault(row[-1], []).append(row[:-1])
+        stored = self.opens.get()
+        untils = {row[0]: row[1] for row in stored[0]} if stored else {}
+        values = {row[0]: plain(row)[2:] for row in stored[0]} if stored else {}
+        for name in [*due, *[n for n, until in untils.items() if until < end and n not in due]]:
+            self.walker.opens = Slot(values, name)
+            emitted, untils[name] = self.walker.walk(self.walker.firsts(due.get(name, [])), end)
+            yield from named_rows(emitted, self.walker.names)
+        if values:
+            self.opens.update(([(name, untils[name], *value) for name, value in values.items()],))
+            self._wake(min(untils[name] for name in values) // self.width)
+        elif stored:
+            self.opens.clear()
+
+    def _places(self):
+        stored = self.places.get()
+        return {tuple(place) for place in stored[0]} if stored else set()
+
+    def _held(self, place):
+        return plain(self.waiting.getValue(place)[0])
+
+    def _file(self, rows, now, places):
+        chunks = {}
+        for row in rows:
+            chunks.setdefault(chunk_of(row[self.at] // self.width, now), []).append(row)
+        for start, fresh in chunks.items():
+            place = (start, now)
+            if place in places:
+                fresh = self._held(place) + fresh
+            else:
+                places.add(place)
+                self._wake(start)
+            self.waiting.updateValue(place, (self._firsts(fresh),))
+
+    def _firsts(self, rows):
+        kept = {}
+        for row in rows:
+            kept.setdefault(row[-1], []).append(row)
+        return [row for some in kept.values() for row in self.walker.firsts(some)]
+
+    def _wake(self, number):
+        """A timer at the end of a slice."""
+        self.handle.registerTimer(-(-(number + 1) * self.width // 1000))
+
+    def close(self):
+        pass
+
+
+def chunk_of(number, now):
+    """The first slice of the chunk that a slice is in: the longest aligned one, of a power of two, that begins after ``now``."""
+    if number <= now:
+        return number
+    low = (number ^ now).bit_length() - 1
+    return number >> low << low
+
+
 class FirstSeen(StatefulProcessor):
     """A key's first row to arrive, and again the first to arrive when its state has expired."""
 
@@ -231,7 +379,19 @@ def _in_micros(df, ts):
     return rows.where(F.col(MICROS).isNotNull())
 
 
-def _ordered(df, keys, fold_keys, processor, tie, ts):
+def _key_name(df, keys):
+    """A text that differs between keys."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def text(name):
+        if isinstance(kinds[name], (T.ArrayType, T.StructType)):
+            return F.to_json(F.struct(name))
+        return F.hex(name) if isinstance(kinds[name], T.BinaryType) else F.col(name).cast("string")
+
+    return F.to_json(F.array(*[text(name) for name in keys]))
+
+
+def _ordered(df, keys, fold_keys, processor, tie, ts, shards):
     """A watermarked stream through one of the processors above."""
     columns = df.columns
     use_rocksdb_state(df.sparkSession)
@@ -239,8 +399,12 @@ def _ordered(df, keys, fold_keys, processor, tie, ts):
     schema = T.StructType(rows.schema.fields)
     order = tie_order(rows, fold_keys, MICROS, tie)
     folded = rows.mapInPandas(_first_of_instant(fold_keys, order), schema)
-    walked = folded.groupBy(*keys).transformWithState(
-        statefulProcessor=processor(schema, order),
+    walker = processor(schema, order)
+    if shards:
+        folded = folded.withColumn(SHARD_KEY, _key_name(folded, keys))
+        folded = folded.withColumn(SHARD, F.pmod(F.xxhash64(SHARD_KEY), F.lit(shards)).cast("int"))
+    walked = folded.groupBy(*([SHARD] if shards else keys)).transformWithState(
+        statefulProcessor=ByShard(walker) if shards else walker,
         outputStructType=schema,
         outputMode="append",
         timeMode="EventTime",
@@ -249,12 +413,15 @@ def _ordered(df, keys, fold_keys, processor, tie, ts):
 
 
 def first_per_key_ttl_stream(
-    df, keys="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, clock=EVENT_CLOCK, slice_width=SLICE
+    df, keys="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, clock=EVENT_CLOCK, slice_width=SLICE, shards=SHARDS
 ):
     """The streaming form of ``first_per_key_ttl``; sets the watermark itself.
 
     ``slice_width`` is the length of the slices that rows wait in; a row leaves
-    when the watermark has passed its slice. With the clock ``"processing"`` a
+    when the watermark has passed its slice. Keys are dealt over ``shards``,
+    which stay as they are for a checkpoint: take so many that a task can hold
+    what is waiting and open in one. With 0 each key has state of its own, which
+    is slower where keys are many. With the clock ``"processing"`` a
     key is hidden for ``ttl`` of wall-clock time from the micro-batch in which a
     row of it left, whatever the rows' own times are; rows leave at once, none is
     late, and the result depends on when rows arrive.
@@ -276,17 +443,20 @@ def first_per_key_ttl_stream(
         raise ValueError(f"no such clock: {clock!r}")
     width = duration_micros(slice_width)
     rows = df.withWatermark(ts, delay)
-    return _ordered(rows, keys, keys, lambda schema, order: FirstPerTtl(schema, order, micros, width), tie, ts)
+    return _ordered(rows, keys, keys, lambda schema, order: FirstPerTtl(schema, order, micros, width), tie, ts, shards)
 
 
 def negatives_two_stream_stream(
-    df, key="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, dedup_clicks=True, slice_width=SLICE
+    df, key="user_id", ttl=TTL, ts=EVENT_TIME, tie="event_id", delay=WATERMARK_DELAY, dedup_clicks=True, slice_width=SLICE, shards=SHARDS
 ):
-    """The streaming form of ``negatives_two_stream``: one shuffle, one stateful operator for both sides."""
+    """The streaming form of ``negatives_two_stream``: one shuffle, one stateful operator for both sides.
+
+    ``slice_width`` and ``shards`` are those of :func:`first_per_key_ttl_stream`.
+    """
     micros, width = duration_micros(ttl), duration_micros(slice_width)
 
     def processor(schema, order):
         return UnclickedShows(schema, order, micros, width, dedup_clicks)
 
     rows = of_kind(df.withWatermark(ts, delay), ts, SHOW, CLICK)
-    return with_label(_ordered(rows, [key], [key, "interested"], processor, tie, ts))
+    return with_label(_ordered(rows, [key], [key, "interested"], processor, tie, ts, shards))

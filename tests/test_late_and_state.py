@@ -1,5 +1,6 @@
 """What processors read of their state, ties across micro-batches, late rows, and lifetimes in wall-clock time."""
 
+import random
 import time
 import uuid
 
@@ -12,7 +13,7 @@ from clicksieve.plans import catalogue
 from clicksieve.record import EVENT_TIME, RECORD_SCHEMA
 from clicksieve.sinks.folders import files as folder_files
 from clicksieve.streaming import date_in_order, end_record, first_per_key_ttl_stream, in_time_order, late_rows_stream, negatives_two_stream_stream, replay
-from clicksieve.streaming.ordered import MICROS, FirstPerTtl, FirstSeen, UnclickedShows
+from clicksieve.streaming.ordered import MICROS, SHARD_KEY, ByShard, FirstPerTtl, FirstSeen, UnclickedShows, chunk_of
 from helpers import log
 
 SECOND = 1_000_000
@@ -236,3 +237,54 @@ def test_micro_batches_of_a_replayed_log_do_not_grow_with_it(spark, tmp_path, se
 
 def test_micro_batches_have_a_largest_size():
     assert [catalogue.batch_rows(n) for n in (0, 100_000, 6_000_000, 36_000_000, 10**9)] == [50_000, 50_000, 375_000, 10**6, 10**6]
+
+
+@pytest.mark.parametrize("kind", [FirstPerTtl, UnclickedShows])
+def test_a_shard_walks_each_key_as_it_would_be_alone(schema, kind):
+    """Rows of 50 keys in disorder, watermarks in small and large steps: as key by key, with far fewer reads than rows."""
+    options = (True,) if kind is UnclickedShows else ()
+    draw = random.Random(11)
+    make, keyed = Row(*schema.fieldNames()), Row(*schema.fieldNames(), SHARD_KEY)
+    arrivals = []
+    for n in range(3000):
+        at = n * 400_000 + draw.randrange(90 * SECOND) // SECOND * SECOND + 1
+        arrivals.append((f"u{draw.randrange(50)}", f"{n:06d}", "0", str(at), draw.choice("001"), at))
+    steps, start = [], 0
+    while start < len(arrivals):
+        size = draw.choice([1, 30, 700])
+        steps.append(arrivals[start : start + size])
+        start += size
+    shard, whole = ByShard(kind(schema, ["event_id"], 30 * SECOND, SECOND, *options)), Store()
+    shard.init(whole)
+    alone = {}
+    got, expected, watermark = [], [], 0
+    for rows in [*steps, []]:
+        list(shard.handleInputRows((0,), iter([keyed(*r, r[0]) for r in rows]), whole))
+        for user in {r[0] for r in rows}:
+            if user not in alone:
+                alone[user] = (kind(schema, ["event_id"], 30 * SECOND, SECOND, *options), Store())
+                alone[user][0].init(alone[user][1])
+                alone[user][1].now = watermark
+            processor, store = alone[user]
+            list(processor.handleInputRows((user,), iter([make(*r) for r in rows if r[0] == user]), store))
+        watermark = max([watermark, *[r[-1] // 1000 - 60_000 for r in rows]]) if rows else 10**9
+        got += run_to(shard, whole, watermark)
+        for processor, store in alone.values():
+            expected += run_to(processor, store, watermark)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expected)) and len(got) > 100
+    assert not whole.timers and not whole.states["waiting"].values
+    assert whole.states["opens"].value is None and whole.states["places"].value is None
+    assert whole.reads < sum(store.reads for _, store in alone.values()) / 2
+
+
+def test_chunks_double_in_length():
+    assert [chunk_of(n, 100) for n in (100, 101, 102, 103, 104, 111, 112, 127, 128, 255, 256)] == [100, 101, 102, 102, 104, 104, 112, 112, 128, 128, 256]
+
+
+@pytest.mark.parametrize("shards", [0, 1])
+def test_keys_with_and_without_shards(spark, tmp_path, shards):
+    rows = log(spark, [(user, n, kind) for n, kind in enumerate("0100101") for user in ("a", "b", None, "null")])
+    batches = [rows.where(f"event_id % 2 = {n}") for n in (1, 0)]
+    out = replay(first_per_key_ttl_stream(micro_batches(spark, tmp_path, *batches), ttl="3 seconds", shards=shards, delay="1 minute"), "first")
+    expected = first_per_key_ttl(rows, ttl="3 seconds")
+    assert sorted(map(str, out.where(~F.col("user_id").eqNullSafe("__end")).collect())) == sorted(map(str, expected.collect()))
