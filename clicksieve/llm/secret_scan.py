@@ -1,9 +1,9 @@
 """Secret scans: fixed patterns, and strings that read as random rather than as identifiers.
 
 Two first-order Markov models over characters, one of random strings and one of
-ordinary identifiers, are fitted on labelled samples. A long run of identifier
+ordinary identifiers, are fitted on all documents. A long run of identifier
 characters is a secret if its log-likelihood ratio per character exceeds a
-threshold that hardly any ordinary training sample exceeds.
+threshold that hardly any ordinary run of them exceeds.
 """
 
 import hashlib
@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from clicksieve.llm.common import join_spans, sample_of
+from clicksieve.llm.common import join_spans
 
 # The base patterns, their least lengths and their order.
 KINDS = ["assign", "access", "hex", "random"]
@@ -34,10 +34,10 @@ CODE[np.frombuffer(ALPHABET.encode(), dtype=np.uint8)] = np.arange(EDGE)
 # Alphabets of the random strings that are labelled samples beside the secrets of the corpus.
 RANDOM_ALPHABETS = [ALPHABET[:62], ALPHABET[26:62], ALPHABET[:26] + ALPHABET[52:62], ALPHABET[:64], "0123456789abcdef"]
 
-TRAIN_DOCS = 4000
 RANDOM_SAMPLES = 4000
 SMOOTHING = 0.5
 ORDINARY_ABOVE = 1e-4
+SCORE_STEPS = 4096
 
 
 def base_spans(text):
@@ -108,37 +108,69 @@ def random_strings(count, seed=7):
 def labelled_runs(text):
     """Secrets by the base patterns, and the ordinary runs beside them, of one text."""
     found = base_spans(text)
-    return [text[a:b].rpartition("=")[2] for _, a, b in found if b - a <= 256], [
-        text[a:b] for a, b in runs_beside(text, found) if b - a <= 256
-    ]
-
+    secret = [text[a:b].rpartition("=")[2] for _, a, b in found]
+    return [s for s in secret if s], [text[a:b] for a, b in runs_beside(text, found)]
 
-def train(docs, train_docs=TRAIN_DOCS, random_samples=RANDOM_SAMPLES):
-    """``(ratio table, threshold)`` from about ``train_docs`` documents and ``random_samples`` random strings.
 
-    Secrets are what the base patterns find in the sample, with the random
-    strings; ordinary is what they leave. Without any ordinary run the
-    threshold is infinite: nothing is added to the base spans.
-    """
+def pair_totals(texts):
+    """Pair counts of all secrets and of all ordinary runs, and the number of texts: summed on Spark, one number a pair."""
 
-    def gather(frames):
+    def count(frames):
+        totals, rows = [np.zeros((EDGE + 1) ** 2), np.zeros((EDGE + 1) ** 2)], 0
         for frame in frames:
-            rows = []
-            for text in frame["text"]:
-                secret, ordinary = labelled_runs(text)
-                rows += [(True, s) for s in secret] + [(False, s) for s in ordinary]
-            yield pd.DataFrame(rows, columns=["secret", "run"])
-
-    sample = sample_of(docs.where(F.col("text").isNotNull()).select("doc_id", "text"), F.col("doc_id"), train_docs)
-    runs = sample.select("text").mapInPandas(gather, "secret boolean, run string").orderBy(F.xxhash64("run"), "run")
-    runs = runs.limit(20 * train_docs).toPandas()
-    secret = [s for s in runs.loc[runs["secret"].astype(bool), "run"] if s]
-    ordinary = list(runs.loc[~runs["secret"].astype(bool), "run"])
-    ratio = log_table(count_pairs(secret + random_strings(random_samples))) - log_table(count_pairs(ordinary))
-    if not ordinary:
-        return ratio, float("inf")
-    scores = ratio_scores(ordinary, ratio)
-    return ratio, max(0.0, float(np.quantile(scores, 1 - ORDINARY_ABOVE)))
+            labelled = [labelled_runs(text) for text in frame["text"]]
+            rows += len(labelled)
+            for total, runs in zip(totals, zip(*labelled)):
+                total += count_pairs([run for some in runs for run in some])
+        for kind, total in enumerate(totals):
+            codes = np.flatnonzero(total)
+            yield pd.DataFrame({"kind": kind, "code": codes, "n": total[codes].astype(np.int64)})
+        yield pd.DataFrame({"kind": [2], "code": [0], "n": [rows]})
+
+    counts = texts.mapInPandas(count, "kind int, code int, n long").groupBy("kind", "code").agg(F.sum("n"))
+    secret, ordinary, rows = np.zeros((EDGE + 1) ** 2), np.zeros((EDGE + 1) ** 2), 0
+    for kind, code, n in counts.collect():
+        if kind == 2:
+            rows = n
+        else:
+            (secret, ordinary)[kind][code] = n
+    return secret, ordinary, rows
+
+
+def ordinary_limit(texts, ratio):
+    """The least multiple of ``1 / SCORE_STEPS`` that at most ``ORDINARY_ABOVE`` of all ordinary runs exceed."""
+
+    def tally(frames):
+        for frame in frames:
+            runs = [run for text in frame["text"] for run in labelled_runs(text)[1]]
+            scores = ratio_scores(runs, ratio) if runs else np.zeros(0)
+            steps, n = np.unique(np.ceil(scores * SCORE_STEPS).astype(np.int64), return_counts=True)
+            yield pd.DataFrame({"step": steps, "n": n})
+
+    # Scores are differences of logarithms, so steps are few however many runs there are.
+    tallied = texts.mapInPandas(tally, "step long, n long").groupBy("step").agg(F.sum("n")).collect()
+    above, allowed = 0, ORDINARY_ABOVE * sum(n for _, n in tallied)
+    for step, n in sorted(tallied, reverse=True):
+        if above + n > allowed:
+            return step / SCORE_STEPS
+        above += n
+    return float("inf")
+
+
+def train(docs, random_samples=RANDOM_SAMPLES):
+    """``(ratio table, threshold)`` from all documents and ``random_samples`` random strings.
+
+    Secrets are what the base patterns find, with the random strings, which
+    weigh as much as one a document; ordinary is what the patterns leave. Two
+    passes over the documents, of which pair counts and a tally of scores reach
+    the driver. Without any ordinary run the threshold is infinite: nothing is
+    added to the base spans.
+    """
+    texts = docs.where(F.col("text").isNotNull()).select("text")
+    secret, ordinary, rows = pair_totals(texts)
+    drawn = count_pairs(random_strings(random_samples)) * max(1.0, rows / max(1, random_samples))
+    ratio = log_table(secret + drawn) - log_table(ordinary)
+    return ratio, max(0.0, ordinary_limit(texts, ratio))
 
 
 def secret_column(text, model):

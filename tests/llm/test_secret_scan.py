@@ -59,3 +59,18 @@ def test_a_long_text_of_many_spans_takes_linear_time():
     found = secret_scan.base_spans(text)
     assert len(found) == 40_000 and len(secret_scan.runs_beside(text, found)) == 20_000
     assert time.perf_counter() - start < 10
+
+
+def test_the_model_counts_every_document(spark):
+    """More documents than a sample would hold: pair counts and threshold are those of all runs, taken one by one."""
+    draw = random.Random(9)
+    texts = [f"token={n:016x} {''.join(draw.choice('ghijklm_') for _ in range(draw.randint(16, 300)))}" for n in range(9000)]
+    docs = spark.createDataFrame([*enumerate(texts), (9000, None), (9001, "")], "doc_id long, text string").repartition(7)
+    ratio, threshold = secret_scan.train(docs, random_samples=90)
+    secret, ordinary = (sum(some, []) for some in zip(*map(secret_scan.labelled_runs, texts)))
+    assert len(secret) == 18_000 and len(ordinary) == 9000
+    drawn = secret_scan.count_pairs(secret_scan.random_strings(90)) * (9001 / 90)
+    plain = secret_scan.log_table(secret_scan.count_pairs(secret) + drawn) - secret_scan.log_table(secret_scan.count_pairs(ordinary))
+    assert abs(ratio - plain).max() < 1e-9
+    scores = secret_scan.ratio_scores(ordinary, ratio)
+    assert threshold == 0.0 or (scores > threshold).sum() == 0 and scores.max() > threshold - 1 / secret_scan.SCORE_STEPS
