@@ -12,6 +12,7 @@ the longest token has. Decoding runs an incremental UTF-8 machine.
 
 import base64
 import hashlib
+import marshal
 import math
 import struct
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicksieve.llm.common import worker_cache
+from clicksieve.llm.common import free_worker, worker_cache
 
 START = -1
 MOST_STEPS = 500_000  # transitions kept; beyond that the machine is built anew
@@ -29,7 +30,9 @@ MOST_NEIGHBOURS = 300_000  # neighbours whose fit is remembered
 MOST_JUMPS = 120_000  # steps over several bytes at once that are remembered
 JUMP = 4
 CACHED_PIECES = 300_000
+BESIDE_OTHERS = 4  # in a job of several operators a worker remembers this part of all that
 ROWS_AT_ONCE = 500
+CHARS_AT_ONCE = 2_000_000
 DECODED_AT_ONCE = 4096
 
 
@@ -53,11 +56,35 @@ def merge_plainly(piece, ranks, below=math.inf):
     return [ranks[p] for p in parts]
 
 
+class States:
+    """Sets of items by number, each kept as bytes: a machine asks for the items of a state only to build a step from it."""
+
+    def __init__(self):
+        self.numbers, self.kept = {}, []
+
+    def number(self, items):
+        """The number of a state, which is a new one if the items are."""
+        # Of this version equal items have equal bytes.
+        data = marshal.dumps(items, 2)
+        found = self.numbers.get(data)
+        if found is None:
+            found = self.numbers[data] = len(self.kept)
+            self.kept.append(data)
+        return found
+
+    def __getitem__(self, state):
+        return marshal.loads(self.kept[state])
+
+    def __len__(self):
+        return len(self.kept)
+
+
 class Transducer:
     """Bytes to the bytes of token ids (u32)."""
 
-    def __init__(self, tokens):
+    def __init__(self, tokens, part=1):
         self.tokens = tokens
+        self.most_steps, self.most_neighbours, self.most_jumps = MOST_STEPS // part, MOST_NEIGHBOURS // part, MOST_JUMPS // part
         self.ranks = {token: rank for rank, token in enumerate(tokens) if token}
         self.child, self.token_at = {}, [None]
         for token, rank in self.ranks.items():
@@ -74,16 +101,23 @@ class Transducer:
 
     def forget(self):
         """An empty machine with its first state."""
-        self.number, self.items, self.ends, self.steps, self.jumps, self.packed = {}, [], [], {}, {}, {}
-        self.state(((START, 0, ()),))
-
-    def state(self, items):
-        if items not in self.number:
-            self.number[items] = len(self.items)
-            self.items.append(items)
-            whole = [pending for _, node, pending in items if node == 0]
-            self.ends.append(struct.pack(f"<{len(whole[0])}I", *whole[0]) if whole else None)
-        return self.number[items]
+        self.items, self.ends, self.steps, self.jumps, self.packed = States(), {}, {}, {}, {}
+        self.items.number(((START, 0, ()),))
+
+    def end(self, state):
+        """What is left to emit where a piece ends in a state."""
+        found = self.ends.get(state)
+        if found is None:
+            whole = next(pending for _, node, pending in self.items[state] if node == 0)
+            found = self.ends[state] = self.ids(whole)
+        return found
+
+    def ids(self, tokens):
+        """Tokens as bytes; equal ones are one object."""
+        found = self.packed.get(tokens)
+        if found is None:
+            found = self.packed[tokens] = struct.pack(f"<{len(tokens)}I", *tokens)
+        return found
 
     def parts(self, token):
         """The two tokens whose merge is ``token``; ``()`` for a single byte, ``None`` if its bytes do not merge to it."""
@@ -101,7 +135,7 @@ class Transducer:
         key = last << 20 | token
         fit = self.fits.get(key)
         if fit is None:
-            if len(self.fits) > MOST_NEIGHBOURS:
+            if len(self.fits) > self.most_neighbours:
                 self.fits.clear()
             fit = self.fits[key] = self.stay_apart(last, token)
         return fit
@@ -144,7 +178,7 @@ class Transducer:
             agreed += 1
         emitted = found[0][2][:agreed]
         items = tuple(sorted((last, node, pending[agreed:]) for last, node, pending in found))
-        step = self.state(items), self.packed.setdefault(emitted, struct.pack(f"<{agreed}I", *emitted))
+        step = self.items.number(items), self.ids(emitted)
         self.steps[state << 8 | byte] = step
         return step
 
@@ -153,7 +187,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return struct.pack("<I", whole)
-        if len(self.steps) > MOST_STEPS:
+        if len(self.steps) > self.most_steps:
             self.forget()
         jumps, state, out = self.jumps, 0, []
         whole = len(piece) // JUMP * JUMP
@@ -162,7 +196,7 @@ class Transducer:
             jump = jumps.get((state, bytes_))
             if jump is None:
                 jump = self.walk(state, bytes_)
-                if len(jumps) < MOST_JUMPS:
+                if len(jumps) < self.most_jumps:
                     jumps[state, bytes_] = jump
             state, emitted = jump
             if emitted:
@@ -170,7 +204,7 @@ class Transducer:
         if whole < len(piece):
             state, emitted = self.walk(state, piece[whole:])
             out.append(emitted)
-        out.append(self.ends[state])
+        out.append(self.end(state))
         return b"".join(out)
 
     def walk(self, state, data):
@@ -187,27 +221,49 @@ class Transducer:
 
 
 class Encoder:
-    """Texts to ids: pieces by the pattern, each through the transducer, with the frequent ones remembered."""
+    """Texts to ids: pieces by the pattern, each through the transducer, with the frequent ones remembered.
+
+    What is remembered, at most one ``part``-th of the bounds above, changes the time alone.
+    """
 
-    def __init__(self, tokens, pattern):
+    def __init__(self, tokens, pattern, part=1):
         import regex
 
         self.pieces = regex.compile(pattern).findall
-        self.machine = Transducer(tokens)
-        self.known = {}
+        self.machine = Transducer(tokens, part)
+        self.known, self.most_known = {}, CACHED_PIECES // part
 
     def encode(self, text):
         """The ids of a text as bytes (u32)."""
-        pieces, known = self.pieces(text), self.known
-        found = list(map(known.get, pieces))
-        if None in found:
-            for place, ids in enumerate(found):
-                if ids is None:
-                    piece = pieces[place]
-                    ids = found[place] = known.get(piece) or self.machine.encode(piece.encode("utf-8"))
-                    if len(known) < CACHED_PIECES:
-                        known[piece] = ids
-        return b"".join(found)
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts):
+        """The ids of each text as bytes (u32).
+
+        Pieces of several texts that are not remembered go through the machine
+        once and in order, so that those with one start meet steps just built.
+        """
+        at = 0
+        while at < len(texts):
+            end, held = at, 0
+            while end < len(texts) and held < CHARS_AT_ONCE:
+                held += len(texts[end])
+                end += 1
+            yield from self._encode_some(texts[at:end])
+            at = end
+
+    def _encode_some(self, texts):
+        known, texts = self.known, list(map(self.pieces, texts))
+        found = [list(map(known.get, pieces)) for pieces in texts]
+        missing = [(pieces, ids) for pieces, ids in zip(texts, found) if None in ids]
+        new = {p for pieces, ids in missing for p, i in zip(pieces, ids) if i is None}
+        encode = self.machine.encode
+        new = {p: encode(p.encode("utf-8")) for p in sorted(new)}
+        for pieces, ids in missing:
+            ids[:] = [new[p] if i is None else i for p, i in zip(pieces, ids)]
+        if len(known) < self.most_known:
+            known.update(new)
+        return list(map(b"".join, found))
 
 
 # The UTF-8 machine: from each state, the ranges of bytes that lead on. State 0 is between characters.
@@ -265,9 +321,12 @@ def _shipped(spark, path, pattern):
     return spark.sparkContext.broadcast((hashlib.sha256((path + pattern).encode()).hexdigest(), read_ranks(path), pattern))
 
 
-def _encoder(shipped):
+def _encoder(shipped, part=1):
+    """The worker's encoder; what other operators left goes before one is built."""
     name, tokens, pattern = shipped.value
-    return worker_cache(("byte-bpe", name), lambda: Encoder(tokens, pattern))
+    own = ("byte-bpe", name, part)
+    free_worker(keep=own)
+    return worker_cache(own, lambda: Encoder(tokens, pattern, part))
 
 
 def text_column(spark, ids, path):
@@ -286,17 +345,18 @@ def encode_documents(docs, path, pattern):
 
     Null and empty texts have no ids. Rows are encoded each by itself, so
     repeated rows give repeated results and an empty table an empty one. Rows
-    leave in short batches, which bounds what a task holds.
+    leave in short batches, which bounds what a task holds, and workers
+    remember little, as this is one step among others in a job.
     """
     shipped = _shipped(docs.sparkSession, path, pattern)
     plain = docs.drop("ids")
 
     def run(batches):
-        encoder = _encoder(shipped)
+        encoder = _encoder(shipped, BESIDE_OTHERS)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(start, ROWS_AT_ONCE)
-                found = [encoder.encode(text or "") for text in part.column("text").to_pylist()]
+                found = list(encoder.encode_all([text or "" for text in part.column("text").to_pylist()]))
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int64) // 4
                 values = pa.array(np.frombuffer(b"".join(found), dtype="<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
@@ -316,8 +376,7 @@ def round_trip(docs, path, pattern):
 
     def run(texts):
         encoder, tokens, rows = _encoder(shipped), shipped.value[1], []
-        for text in texts:
-            data = encoder.encode(text or "")
+        for data in encoder.encode_all([text or "" for text in texts]):
             ids = np.frombuffer(data, dtype="<u4").tolist()
             digest = hashlib.sha256()
             for piece in decode_stream(ids, tokens):

@@ -1,8 +1,11 @@
 """What the operators share: words, inputs, tables written to the shared folder, worker caches."""
 
+import ctypes
+import gc
 import re
 import sys
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from clicksieve.session import fresh_path
@@ -66,9 +69,24 @@ def worker_cache(name, build=dict):
     return caches[name]
 
 
-def free_worker():
-    """Gives back what operators before this one left in the worker's caches."""
-    sys.__dict__.get("_clicksieve_caches", {}).clear()
+def free_worker(keep=None):
+    """Gives back what operators before this one left in the worker's caches (not the one named ``keep``)."""
+    caches = sys.__dict__.get("_clicksieve_caches", {})
+    others = [name for name in caches if name != keep]
+    for name in others:
+        del caches[name]
+    if others:
+        gc.collect()
+    if others or keep not in caches:
+        give_back()
+
+
+def give_back():
+    """Hands memory that was freed back to the system, which allocators otherwise keep for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def join_spans(spans, kinds):

@@ -2,9 +2,12 @@ import base64
 import hashlib
 import os
 import random
+import sys
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from cases import awkward_rows, clashing, documents, empty, rows_of
@@ -91,3 +94,25 @@ def test_neighbours_stay_apart_as_plain_merges_say():
         left, right = draw.choice(short if turn % 2 else every), draw.choice(short if turn % 3 else every)
         plain = byte_bpe.merge_plainly(machine.tokens[left] + machine.tokens[right], machine.ranks)
         assert machine.stay_apart(left, right) == (plain == [left, right])
+
+
+def test_an_encoder_beside_others_holds_little(library):
+    """On texts of ever new words, whatever their number, and with the same ids."""
+    draw = random.Random(5)
+    tokens = byte_bpe.read_ranks(PATH)
+    texts = [" ".join("".join(draw.choice("aeioudfklmnrst\u00e9\u00df") for _ in range(9)) for _ in range(300)) for _ in range(150)]
+    rows = iter([pa.RecordBatch.from_pydict({"text": texts})])
+    byte_bpe.free_worker()
+    shipped = type("Shipped", (), {"value": ("test", tokens, P.PATTERN)})
+    byte_bpe.worker_cache("left by another operator")
+    tracemalloc.start()
+    try:
+        encoder = byte_bpe._encoder(shipped, byte_bpe.BESIDE_OTHERS)
+        found = list(encoder.encode_all(next(rows).column("text").to_pylist()))
+        held = tracemalloc.get_traced_memory()[0] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in found] == [library.encode_ordinary(t) for t in texts]
+    assert held < 80 and byte_bpe._encoder(shipped, byte_bpe.BESIDE_OTHERS) is encoder
+    assert "left by another operator" not in sys.__dict__["_clicksieve_caches"]
+    byte_bpe.free_worker()
