@@ -10,20 +10,24 @@ All numbers are little-endian. 64 ids of b bits fill b words of 64 bits, so
 packing and unpacking are 64 shifts of whole arrays.
 """
 
+import json
 import os
 import re
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clicksieve.llm.common import saved, words_of, worker_cache
+from clicksieve.llm.common import saved, worker_cache
 from clicksieve.session import fresh_path
 
 MAGIC = b"PACKIDS1"
@@ -31,12 +35,16 @@ TRAILER = "<QQQII8s"
 BLOCK = 4096
 GROUP = 64
 CHUNK_BLOCKS = 64
+PACKED_AT_ONCE = 16  # blocks
 CACHED_WORDS = 800_000
 CACHED_RUNS = 400_000
 ENCODED_AT_ONCE = 20_000
-TEXTS_AT_ONCE = 1_000
-# Fixed value: how the vocabulary splits an ASCII word in lower case.
-RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+RUNS_IN_LINE = 1_000
+CHARS_AT_ONCE = 8_000_000
+# Words of ASCII and Latin letters, how the vocabulary splits them in lower case, and runs of letters alone.
+PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
+RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+").findall
+LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
 
 
 def pack(ids, bits):
@@ -67,7 +75,7 @@ def unpack(data, bits, count):
 
 
 class PackedWriter:
-    """Writes documents one after another; what it keeps in memory is one block and the document table."""
+    """Writes documents one after another; what it keeps in memory is a few blocks and the document table."""
 
     def __init__(self, out, bits):
         self.out, self.bits = out, bits
@@ -81,22 +89,23 @@ class PackedWriter:
         self.starts.append(self.total)
         self.waiting.append(ids)
         self.held += len(ids)
-        if self.held >= BLOCK:
+        if self.held >= PACKED_AT_ONCE * BLOCK:
             ids = np.concatenate(self.waiting)
             whole = len(ids) // BLOCK * BLOCK
-            for start in range(0, whole, BLOCK):
-                self._block(ids[start : start + BLOCK])
+            for start in range(0, whole, PACKED_AT_ONCE * BLOCK):
+                self._blocks(ids[start : min(whole, start + PACKED_AT_ONCE * BLOCK)])
             self.waiting, self.held = [ids[whole:]], len(ids) - whole
 
-    def _block(self, ids):
+    def _blocks(self, ids):
+        """Whole blocks, or the last ones of a file, of which one may be short."""
         data = pack(ids, self.bits)
-        self.offsets.append(self.at)
+        self.offsets += range(self.at, self.at + len(data), BLOCK // GROUP * self.bits * 8)
         self.out.write(data)
         self.at += len(data)
 
     def close(self):
         if self.held:
-            self._block(np.concatenate(self.waiting))
+            self._blocks(np.concatenate(self.waiting))
         for values, kind in ((self.offsets, "<u8"), (self.starts, "<u8"), (self.doc_ids, "<i8"), (self.nulls, "u1")):
             self.out.write(np.array(values, dtype=kind).tobytes())
         self.out.write(
@@ -150,9 +159,11 @@ class WordEncoder:
     The vocabulary drops white space, and none of its steps looks across it, so
     a text's ids are those of its words one after another. It also lowers case
     and encodes runs of letters, digits and marks each by itself, so the ids of
-    an ASCII word are those of its lower-case runs. Words and runs are encoded
-    once per worker, as long as there is room to remember them; words that are
-    not ASCII, or may hold a special token, are encoded whole.
+    a plain word are those of its lower-case runs. The distinct words of some
+    texts are encoded once, and words and runs are remembered as long as there
+    is room; words that are not plain, or may hold a special token, are encoded
+    whole. Runs of letters need none of the library's steps before the merges,
+    so many stand in one line, and the vocabulary marks the last token of each.
     """
 
     def __init__(self, text_json):
@@ -160,6 +171,20 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(text_json)
+        whole = json.loads(text_json)
+        whole["normalizer"] = None
+        whole["pre_tokenizer"] = {
+            "type": "Sequence",
+            "pretokenizers": [
+                {"type": "WhitespaceSplit"},
+                {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+            ],
+        }
+        self.letters = Tokenizer.from_str(json.dumps(whole))
+        vocabulary, mark = self.tokenizer.get_vocab(True), whole["model"].get("end_of_word_suffix")
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if mark:
+            self.last[[number for token, number in vocabulary.items() if token.endswith(mark)]] = True
         self.words, self.runs = {}, {}
 
     def _library(self, texts):
@@ -168,35 +193,79 @@ class WordEncoder:
             for text, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 yield text, struct.pack(f"<{len(found.ids)}I", *found.ids)
 
+    def _letters(self, runs):
+        """The ids of runs of letters, by run."""
+        for start in range(0, len(runs), RUNS_IN_LINE):
+            part = runs[start : start + RUNS_IN_LINE]
+            line = self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            ids = np.array(line.ids, dtype="<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part):
+                yield from self._library(part)
+                continue
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            for run, low, high in zip(part, [0, *ends], ends):
+                yield run, data[low:high]
+
     def learn(self, words):
         """The ids of ``words`` by word; what there is room for is remembered."""
-        split = {}
+        # Words that are one run, or are encoded whole, have no list of their own.
+        single, split, letters, others, runs = {}, {}, set(), set(), self.runs
         for w in words:
-            if not w.isascii() or "<|" in w:
-                split[w] = (w,)
+            if not PLAIN(w) or "<|" in w:
+                single[w] = w
+                others.add(w)
+                continue
+            low = w.lower()
+            if LETTERS(low):
+                single[w] = low
+                letters.add(low)
             else:
-                split[w] = (w.lower(),) if w.isalpha() else RUNS(w.lower())
-        need = {r for runs in split.values() for r in runs}
-        known = {r: self.runs[r] for r in need if r in self.runs}
-        new = dict(self._library([r for r in need if r not in known]))
-        if len(self.runs) < CACHED_RUNS:
-            self.runs.update(new)
+                split[w] = RUNS(low)
+        for r in set(chain.from_iterable(split.values())):
+            (letters if LETTERS(r) else others).add(r)
+        known = {r: runs[r] for part in (letters, others) for r in part if r in runs}
+        new = dict(self._letters([r for r in letters if r not in known]))
+        new.update(self._library([r for r in others if r not in known]))
+        if len(runs) < CACHED_RUNS:
+            runs.update(new)
         known.update(new)
-        found = {w: b"".join([known[r] for r in runs]) for w, runs in split.items()}
+        found = {w: known[r] for w, r in single.items()}
+        for w, own in split.items():
+            found[w] = b"".join([known[r] for r in own])
         if len(self.words) < CACHED_WORDS:
             self.words.update(found)
         return found
 
     def encode_all(self, texts):
-        """The ids of each text as bytes."""
-        texts = [words_of(t) for t in texts]
-        found = [list(map(self.words.get, words)) for words in texts]
-        missing = [(words, ids) for words, ids in zip(texts, found) if None in ids]
-        new = {w for words, ids in missing for w, i in zip(words, ids) if i is None}
-        extra = self.learn(new) if new else {}
-        for words, ids in missing:
-            ids[:] = [extra[w] if i is None else i for w, i in zip(words, ids)]
-        return [b"".join(ids) for ids in found]
+        """The ids of each text (u32)."""
+        texts, at = [t or "" for t in texts], 0
+        while at < len(texts):
+            end, held = at, 0
+            while end < len(texts) and held < CHARS_AT_ONCE:
+                held += len(texts[end])
+                end += 1
+            yield from self._encode_some(texts[at:end])
+            at = end
+
+    def _encode_some(self, texts):
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        bounds = words.offsets.to_numpy()
+        words = words.flatten().dictionary_encode()
+        which, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.words.get, distinct))
+        new = [w for w, ids in zip(distinct, found) if ids is None]
+        if new:
+            new = self.learn(new)
+            found = [new[w] if ids is None else ids for w, ids in zip(distinct, found)]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        # Each word's ids stand where those of the words before it end.
+        lengths = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        ids = ids[np.repeat(starts[which] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return np.split(ids, ends[bounds[1:-1]])
 
 
 def write_shards(docs, folder, tokenizer_json, end_id):
@@ -226,11 +295,8 @@ def write_shards(docs, folder, tokenizer_json, end_id):
             if writer is None and len(frame):
                 out = store.open_output_stream(path)
                 writer = PackedWriter(out, bits)
-            for start in range(0, len(frame), TEXTS_AT_ONCE):
-                part = frame.iloc[start : start + TEXTS_AT_ONCE]
-                for doc_id, null, data in zip(part["doc_id"], part["no_id"], encoder.encode_all(part["text"])):
-                    ids = np.frombuffer(data, dtype="<u4")
-                    writer.add(None if null else int(doc_id), np.append(ids, np.uint32(end_id)))
+            for doc_id, null, ids in zip(frame["doc_id"], frame["no_id"], encoder.encode_all(frame["text"])):
+                writer.add(None if null else int(doc_id), np.append(ids, np.uint32(end_id)))
         if writer:
             writer.close()
             out.close()

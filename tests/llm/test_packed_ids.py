@@ -1,4 +1,5 @@
 import io
+import random
 import zlib
 
 import numpy as np
@@ -69,3 +70,40 @@ def test_awkward_rows(spark):
     assert found.count() == documents(spark).count()
     assert rows_of(found) == rows_of(packed_ids.packed_round_trip(clashing(spark), PATH))
     assert packed_ids.packed_round_trip(empty(spark), PATH).count() == 0
+
+
+def test_words_of_letters_go_to_the_library_in_lines():
+    """Distinct words of many texts are a few inputs of the library, and their ids are those of the words alone."""
+    with open(PATH, encoding="utf-8") as file:
+        encoder = packed_ids.WordEncoder(file.read())
+    draw = random.Random(7)
+    words = sorted({"".join(draw.choice("abcdefgstz\xdf\xe9\xf1\xc9Z") for _ in range(draw.randint(1, 9))) for _ in range(6000)})
+    counts = []
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            counts.append(len(texts))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    library, encoder.tokenizer = encoder.tokenizer, Counting(encoder.tokenizer)
+    if hasattr(encoder, "letters"):
+        encoder.letters = Counting(encoder.letters)
+    texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)] * 2
+    for text, ids in zip(texts, encoder.encode_all(texts)):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(counts) < len(words) // 100
+
+
+def test_blocks_of_a_file_may_be_packed_together():
+    ids = np.random.default_rng(4).integers(0, 1 << 17, 5 * packed_ids.BLOCK + 77, dtype=np.uint32)
+    apart = b"".join(packed_ids.pack(ids[i : i + packed_ids.BLOCK], 17) for i in range(0, len(ids), packed_ids.BLOCK))
+    file = Sized()
+    writer = packed_ids.PackedWriter(file, 17)
+    writer.add(3, ids)
+    writer.close()
+    assert file.getvalue().startswith(apart)
+    reader = packed_ids.PackedReader(file)
+    assert reader.n_blocks == 6 and (reader.document(0) == ids).all() and (reader.blocks(5, 6) == ids[5 * packed_ids.BLOCK :]).all()
