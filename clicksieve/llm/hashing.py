@@ -17,10 +17,11 @@ _powers = {}
 def mixed(x):
     """Each number with its bits spread over all 64."""
     x = x ^ (x >> np.uint64(30))
-    x = x * MULTIPLIERS[0]
-    x = x ^ (x >> np.uint64(27))
-    x = x * MULTIPLIERS[1]
-    return x ^ (x >> np.uint64(31))
+    x *= MULTIPLIERS[0]
+    x ^= x >> np.uint64(27)
+    x *= MULTIPLIERS[1]
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def powers(n):
@@ -71,13 +72,15 @@ def word_hashes(text, lower=False):
     """
     if not text:
         return np.zeros(0, dtype=np.uint64)
-    data = np.frombuffer((b" %b " % text.encode("utf-8", "surrogatepass")), dtype=np.uint8)
-    if lower:
-        data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-    edges = np.flatnonzero(np.diff(BLANK[data].view(np.int8))) + 1
+    data = text.encode("utf-8", "surrogatepass")
+    data = np.frombuffer(b" %b " % (data.lower() if lower else data), dtype=np.uint8)
+    blank = BLANK[data]
+    edges = (blank[1:] != blank[:-1]).nonzero()[0] + 1
     starts, ends = edges[0::2], edges[1::2]
-    found = span_hashes(data.astype(np.uint64) + np.uint64(1), starts, ends)
-    for word in np.flatnonzero(ends - starts > SHORT):
+    values = data.astype(np.uint64)
+    values += np.uint64(1)
+    found = span_hashes(values, starts, ends)
+    for word in (ends - starts > SHORT).nonzero()[0]:
         digest = hashlib.blake2b(data[starts[word] : ends[word]].tobytes(), digest_size=8).digest()
         found[word] = int.from_bytes(digest, "little")
     return found
@@ -85,5 +88,8 @@ def word_hashes(text, lower=False):
 
 def sequence_hashes(words, length):
     """The hash of each run of ``length`` words (none if there are fewer words)."""
-    starts = np.arange(max(0, len(words) - length + 1))
-    return span_hashes(words, starts, starts + length)
+    n = max(0, len(words) - length + 1)
+    up, down = powers(len(words) + 1)
+    sums = np.zeros(len(words) + 1, dtype=np.uint64)
+    np.cumsum(words * up[: len(words)], dtype=np.uint64, out=sums[1:])
+    return mixed((sums[length : length + n] - sums[:n]) * down[:n] + np.uint64(length))

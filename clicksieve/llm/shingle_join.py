@@ -20,6 +20,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,7 +44,11 @@ def shingles(text):
     words = word_hashes(text, lower=True)
     if not len(words):
         return words
-    return np.unique(sequence_hashes(words, min(SHINGLE, len(words))))
+    found = sequence_hashes(words, min(SHINGLE, len(words)))
+    found.sort()
+    new = np.ones(len(found), dtype=bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found[new]
 
 
 def band_starts(most=1 << 40):
@@ -84,53 +89,62 @@ def signatures(features, starts, spread=SPREAD):
 
 
 def outline(frames):
-    """Rows of ``doc_id, text``: the size and the identity of each set, and how many sampled shingles others must share."""
+    """Rows of ``doc_id, text``: the size and the identity of each set, the sampled shingles and how many of them others must share."""
     free_worker()
     edge = np.uint64(int(SAMPLED * 2**64))
     for frame in frames:
-        rows = []
+        rows, held, at = [], 0, 0
         for text in frame["text"]:
             own = shingles(text)
             size = len(own)
             again = mixed(own)
-            need = int((again < edge).sum()) - size * (OF - SHARE) // OF
-            rows.append((size, int(own.sum(dtype=np.uint64).view(np.int64)), int(again.sum(dtype=np.uint64).view(np.int64)), need))
-        out = pd.DataFrame(rows, columns=["n_shingles", "key", "again", "need"])
-        yield pd.concat([frame[["doc_id"]].reset_index(drop=True), out], axis=1)
+            some = again[again < edge].view(np.int64)
+            need = len(some) - size * (OF - SHARE) // OF
+            key, other = int(own.sum(dtype=np.uint64).view(np.int64)), int(again.sum(dtype=np.uint64).view(np.int64))
+            rows.append((size, key, other, need, some))
+            held += len(some)
+            if held >= ROWS_AT_ONCE:
+                yield outlined(frame, at, rows)
+                rows, held, at = [], 0, at + len(rows)
+        yield outlined(frame, at, rows)
+
+
+def outlined(frame, at, rows):
+    """The rows of ``outline`` for the documents from place ``at`` on."""
+    out = pd.DataFrame(rows, columns=["n_shingles", "key", "again", "need", "sample"])
+    return pd.concat([frame[["doc_id"]].iloc[at : at + len(rows)].reset_index(drop=True), out], axis=1)
 
 
 def sampled(bits):
-    """Rows of ``doc_id, text``: the sampled shingles, cut to ``bits`` bits, as ``shingle, doc_id, credit``.
+    """Batches of ``doc_id, sample``: the sampled shingles, cut to ``bits`` bits, as ``shingle, doc_id, credit``.
 
     Shingles that two documents of a batch share count for these at once: the
     documents' sums are rows with a credit, and one marked row tells the rest.
     """
-    edge, mask = np.uint64(int(SAMPLED * 2**64)), np.uint64((1 << bits) - 1)
-
-    def run(frames):
-        for frame in frames:
-            kept = []
-            for text in frame["text"]:
-                own = mixed(shingles(text))
-                kept.append(np.unique(own[own < edge] & mask).view(np.int64))
-            if not kept:
-                continue
-            values = np.concatenate(kept)
-            owner = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
-            _, of, times = np.unique(values, return_inverse=True, return_counts=True)
-            shared = times[of] > 1
-            credit = np.bincount(owner[shared], minlength=len(kept))
-            docs = frame["doc_id"].to_numpy()
-            marks = np.unique(values[shared])
+    mask = np.int64((1 << bits) - 1)
+
+    def run(batches):
+        for batch in batches:
+            samples = batch.column("sample")
+            docs = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            values = samples.flatten().to_numpy(zero_copy_only=False) & mask
+            owner = np.repeat(np.arange(len(docs)), np.diff(samples.offsets.to_numpy()))
+            order = np.argsort(values)
+            ordered = values[order]
+            again, goes_on, shared = (np.zeros(len(values), dtype=bool) for _ in range(3))
+            again[1:] = ordered[1:] == ordered[:-1]
+            goes_on[:-1] = again[1:]
+            marks = ordered[goes_on & ~again]
+            shared[order] = again | goes_on
+            credit = np.bincount(owner[shared], minlength=len(docs))
             some = np.flatnonzero(credit)
             alone = ~shared
-            yield pd.DataFrame(
-                {
-                    "shingle": np.concatenate([values[alone], marks, docs[some].astype(np.int64) * 7919 & mask.view(np.int64)]),
-                    "doc_id": np.concatenate([docs[owner[alone]], np.zeros(len(marks), dtype=docs.dtype), docs[some]]),
-                    "credit": np.concatenate([np.zeros(alone.sum()), np.full(len(marks), MARK), credit[some]]).astype(np.int32),
-                }
+            columns = (
+                np.concatenate([values[alone], marks, docs[some] * 7919 & mask]),
+                np.concatenate([docs[owner[alone]], np.zeros(len(marks), dtype=docs.dtype), docs[some]]),
+                np.concatenate([np.zeros(alone.sum()), np.full(len(marks), MARK), credit[some]]).astype(np.int32),
             )
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "doc_id", "credit"])
 
     return run
 
@@ -201,11 +215,12 @@ def linked(pairs, sets):
     return both.where(OF * common >= SHARE * union).select("u", "v")
 
 
-def possible(docs, outlines):
+def possible(outlines):
     """Ids of documents that may have a similar one: enough of their sampled shingles are found elsewhere too."""
     total = outlines.agg(F.sum("n_shingles")).first()[0] or 1
     bits = min(60, 8 + math.ceil(math.log2(total + 1)))
-    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(sampled(bits), "shingle long, doc_id long, credit int")
+    rows = outlines.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "sample")
+    rows = rows.mapInArrow(sampled(bits), "shingle long, doc_id long, credit int")
     rows = rows.repartition("shingle").sortWithinPartitions("shingle")
     credits = rows.mapInPandas(credited, "doc_id long, credit long").groupBy("doc_id").agg(F.sum("credit").alias("credit"))
     # Rows that share an id are one document: the least demand of them counts.
@@ -247,26 +262,47 @@ def first_pairs(members):
 def compare_block(low, high, frame):
     """Links between the sets of two parts of a group (or within one), from ``doc_id, component, part, features``."""
     sets = [np.asarray(f) for f in frame["features"]]
-    docs, of_component, part = (frame[c].to_numpy() for c in ("doc_id", "component", "part"))
-    sizes = np.array([len(s) for s in sets])
-    values, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    columns = (frame[c].to_numpy() for c in ("doc_id", "component", "part"))
+    u, v = block_links(low, high, *columns, np.concatenate(sets), np.array([len(s) for s in sets]))
+    return pd.DataFrame({"u": u, "v": v})
+
+
+def compare_table(key, table):
+    """``compare_block`` of an Arrow table: most groups are small, so frames would take longer than what is compared."""
+    features = table.column("features").combine_chunks()
+    columns = (table.column(c).to_numpy() for c in ("doc_id", "component", "part"))
+    sizes = np.diff(features.offsets.to_numpy())
+    u, v = block_links(key[1].as_py(), key[2].as_py(), *columns, features.flatten().to_numpy(), sizes)
+    return pa.table({"u": u, "v": v})
+
+
+def block_links(low, high, docs, of_component, part, features, sizes):
+    """``compare_block`` of arrays; the sets stand one after another in ``features``."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(features)
+    new = np.diff(features[order], prepend=features[order[:1]]) != 0
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.cumsum(new)
+    times = np.bincount(place)
     # What two sets have in common is found in at least two sets, so a set with too few such features has no link here.
     held = np.flatnonzero(times[place] > 1)
-    able = OF * np.bincount(owner[held], minlength=len(sets)) >= SHARE * sizes
-    held = held[able[owner[held]]]
-    place, owner = place[held], owner[held]
-    starts = np.searchsorted(owner, np.arange(len(sets) + 1))
-    order = np.argsort(place, kind="stable")
-    holders, first = owner[order], np.searchsorted(place[order], np.arange(len(values) + 1))
-    links = []
-    for one in np.flatnonzero((part == low) & able):
-        own = place[starts[one] : starts[one + 1]]
-        common = np.bincount(np.concatenate([holders[first[p] : first[p + 1]] for p in own]), minlength=len(sets))
-        union = sizes[one] + sizes - common
-        similar = (OF * common >= SHARE * union) & (of_component != of_component[one]) & (part == high)
-        links += [(docs[one], docs[two]) for two in np.flatnonzero(similar)]
-    return pd.DataFrame(links, columns=["u", "v"]).astype("int64")
+    able = OF * np.bincount(owner[held], minlength=len(sizes)) >= SHARE * sizes
+    links = [np.zeros((0, 2), dtype=np.int64)]
+    able &= sizes > 0
+    if np.count_nonzero(able) > 1:
+        held = held[able[owner[held]]]
+        place, owner = place[held], owner[held]
+        starts = np.searchsorted(owner, np.arange(len(sizes) + 1))
+        order = np.argsort(place, kind="stable")
+        holders, first = owner[order], np.searchsorted(place[order], np.arange(len(times) + 1))
+        for one in np.flatnonzero((part == low) & able):
+            own = place[starts[one] : starts[one + 1]]
+            common = np.bincount(np.concatenate([holders[first[p] : first[p + 1]] for p in own]), minlength=len(sizes))
+            union = sizes[one] + sizes - common
+            similar = (OF * common >= SHARE * union) & (of_component != of_component[one]) & (part == high)
+            found = docs[similar]
+            links.append(np.stack([np.full(len(found), docs[one]), found], axis=1))
+    return np.concatenate(links).T.astype(np.int64)
 
 
 def remaining_links(members, sets, components):
@@ -290,9 +326,7 @@ def remaining_links(members, sets, components):
     rows = rows.select(
         "leader", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "doc_id", "component", "features"
     )
-    return rows.groupBy("leader", "low", "high").applyInPandas(
-        lambda key, frame: compare_block(key[1], key[2], frame), "u long, v long"
-    )
+    return rows.groupBy("leader", "low", "high").applyInArrow(compare_table, "u long, v long")
 
 
 def similar_links(sets):
@@ -322,9 +356,9 @@ def near_duplicates(docs):
     not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    fields = "doc_id long, n_shingles long, key long, again long, need long"
+    fields = "doc_id long, n_shingles long, key long, again long, need long, sample array<long>"
     outlines = saved(docs.mapInPandas(outline, fields), "shingle-outlines")
-    maybe = possible(docs, outlines)
+    maybe = possible(outlines)
     keys = ["n_shingles", "key", "again"]
     whole = outlines.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = saved(whole.groupBy(*keys).agg(F.min("doc_id").alias("first")), "shingle-classes")
@@ -335,7 +369,7 @@ def near_duplicates(docs):
     parts = parts.select(F.col("node").alias("first"), "component")
     # Several sets of one id are one node, so the class and its component are looked up by the class's first document.
     found = classes.join(parts, "first", "left").select(*keys, F.coalesce("component", "first").alias("of_class"))
-    rows = outlines.join(saved(found, "shingle-components"), keys, "left")
+    rows = outlines.drop("sample").join(saved(found, "shingle-components"), keys, "left")
     return rows.select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("of_class")).otherwise(F.col("doc_id")).alias("component_id")
     )

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from cases import awkward_rows, clashing, documents, empty, rows_of, words
 
 from clicksieve.llm import components, shingle_join
@@ -174,3 +175,28 @@ def test_blocks_link_what_is_similar_and_nothing_else():
                 if part[u] == low and part[v] == high and component[u] != component[v] and 100 * common >= 75 * union:
                     expected.add((u, v))
         assert found == expected
+
+
+def test_each_text_is_hashed_once_before_sets_are_made(spark, monkeypatch):
+    """The sampled shingles come from the first pass over the texts; what is shared within a batch counts at once."""
+    frame = pd.DataFrame({"doc_id": [1, 2, 3], "text": ["a b c d e f g h i j", "A b c d e f g h i j", None]})
+    monkeypatch.setattr(shingle_join, "ROWS_AT_ONCE", 1)
+    rows = pd.concat(shingle_join.outline(iter([frame])), ignore_index=True)
+    assert rows["doc_id"].tolist() == [1, 2, 3] and rows["n_shingles"].tolist() == [6, 6, 0]
+    whole = np.sort(mixed(shingle_join.shingles("a b c d e f g h i j")))
+    sample = whole[whole < np.uint64(int(shingle_join.SAMPLED * 2**64))].view(np.int64)
+    assert [sorted(s) for s in rows["sample"]] == [sorted(sample.tolist())] * 2 + [[]]
+    batch = pa.RecordBatch.from_pandas(rows[["doc_id", "sample"]], schema=pa.schema([("doc_id", pa.int64()), ("sample", pa.list_(pa.int64()))]))
+    (found,) = shingle_join.sampled(40)(iter([batch]))
+    found = found.to_pandas()
+    assert sorted(found[found["credit"] > 0][["doc_id", "credit"]].itertuples(index=False, name=None)) == [(d, len(sample)) for d in (1, 2) if len(sample)]
+    assert (found["credit"] == shingle_join.MARK).sum() == len(sample)
+
+
+def test_tables_are_compared_as_frames_are():
+    sets = [[1, 2, 3, 4], [1, 2, 3], [9], [9], [], [1, 2, 3, 5]]
+    columns = {"doc_id": range(6), "component": [0, 1, 2, 3, 4, 5], "part": [0, 1, 0, 1, 0, 1], "features": sets}
+    table = pa.table({n: pa.array(list(c), pa.list_(pa.int64()) if n == "features" else pa.int64()) for n, c in columns.items()})
+    chunks = pa.concat_tables([table.slice(0, 2), table.slice(2)])
+    found = shingle_join.compare_table((pa.scalar(0), pa.scalar(0), pa.scalar(1)), chunks).to_pydict()
+    assert found == {"u": [0, 2], "v": [1, 3]}
