@@ -7,7 +7,7 @@ A pattern's flow says how many copies of its documents are taken: whole copies
 of all, and one more of documents in a seeded order, as far as the flow goes.
 """
 
-import pyspark.sql.types as T
+import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -86,10 +86,15 @@ def _connected(patterns):
 
 def _plan_frame(spark, rows, *names):
     """One row per pattern of what the driver worked out; at most ``MOST_PATTERNS`` patterns, so it may be broadcast."""
-    schema = T.StructType(
-        [T.StructField("pattern", T.ArrayType(T.StringType()))] + [T.StructField(name, T.LongType()) for name in names]
-    )
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    return F.broadcast(_local_frame(spark, rows, {name: pa.int64() for name in names}))
+
+
+def _local_frame(spark, rows, types):
+    """Rows ``(pattern, ...)`` of the driver as a frame; as an Arrow table they reach Spark without Python workers of their own."""
+    schema = pa.schema({"pattern": pa.list_(pa.string()), **types})
+    columns = zip(*rows) if rows else [()] * len(schema)
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, schema.types)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=schema))
 
 
 def _boundaries(units, key):
@@ -298,14 +303,8 @@ def mix(docs, sources="source", weights=WEIGHTS, share=SHARE, most=MOST_COPIES,
     sized = sized_documents(docs.select("doc_id", "text", sources), sources, seed)
     sized = saved(sized.select("doc_id", "pattern", "size", "draw"), "mixing-sizes")
     sizes, goals, add = plan_mix(sized, weights, share, most)
-    schema = T.StructType(
-        [
-            T.StructField("pattern", T.ArrayType(T.StringType())),
-            T.StructField("source_size", T.LongType()),
-            T.StructField("target", T.DoubleType()),
-        ]
-    )
-    goals = docs.sparkSession.createDataFrame([(list(p), sizes[p], float(goals[p])) for p in sizes], schema)
+    rows = [(list(p), sizes[p], float(goals[p])) for p in sizes]
+    goals = _local_frame(docs.sparkSession, rows, {"source_size": pa.int64(), "target": pa.float64()})
     out = add(sized).join(F.broadcast(goals), "pattern")
     return out.select(
         "doc_id", "pattern", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")

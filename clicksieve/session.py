@@ -23,6 +23,11 @@ STATE_SETTINGS = {
 }
 
 
+# Batches that go to Python and back hold so many bytes, not so many rows whatever their length: executors and workers
+# hold several copies of one, and what they once allocated they seldom give back.
+BATCH_SETTINGS = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
 def build_session(app="clicksieve", master=None, **conf):
     """A session with the settings the operators are written for."""
     builder = (
@@ -56,6 +61,13 @@ def use_rocksdb_state(spark):
     return spark
 
 
+def use_short_batches(spark):
+    """Long texts go to Python a few at a time in this session from now on."""
+    for name, value in BATCH_SETTINGS.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def shared_dir(spark):
     """The folder every node can reach: ``spark.checkpoint.dir``.
 

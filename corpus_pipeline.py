@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from clicksieve.llm import byte_bpe, language_id, mixing, personal_data, shingle_join  # noqa: E402
 from clicksieve.llm.common import saved, table  # noqa: E402
 from clicksieve.llm.vocabularies import BYTE_VOCABULARY, split_pattern, vocabulary  # noqa: E402
+from clicksieve.session import use_short_batches  # noqa: E402
 
 # With four languages chance is 0.25; a clean text is hardly ever below one half.
 LEAST_SCORE = 0.4
@@ -21,11 +22,13 @@ LEAST_SCORE = 0.4
 
 def known_language(spark, docs, sf_dir):
     """Documents whose language the network tells; texts without letters and unclear ones go."""
+    use_short_batches(spark)
     return language_id.filter_language(docs, least=LEAST_SCORE)
 
 
 def one_of_each_group(spark, docs, sf_dir):
     """Of each group of near duplicates the document with the smallest id."""
+    use_short_batches(spark)
     return shingle_join.without_near_duplicates(docs)
 
 
@@ -41,6 +44,7 @@ def mixed(spark, docs, sf_dir):
 
 def encoded(spark, docs, sf_dir):
     """``doc_id, lang, source, n_tokens, ids`` of each document."""
+    use_short_batches(spark)
     rows = byte_bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), vocabulary(BYTE_VOCABULARY), split_pattern())
     return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 

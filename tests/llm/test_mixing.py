@@ -130,3 +130,13 @@ def test_sources_that_share_nothing_are_routed_apart():
     many = {(f"s{i}",): 1000 + i for i in range(20_000)}
     assert sum(mixing.route(many, {s: 1500 for (s,) in many}).values()) == 20_000 * 1500
     assert time.monotonic() - began < 30
+
+
+def test_what_the_driver_worked_out_needs_no_python_worker(spark):
+    rows = [(["a", None], mixing.LEAST), (["b"], mixing.MOST)]
+    frame = mixing._plan_frame(spark, rows, "start")
+    assert frame.dtypes == [("pattern", "array<string>"), ("start", "bigint")]
+    assert sorted(map(tuple, frame.collect()), key=lambda r: r[1]) == rows
+    assert "LocalRelation" in frame._jdf.queryExecution().optimizedPlan().toString()
+    nothing = mixing._plan_frame(spark, [], "start")
+    assert nothing.dtypes == frame.dtypes and nothing.count() == 0

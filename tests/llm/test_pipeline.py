@@ -1,9 +1,11 @@
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from cases import clashing, documents, empty, words
 
 from clicksieve.llm import language_id
 from clicksieve.llm.common import table
+from clicksieve.session import BATCH_SETTINGS
 
 DOCUMENT_STAGES = corpus_pipeline.STAGES[:-1]
 
@@ -51,3 +53,18 @@ def test_stages_against_plain_versions(spark, data):
 
 def test_run_is_all_stages(spark, data):
     assert corpus_pipeline.run(spark, data("0.001")).columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
+
+
+@pytest.mark.parametrize("place", [0, 1, 4])
+def test_long_texts_go_to_python_a_few_at_a_time(spark, data, place):
+    for name in BATCH_SETTINGS:
+        spark.conf.unset(name)
+    corpus_pipeline.STAGES[place][1](spark, empty(spark), data("0.001"))
+
+    def rows_in(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    texts = spark.range(0, 200, 1, 1).selectExpr("repeat('x', 100000) AS text")
+    found = [r["n"] for r in texts.mapInArrow(rows_in, "n long").collect()]
+    assert sum(found) == 200 and max(found) <= 42
